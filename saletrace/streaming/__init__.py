@@ -1,0 +1,8 @@
+"""Streaming.
+
+The original pipeline is batch only: no stream source, watermark, window
+or stateful operator appears in it, so nothing streaming is built.  The
+operators are plain DataFrame functions; they can run inside
+``foreachBatch`` of a Structured Streaming query unchanged if inputs ever
+arrive as streams.
+"""
