@@ -46,15 +46,21 @@ def compare_snapshots(old: DataFrame, new: DataFrame, key: str = "oli_id",
     overall = (per_group.groupBy("segment").agg(F.sum(count_col).cast("bigint").alias(count_col))
                .select(F.lit(OVERALL_LABEL).alias(group), "segment", count_col))
 
-    tagged = (old.select(key, group).distinct().withColumn("segment", F.lit("total_old"))
-              .unionByName(new.select(key, group).distinct()
-                           .withColumn("segment", F.lit("total_new"))))
+    old_d = old.select(key, group).distinct()
+    new_d = new.select(key, group).distinct()
+    tagged = (old_d.withColumn("segment", F.lit("total_old"))
+              .unionByName(new_d.withColumn("segment", F.lit("total_new"))))
     # rows are distinct per (key, group), so a per-group count of non-null
-    # keys is the distinct count; the overall total needs a real distinct.
+    # keys is the distinct count; the overall totals need a real distinct
+    # and, being global aggregates, give 0 for an empty run.
     tot_group = (tagged.groupBy(group, "segment").agg(F.count(key).alias(count_col))
                  .select(group, "segment", count_col))
-    tot_overall = (tagged.groupBy("segment").agg(F.countDistinct(key).alias(count_col))
-                   .select(F.lit(OVERALL_LABEL).alias(group), "segment", count_col))
+    tot_overall = (old_d.agg(F.countDistinct(key).alias(count_col))
+                   .select(F.lit(OVERALL_LABEL).alias(group), F.lit("total_old").alias("segment"),
+                           count_col)
+                   .unionByName(new_d.agg(F.countDistinct(key).alias(count_col))
+                                .select(F.lit(OVERALL_LABEL).alias(group),
+                                        F.lit("total_new").alias("segment"), count_col)))
     return (overall.unionByName(tot_overall).unionByName(per_group).unionByName(tot_group)
             .select(group, "segment", F.col(count_col).cast("bigint").alias(count_col)))
 

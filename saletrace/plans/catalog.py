@@ -159,22 +159,23 @@ def q_membership_flag(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_null_safe_exclusion(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders whose customer key is NOT IN the keys of customers of one
-    segment, where a derived NULL key is present only for some segments:
-    result per segment shows the NOT IN NULL rule (empty when a NULL is
-    present)."""
+    """``order key NOT IN (customer keys of a segment)`` three ways, with
+    some order keys NULL: a right side holding a NULL (nothing passes), one
+    without (NULL left keys drop), and an empty one (everything passes)."""
     t = Fixtures(spark, sf).t
-    orders = t["orders"].select("o_orderkey", "o_custkey")
+    lhs = t["orders"].select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 10 == 0, F.lit(None).cast("bigint"))
+        .otherwise(F.col("o_custkey")).alias("k"))
     cust = t["customer"]
-    key = F.when(F.col("c_custkey") % 1000 == 999, F.lit(None).cast("bigint")).otherwise(
-        F.col("c_custkey")).alias("k")
-    machinery = cust.where(F.col("c_mktsegment") == "MACHINERY").select(key)
-    building = cust.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("k"))
-    a = exclude_not_in(orders, machinery, "o_custkey", "k").select(
-        "o_orderkey", F.lit("MACHINERY").alias("segment"))
-    b = exclude_not_in(orders, building, "o_custkey", "k").select(
-        "o_orderkey", F.lit("BUILDING").alias("segment"))
-    return a.unionByName(b)
+    with_null = cust.where(F.col("c_mktsegment") == "MACHINERY").select(
+        F.when(F.col("c_custkey") % 5 == 0, F.lit(None).cast("bigint"))
+        .otherwise(F.col("c_custkey")).alias("c"))
+    plain = cust.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("c"))
+    empty = cust.where(F.col("c_mktsegment") == "NONE").select(F.col("c_custkey").alias("c"))
+    parts = [exclude_not_in(lhs, right, "k", "c").select("o_orderkey", F.lit(seg).alias("segment"))
+             for seg, right in (("MACHINERY", with_null), ("BUILDING", plain), ("NONE", empty))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def q_scalar_probe(spark: SparkSession, sf: str) -> DataFrame:
