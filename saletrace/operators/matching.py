@@ -15,24 +15,28 @@ fact row.
 Exclusion is per line id, not per row.
 
 Plan, instead of the literal cascade (each tier re-reading facts and
-assets and a null-aware anti join per earlier tier):
-
-* two *distinct key sets* are aggregated from the assets: the
-  (account, deployment code) pairs that have a deployment, and for each
-  (account, family) reachable through the lookup the best tier it can give
-  (2 if some such asset has a deployment, else 3).  They are partially
-  aggregated on the map side, so a hot account shrinks to one row per key
-  before the shuffle;
-* each fact row looks its keys up (two left joins against the key sets —
+assets, and a NULL-aware anti join per earlier tier):
+
+* every asset row is keyed twice: by (account, 1, deployment code) when it
+  has a deployment, and by (account, 2, family) for each family the lookup
+  gives its class (a broadcast constant relation);
+* the distinct keys, with the best tier each can give (1 for a code key; 2
+  for a family key some asset with a deployment has, else 3), are
+  aggregated with map-side partial aggregation, so a hot account shrinks
+  to one row per key before any shuffle;
+* each fact row looks up its two keys (left joins with the key sets,
   broadcast by AQE when small) and gets its own best tier; the line's best
-  tier is the minimum over its rows (a window on the line id: lines are
-  not skewed, each has a handful of rows);
-* pairs are generated **only for the winning tier**, by two equi joins on
-  (account, code) and (account, family).  Pairs of losing tiers — which
-  grow with the square of a hot account — are never built, and the pair
-  set is never shuffled again;
-* unmatched lines come straight from the fact rows whose best tier is 4:
-  no anti join and no NULL-aware join.
+  tier is the minimum over its rows (a window on the line id: a line has a
+  handful of rows, never a hot group);
+* pairs are generated **only for the winning tier**, in a single join on
+  (account, kind, value): pairs of losing tiers, which grow with the square
+  of a hot account, are never built, and the pair set is never shuffled
+  again.  Lines without any candidate carry their own id as the key value
+  under a kind no asset has, so they pass the left join unmatched (the
+  ``no_match`` rows) spread over all partitions instead of piling onto one
+  NULL key;
+* the facts are read once; the assets twice (key sets and pair side), so
+  callers pass a materialised asset table (``plans.materialize``).
 
 Line ids must not be NULL; the original's ``NOT IN`` would empty every
 later tier after one NULL id.  NULL ids are grouped together here.
@@ -72,45 +76,50 @@ def _asset_side(assets: DataFrame) -> DataFrame:
     return assets.select(*[F.col(src).alias(out) for out, src, _ in PAIR_ASSET_COLUMNS])
 
 
-def candidate_keys(assets: DataFrame, class_family: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The two key sets a line is looked up in.
-
-    ``code_keys(_k1_acct, _k1_code)``: accounts and deployment codes of
-    assets with a deployment.  ``family_keys(_kf_acct, _kf_family, _kf_tier)``:
-    (account, family) reachable through the lookup, with tier 2 when some
-    such asset has a deployment, else 3.
-    """
-    a = assets.select(F.col("account_id").alias("_acct"), "deployment_asset_id",
-                      F.col("deployment_code").alias("_code"), "class_name")
-    code_keys = (a.where(F.col("deployment_asset_id").isNotNull()
-                         & F.col("_acct").isNotNull() & F.col("_code").isNotNull())
-                 .select(F.col("_acct").alias("_k1_acct"), F.col("_code").alias("_k1_code"))
-                 .distinct()
-                 .withColumn("_k1", F.lit(True)))
+def keyed_assets(assets: DataFrame, class_family: DataFrame) -> DataFrame:
+    """Asset rows with their match keys ``(_k_acct, _k_kind, _k_val)``:
+    kind 1 = deployment code (assets with a deployment only), kind 2 = a
+    family the lookup maps the asset class to."""
+    a = _asset_side(assets).where(F.col("asset_account_id").isNotNull())
     lk = class_family.select(F.col("class_name").alias("_lk_class"),
                              F.col("family").alias("_lk_family"))
-    family_keys = (a.where(F.col("_acct").isNotNull())
-                   .join(lk, F.col("class_name") == F.col("_lk_class"))
-                   .groupBy(F.col("_acct").alias("_kf_acct"),
-                            F.col("_lk_family").alias("_kf_family"))
-                   .agg(F.min(F.when(F.col("deployment_asset_id").isNotNull(), F.lit(2))
-                              .otherwise(F.lit(3))).alias("_kf_tier")))
-    return code_keys, family_keys
-
-
-def best_tiers(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
-               id_col: str = "oli_id") -> DataFrame:
+    by_code = (a.where(F.col("deployment_asset_id").isNotNull()
+                       & F.col("deployment_code").isNotNull())
+               .withColumn("_k_kind", F.lit(1))
+               .withColumn("_k_val", F.col("deployment_code")))
+    by_family = (a.join(lk, F.col("class_name") == F.col("_lk_class"))
+                 .drop("_lk_class")
+                 .withColumn("_k_kind", F.lit(2))
+                 .withColumnRenamed("_lk_family", "_k_val"))
+    return (by_code.unionByName(by_family)
+            .withColumn("_k_acct", F.col("asset_account_id")))
+
+
+def key_tiers(keyed: DataFrame) -> DataFrame:
+    """Distinct keys with the best tier each gives: ``(_k_acct, _k_kind,
+    _k_val, _k_tier)``."""
+    tier = (F.when(F.col("_k_kind") == 1, F.lit(1))
+            .when(F.col("deployment_asset_id").isNotNull(), F.lit(2))
+            .otherwise(F.lit(3)))
+    return keyed.groupBy("_k_acct", "_k_kind", "_k_val").agg(F.min(tier).alias("_k_tier"))
+
+
+def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id") -> DataFrame:
     """Fact rows with ``_row_tier`` (this row's best tier) and ``_best`` (the
     line's best tier over all its rows), 1..4."""
-    code_keys, family_keys = candidate_keys(assets, class_family)
+    kt = key_tiers(keyed)
+    code = kt.where(F.col("_k_kind") == 1).select(
+        F.col("_k_acct").alias("_c_acct"), F.col("_k_val").alias("_c_val"),
+        F.col("_k_tier").alias("_c_tier"))
+    fam = kt.where(F.col("_k_kind") == 2).select(
+        F.col("_k_acct").alias("_f_acct"), F.col("_k_val").alias("_f_val"),
+        F.col("_k_tier").alias("_f_tier"))
     f = (facts
-         .join(code_keys, (F.col("account_id") == F.col("_k1_acct"))
-               & (F.col("base_product_code") == F.col("_k1_code")), "left")
-         .join(family_keys, (F.col("account_id") == F.col("_kf_acct"))
-               & (F.col("family") == F.col("_kf_family")), "left"))
-    row_tier = (F.when(F.col("_k1").isNotNull(), F.lit(1))
-                .when(F.col("_kf_tier").isNotNull(), F.col("_kf_tier"))
-                .otherwise(F.lit(4)))
+         .join(code, (F.col("account_id") == F.col("_c_acct"))
+               & (F.col("base_product_code") == F.col("_c_val")), "left")
+         .join(fam, (F.col("account_id") == F.col("_f_acct"))
+               & (F.col("family") == F.col("_f_val")), "left"))
+    row_tier = F.coalesce(F.col("_c_tier"), F.col("_f_tier"), F.lit(4))
     f = f.select(*FACT_COLUMNS, row_tier.alias("_row_tier"))
     return f.withColumn("_best", F.min("_row_tier").over(Window.partitionBy(id_col)))
 
@@ -124,34 +133,22 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
     columns, the 15 asset columns of ``PAIR_ASSET_COLUMNS`` and
     ``match_type``.
     """
-    t1, t2, t3, t4 = TIER_LABELS
-    f = best_tiers(facts, assets, class_family, id_col)
-    a = _asset_side(assets)
-    fact_cols = [F.col(c) for c in FACT_COLUMNS]
-    asset_cols = [F.col(n) for n, _, _ in PAIR_ASSET_COLUMNS]
-
-    # tier 1: rows whose own best is tier 1 (then the line's best is 1)
-    p1 = (f.where(F.col("_row_tier") == 1)
-          .join(a.where(F.col("deployment_asset_id").isNotNull()),
-                (F.col("account_id") == F.col("asset_account_id"))
-                & (F.col("base_product_code") == F.col("deployment_code")))
-          .select(*fact_cols, *asset_cols, F.lit(t1).alias("match_type")))
-
-    # tiers 2 and 3 share the join keys (account, family via the lookup);
-    # tier 2 keeps only assets with a deployment.
-    lk = class_family.select(F.col("class_name").alias("_lk_class"),
-                             F.col("family").alias("_lk_family"))
-    a_fam = a.join(lk, F.col("class_name") == F.col("_lk_class"))
-    p23 = (f.where(F.col("_best").isin(2, 3) & (F.col("_row_tier") == F.col("_best")))
-           .join(a_fam,
-                 (F.col("account_id") == F.col("asset_account_id"))
-                 & (F.col("family") == F.col("_lk_family"))
-                 & ((F.col("_best") == 3) | F.col("deployment_asset_id").isNotNull()))
-           .select(*fact_cols, *asset_cols,
-                   F.when(F.col("_best") == 2, F.lit(t2)).otherwise(F.lit(t3))
-                   .alias("match_type")))
-
-    nulls = [F.lit(None).cast(t).alias(n) for n, _, t in PAIR_ASSET_COLUMNS]
-    p4 = (f.where(F.col("_best") == 4)
-          .select(*fact_cols, *nulls, F.lit(t4).alias("match_type")))
-    return p1.unionByName(p23).unionByName(p4)
+    keyed = keyed_assets(assets, class_family)
+    f = best_tiers(facts, keyed, id_col)
+    best = F.col("_best")
+    # rows whose own tier is not the line's best produce nothing (another
+    # row of the same line matched better)
+    probe = (f.where((best == 4) | (F.col("_row_tier") == best))
+             .withColumn("_p_kind", F.when(best == 1, F.lit(1)).when(best < 4, F.lit(2))
+                         .otherwise(F.lit(0)))
+             .withColumn("_p_val", F.when(best == 1, F.col("base_product_code"))
+                         .when(best < 4, F.col("family")).otherwise(F.col(id_col))))
+    cond = ((F.col("account_id") == F.col("_k_acct"))
+            & (F.col("_p_kind") == F.col("_k_kind"))
+            & (F.col("_p_val") == F.col("_k_val"))
+            & ((best != 2) | F.col("deployment_asset_id").isNotNull()))
+    match_type = F.element_at(F.array(*[F.lit(t) for t in TIER_LABELS]), best)
+    return (probe.join(keyed, cond, "left")
+            .select(*[F.col(c) for c in FACT_COLUMNS],
+                    *[F.col(n) for n, _, _ in PAIR_ASSET_COLUMNS],
+                    match_type.alias("match_type")))

@@ -21,17 +21,34 @@ from saletrace.operators.period import period_change
 from saletrace.operators.profile import profile_columns
 from saletrace.operators.rollups import account_rollup
 from saletrace.operators.status import decom_rollup, line_status, reversal_rollup
+from saletrace.plans.materialize import materialize
+from saletrace.session import ensure_checkpoint_dir
 from saletrace.sources.fixtures import (
     DRIVER_TABLES, FIXTURE_CLASSIFY_RULES, FIXTURE_FACT_RULES, FIXTURE_PERIOD_RULES,
     FIXTURE_STATUS_RULES, NEW_RUN_FROM, OLD_RUN_BEFORE, Fixtures)
 
 
+def local_checkpoint_fallback() -> str:
+    """A scratch folder for runs whose session names no shared checkpoint
+    folder (tests, the local driver); a cluster session names its own."""
+    import tempfile
+
+    return tempfile.mkdtemp(prefix="saletrace-ckpt-")
+
+
 class Pipeline:
-    """The chain of operators over one fixture folder, built lazily; each
-    step is a DataFrame over the previous ones (one plan per action)."""
+    """The chain of operators over one fixture folder.  Steps are lazy
+    DataFrames; the two intermediates read more than once (enriched assets,
+    matched pairs) are materialised under the checkpoint folder, as the
+    original writes its match table before the later steps read it."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, mode: str = "table"):
         self.fx = Fixtures(spark, sf_dir)
+        self.mode = mode
+        if mode != "none":
+            ensure_checkpoint_dir(spark, local_checkpoint_fallback())
+        self._assets = None
+        self._matched = None
 
     def assets(self) -> DataFrame:
         return unify_sources(self.fx.asset_sources())
@@ -43,13 +60,23 @@ class Pipeline:
         return enrich_assets(self.assets(), self.fx.master_account(), self.fx.deployment(),
                              self.keys())
 
+    def enriched_table(self) -> DataFrame:
+        if self._assets is None:
+            self._assets = materialize(self.enriched(), "enriched_assets", self.mode)
+        return self._assets
+
     def facts(self) -> DataFrame:
         fx = self.fx
         return line_facts(fx.opportunity(), fx.line_item(), fx.quote_line(), fx.quote(),
                           fx.product(), fx.reversal(), FIXTURE_FACT_RULES)
 
+    def matched_plan(self) -> DataFrame:
+        return tiered_match(self.facts(), self.enriched_table(), self.fx.class_family())
+
     def matched(self) -> DataFrame:
-        return tiered_match(self.facts(), self.enriched(), self.fx.class_family())
+        if self._matched is None:
+            self._matched = materialize(self.matched_plan(), "matched", self.mode)
+        return self._matched
 
     def classes(self, matched: DataFrame | None = None) -> DataFrame:
         return classify_lines(self.matched() if matched is None else matched,
@@ -93,11 +120,11 @@ def q_line_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_tiered_match(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).matched()
+    return Pipeline(spark, sf).matched_plan()
 
 
 def q_tier_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return (Pipeline(spark, sf).matched().groupBy("match_type")
+    return (Pipeline(spark, sf).matched_plan().groupBy("match_type")
             .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("oli_id").alias("n_lines")))
 
 
