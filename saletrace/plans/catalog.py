@@ -241,7 +241,7 @@ def q_scalar_probe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_profile_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return profile_columns(Fixtures(spark, sf).t)
+    return profile_columns(Fixtures(spark, sf).t.all())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -63,6 +63,23 @@ def _neg_quantity(c: Column) -> Column:
     return F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1), -c).otherwise(c)
 
 
+class _LazyTables(dict):
+    """``{name: DataFrame}`` that opens a driver table on first use, so a
+    query lists and reads footers only of the tables it touches."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark, self._dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = read_tables(self._spark, self._dir, [name])[name]
+        self[name] = df
+        return df
+
+    def all(self) -> dict[str, DataFrame]:
+        return {n: self[n] for n in DRIVER_TABLES}
+
+
 @dataclass
 class Fixtures:
     """Lazily derived canonical tables over one scale-factor folder."""
@@ -71,7 +88,7 @@ class Fixtures:
     sf_dir: str
 
     def __post_init__(self) -> None:
-        self.t = read_tables(self.spark, self.sf_dir, DRIVER_TABLES)
+        self.t = _LazyTables(self.spark, self.sf_dir)
 
     # ---- sales side --------------------------------------------------------
     def opportunity(self) -> DataFrame:
@@ -87,16 +104,23 @@ class Fixtures:
                         F.col("o_orderdate").cast("date").alias("close_date"))
 
     def line_item(self) -> DataFrame:
-        li = self.t["lineitem"]
+        # DISTINCT over the derived rows.  Every derived column is an
+        # injective function of (order, line, part, supplier, signed
+        # quantity, price), so the numeric tuple is de-duplicated first and
+        # the string ids are built after: same rows, cheaper hashing.
+        li = (self.t["lineitem"]
+              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                      _neg_quantity(F.col("l_quantity")).alias("quantity"),
+                      F.col("l_extendedprice").alias("acv"))
+              .distinct())
         lid = _lid()
         return li.select(
             lid.alias("id"), k("O", F.col("l_orderkey")).alias("opportunity_id"),
             F.when(F.col("l_suppkey") % 29 == 0, F.lit(None).cast("string"))
             .otherwise(F.concat(F.lit("Q"), lid)).alias("quote_line_id"),
             k("P", F.col("l_partkey")).alias("product_id"),
-            _neg_quantity(F.col("l_quantity")).alias("quantity"),
-            F.col("l_extendedprice").alias("acv"),
-            (F.col("l_suppkey") % 2 == 0).alias("enabled")).distinct()
+            "quantity", "acv",
+            (F.col("l_suppkey") % 2 == 0).alias("enabled"))
 
     def quote(self) -> DataFrame:
         key = F.col("o_orderkey")
@@ -105,13 +129,18 @@ class Fixtures:
             F.when(key % 10 == 0, "false").otherwise("true").alias("is_primary"))
 
     def quote_line(self) -> DataFrame:
-        return self.t["lineitem"].select(
+        # DISTINCT over the derived rows, de-duplicated on the numeric source
+        # columns they are an injective function of (see line_item)
+        ql = (self.t["lineitem"]
+              .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+              .distinct())
+        return ql.select(
             F.concat(F.lit("Q"), _lid()).alias("id"),
             k("T", F.col("l_orderkey")).alias("quote_id"),
             F.when(F.col("l_linenumber") % 4 == 0, "One-Time").otherwise("Recurring")
             .alias("charge_type"),
             (F.col("l_partkey") % 2 == 0).alias("enabled"),
-            F.col("l_returnflag").alias("transaction_type")).distinct()
+            F.col("l_returnflag").alias("transaction_type"))
 
     def product(self) -> DataFrame:
         key = F.col("p_partkey")
