@@ -31,12 +31,14 @@ assets, and a NULL-aware anti join per earlier tier):
 * pairs are generated **only for the winning tier**, in a single join on
   (account, kind, value): pairs of losing tiers, which grow with the square
   of a hot account, are never built, and the pair set is never shuffled
-  again.  Lines without any candidate carry their own id as the key value
-  under a kind no asset has, so they pass the left join unmatched (the
-  ``no_match`` rows) spread over all partitions instead of piling onto one
-  NULL key;
-* the facts are read once; the assets twice (key sets and pair side), so
-  callers pass a materialised asset table (``plans.materialize``).
+  again.  It is an inner join, so AQE's skew handling may split a hot
+  account on either side (an outer join could split only the fact side);
+* lines whose best tier is 4 become the ``no_match`` rows directly: no
+  anti join and no NULL-aware join.  Both branches read the tier-annotated
+  facts, so the caller materialises them (``materialize_with``) and the
+  facts join runs once; the assets are read twice (key sets and pair
+  side), so callers pass a materialised asset table
+  (``plans.materialize``).
 
 Line ids must not be NULL; the original's ``NOT IN`` would empty every
 later tier after one NULL id.  NULL ids are grouped together here.
@@ -44,6 +46,8 @@ later tier after one NULL id.  NULL ids are grouped together here.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,30 +129,42 @@ def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id") -> Da
 
 
 def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
-                 id_col: str = "oli_id") -> DataFrame:
+                 id_col: str = "oli_id",
+                 materialize_with: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """All pairs of each line's best tier, else one ``no_match`` row (C5).
 
     ``facts``: ``line_facts`` output.  ``assets``: ``enrich_assets`` output.
     ``class_family(class_name, family)``: the lookup.  Output: the 15 fact
     columns, the 15 asset columns of ``PAIR_ASSET_COLUMNS`` and
     ``match_type``.
+
+    ``materialize_with`` is applied to the tier-annotated facts, which two
+    branches read (pairs and unmatched lines); pass
+    ``plans.materialize.materialize`` (or a persist) so the facts join is
+    not run twice.
     """
     keyed = keyed_assets(assets, class_family)
     f = best_tiers(facts, keyed, id_col)
+    if materialize_with is not None:
+        f = materialize_with(f)
     best = F.col("_best")
     # rows whose own tier is not the line's best produce nothing (another
     # row of the same line matched better)
-    probe = (f.where((best == 4) | (F.col("_row_tier") == best))
-             .withColumn("_p_kind", F.when(best == 1, F.lit(1)).when(best < 4, F.lit(2))
-                         .otherwise(F.lit(0)))
+    probe = (f.where((best < 4) & (F.col("_row_tier") == best))
+             .withColumn("_p_kind", F.when(best == 1, F.lit(1)).otherwise(F.lit(2)))
              .withColumn("_p_val", F.when(best == 1, F.col("base_product_code"))
-                         .when(best < 4, F.col("family")).otherwise(F.col(id_col))))
+                         .otherwise(F.col("family"))))
     cond = ((F.col("account_id") == F.col("_k_acct"))
             & (F.col("_p_kind") == F.col("_k_kind"))
             & (F.col("_p_val") == F.col("_k_val"))
             & ((best != 2) | F.col("deployment_asset_id").isNotNull()))
-    match_type = F.element_at(F.array(*[F.lit(t) for t in TIER_LABELS]), best)
-    return (probe.join(keyed, cond, "left")
-            .select(*[F.col(c) for c in FACT_COLUMNS],
-                    *[F.col(n) for n, _, _ in PAIR_ASSET_COLUMNS],
-                    match_type.alias("match_type")))
+    match_type = F.element_at(F.array(*[F.lit(t) for t in TIER_LABELS[:3]]), best)
+    pairs = (probe.join(keyed, cond)
+             .select(*[F.col(c) for c in FACT_COLUMNS],
+                     *[F.col(n) for n, _, _ in PAIR_ASSET_COLUMNS],
+                     match_type.alias("match_type")))
+    nulls = [F.lit(None).cast(t).alias(n) for n, _, t in PAIR_ASSET_COLUMNS]
+    unmatched = (f.where(best == 4)
+                 .select(*[F.col(c) for c in FACT_COLUMNS], *nulls,
+                         F.lit(TIER_LABELS[3]).alias("match_type")))
+    return pairs.unionByName(unmatched)

@@ -71,7 +71,8 @@ class Pipeline:
                           fx.product(), fx.reversal(), FIXTURE_FACT_RULES)
 
     def matched_plan(self) -> DataFrame:
-        return tiered_match(self.facts(), self.enriched_table(), self.fx.class_family())
+        return tiered_match(self.facts(), self.enriched_table(), self.fx.class_family(),
+                            materialize_with=lambda df: materialize(df, "line_tiers", self.mode))
 
     def matched(self) -> DataFrame:
         if self._matched is None:

@@ -28,20 +28,18 @@ def test_lineitem_scan_is_pruned(spark, sf_small):
 
 
 def test_match_reads_each_input_once(spark, sf_small):
-    """The sales tables are scanned once per canonical table (no branch
-    repeats the facts join); the materialised asset table is read by the
-    code-keyed and family-keyed branches, for the key sets and for the pair
-    side, each read pruned to the columns it needs."""
+    """No branch of the match repeats the facts join."""
     import re
 
     from saletrace.plans.checks import physical_plan
 
     df = Pipeline(spark, sf_small).matched_plan()
-    assert count_nodes(df, "Window") == 1
+    # the facts join and key lookups ran once, into the materialised
+    # line-tier table; the match plan reads that table (pairs, unmatched)
+    # and the asset table (code-keyed and family-keyed), pruned
     text = physical_plan(df)
-    driver = re.findall(r"FileScan parquet[^\n]*?/(lineitem|orders|part|events)\.parquet", text)
-    assert sorted(driver) == sorted(["lineitem"] * 3 + ["orders"] * 3 + ["part"] * 2)
-    assert count_nodes(df, "FileScan") == len(driver) + 4
+    assert re.findall(r"FileScan parquet[^\n]*?/(lineitem|orders|part|events)\.parquet", text) == []
+    assert count_nodes(df, "FileScan") == 4
 
 
 def test_filters_reach_the_scan(spark, sf_small):
