@@ -31,38 +31,79 @@ def segments(old: DataFrame, new: DataFrame, key: str = "oli_id",
                     seg.alias("segment")))
 
 
+def _emit(arr, segment: str, cond, overall: bool = False, weight=None):
+    """``arr`` of ``struct<g>`` → ``struct<grp, seg, ov, n>`` rows (the group
+    left out of overall rows), or none unless ``cond``; ``n`` is 1 unless a
+    ``weight`` column is given."""
+    n = F.lit(1) if weight is None else weight
+
+    def row(x):
+        grp = F.lit(None).cast("string") if overall else x["g"]
+        return F.struct(grp.alias("grp"), F.lit(segment).alias("seg"), F.lit(overall).alias("ov"),
+                        n.cast("int").alias("n"))
+
+    rows = F.transform(arr, row)
+    return F.filter(rows, lambda _: cond)
+
+
 def compare_snapshots(old: DataFrame, new: DataFrame, key: str = "oli_id",
                       group: str = "family", count_col: str = "unique_oli_count") -> DataFrame:
     """Segment counts overall and per group (C6): ``(group, segment, count)``.
 
-    Segments ``in_both``/``old_only``/``new_only`` count joined pairs;
-    ``total_old``/``total_new`` count distinct keys.  The overall rows carry
-    the group value ``'overall'``.  Overall pair counts are summed from the
-    per-group counts (one small aggregate), so the pair set is aggregated
-    once; totals are one aggregation over both runs tagged by side.
+    The numbers of counting ``segments`` rows per (group, segment) and per
+    segment, plus distinct-key totals per run (``total_old``/``total_new``)
+    per group and overall; the overall rows carry the group ``'overall'``.
+    Computed with two shuffles instead of one per summary level:
+
+    1. both runs, tagged by side, are grouped by key, collecting each side's
+       set of groups (partially aggregated: a key repeated in many matched
+       rows is one set entry per map task);
+    2. each key emits its contributions: the rows the full outer join on
+       the key gives (every old group with every new group for a key in both
+       runs, labelled with the old group; the groups of a key in one run
+       only; NULL keys never match and count as ``new_only``), one row per
+       group for the per-group totals, one mark per run for the overall
+       totals, and an overall copy of each joined row;
+    3. one partially aggregated count per (group, segment, overall).
     """
-    all_ = segments(old, new, key, group)
-    per_group = all_.groupBy(group, "segment").agg(F.count(F.lit(1)).alias(count_col))
-    overall = (per_group.groupBy("segment").agg(F.sum(count_col).cast("bigint").alias(count_col))
-               .select(F.lit(OVERALL_LABEL).alias(group), "segment", count_col))
-
-    old_d = old.select(key, group).distinct()
-    new_d = new.select(key, group).distinct()
-    tagged = (old_d.withColumn("segment", F.lit("total_old"))
-              .unionByName(new_d.withColumn("segment", F.lit("total_new"))))
-    # rows are distinct per (key, group), so a per-group count of non-null
-    # keys is the distinct count; the overall totals need a real distinct
-    # and, being global aggregates, give 0 for an empty run.
-    tot_group = (tagged.groupBy(group, "segment").agg(F.count(key).alias(count_col))
-                 .select(group, "segment", count_col))
-    tot_overall = (old_d.agg(F.countDistinct(key).alias(count_col))
-                   .select(F.lit(OVERALL_LABEL).alias(group), F.lit("total_old").alias("segment"),
-                           count_col)
-                   .unionByName(new_d.agg(F.countDistinct(key).alias(count_col))
-                                .select(F.lit(OVERALL_LABEL).alias(group),
-                                        F.lit("total_new").alias("segment"), count_col)))
-    return (overall.unionByName(tot_overall).unionByName(per_group).unionByName(tot_group)
-            .select(group, "segment", F.col(count_col).cast("bigint").alias(count_col)))
+    g = F.struct(F.col(group).alias("g"))
+    both = (old.select(F.col(key).alias("_k"), g.alias("_g"), F.lit(True).alias("_old"))
+            .unionByName(new.select(F.col(key).alias("_k"), g.alias("_g"),
+                                    F.lit(False).alias("_old"))))
+    per_key = both.groupBy("_k").agg(
+        F.collect_set(F.when(F.col("_old"), F.col("_g"))).alias("_go"),
+        F.collect_set(F.when(~F.col("_old"), F.col("_g"))).alias("_gn"))
+    go, gn = F.col("_go"), F.col("_gn")
+    known = F.col("_k").isNotNull()
+    has_o, has_n = F.size(go) > 0, F.size(gn) > 0
+    joined = F.flatten(F.transform(go, lambda a: F.transform(
+        gn, lambda b: F.struct(F.coalesce(a["g"], b["g"]).alias("g")))))
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("g")))
+    parts = []
+    for ov in (False, True):
+        parts += [_emit(joined, "in_both", known, ov),
+                  _emit(go, "old_only", known & ~has_n, ov),
+                  _emit(go, "new_only", ~known, ov),
+                  _emit(gn, "new_only", ~known | ~has_o, ov)]
+    # per-group totals count distinct non-NULL keys, but a group whose keys
+    # are all NULL still reports 0 (a grouped COUNT(DISTINCT) row)
+    one_if_known = F.when(known, F.lit(1)).otherwise(F.lit(0))
+    parts += [_emit(go, "total_old", F.lit(True), weight=one_if_known),
+              _emit(gn, "total_new", F.lit(True), weight=one_if_known),
+              _emit(mark, "total_old", known & has_o, True),
+              _emit(mark, "total_new", known & has_n, True)]
+    contrib = per_key.select(F.explode(F.concat(*parts)).alias("c"))
+    counts = (contrib.groupBy(F.col("c.grp").alias("grp"), F.col("c.seg").alias("seg"),
+                              F.col("c.ov").alias("ov"))
+              .agg(F.sum("c.n").cast("bigint").alias("n")))
+    # an empty run still reports its overall total, 0, as a global count does
+    zeros = both.sparkSession.createDataFrame(
+        [(None, "total_old", True, 0), (None, "total_new", True, 0)],
+        "grp string, seg string, ov boolean, n bigint")
+    out = counts.unionByName(zeros).groupBy("grp", "seg", "ov").agg(F.sum("n").alias("n"))
+    return out.select(
+        F.when(F.col("ov"), F.lit(OVERALL_LABEL)).otherwise(F.col("grp")).alias(group),
+        F.col("seg").alias("segment"), F.col("n").cast("bigint").alias(count_col))
 
 
 def rank_segments(report: DataFrame, group: str = "family") -> DataFrame:

@@ -41,4 +41,5 @@ def materialize(df: DataFrame, name: str, mode: str = "table") -> DataFrame:
         return df.checkpoint(eager=True)
     path = f"{base.rstrip('/')}/saletrace/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer-reading job to infer it again
+    return spark.read.schema(df.schema).parquet(path)
