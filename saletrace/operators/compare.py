@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from saletrace.functions.logic import ordinal
 from saletrace.params import OVERALL_LABEL, SEGMENT_ORDER
+from saletrace.sources.io import constant_relation
 
 
 def segments(old: DataFrame, new: DataFrame, key: str = "oli_id",
@@ -97,9 +98,9 @@ def compare_snapshots(old: DataFrame, new: DataFrame, key: str = "oli_id",
                               F.col("c.ov").alias("ov"))
               .agg(F.sum("c.n").cast("bigint").alias("n")))
     # an empty run still reports its overall total, 0, as a global count does
-    zeros = both.sparkSession.createDataFrame(
-        [(None, "total_old", True, 0), (None, "total_new", True, 0)],
-        "grp string, seg string, ov boolean, n bigint")
+    zeros = constant_relation(both.sparkSession,
+                              [(None, "total_old", True, 0), (None, "total_new", True, 0)],
+                              "grp string, seg string, ov boolean, n bigint")
     out = counts.unionByName(zeros).groupBy("grp", "seg", "ov").agg(F.sum("n").alias("n"))
     return out.select(
         F.when(F.col("ov"), F.lit(OVERALL_LABEL)).otherwise(F.col("grp")).alias(group),

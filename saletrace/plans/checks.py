@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 # nodes that mean quadratic work, driver-side collection of a join side, or
 # Python in the hot path
 FORBIDDEN = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython",
-             "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
+             "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF",
+             "ExistingRDD")
 
 
 def physical_plan(df: DataFrame) -> str:

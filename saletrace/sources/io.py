@@ -28,10 +28,21 @@ def read_tables(spark: SparkSession, base: str, names: Sequence[str]) -> dict[st
     return {n: spark.table(f"{base}.{n}") for n in names}
 
 
+def constant_relation(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """``VALUES ... AS t(a, b)`` as a JVM-side relation (literals inlined
+    into the plan, no Python worker).  ``schema``: ``"a string, b int"``."""
+    fields = [f.strip().split(None, 1) for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(r, fields)])
+               for r in rows]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in fields])
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def lookup(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A constant relation (``VALUES ... AS t(a, b)``), broadcast when its
-    row count is under ``MAX_BROADCAST_LOOKUP_ROWS``."""
-    df = spark.createDataFrame(list(rows), schema)
+    """A constant relation, broadcast when its row count is under
+    ``MAX_BROADCAST_LOOKUP_ROWS`` (its size is bounded by construction)."""
+    df = constant_relation(spark, rows, schema)
     return F.broadcast(df) if len(rows) <= MAX_BROADCAST_LOOKUP_ROWS else df
 
 
