@@ -13,7 +13,7 @@ from saletrace.functions.hosts import dotted_prefix, first_label
 from saletrace.functions.logic import is_true, ordinal, sorted_join
 from saletrace.operators.assets import enrich_assets, host_keys, unify_sources
 from saletrace.operators.classify import classify_lines
-from saletrace.operators.compare import compare_snapshots, rank_segments
+from saletrace.operators.compare import compare_snapshots, rank_segments, segments
 from saletrace.operators.exclusion import exclude_not_in
 from saletrace.operators.facts import base_product_codes, line_facts, linked_ids
 from saletrace.operators.matching import tiered_match
@@ -120,6 +120,12 @@ def q_line_facts(spark: SparkSession, sf: str) -> DataFrame:
     return Pipeline(spark, sf).facts()
 
 
+def q_asset_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Assets with account and deployment link only (no decommission key)."""
+    p = Pipeline(spark, sf, mode="none")
+    return enrich_assets(p.assets(), p.fx.master_account(), p.fx.deployment())
+
+
 def q_tiered_match(spark: SparkSession, sf: str) -> DataFrame:
     return Pipeline(spark, sf).matched_plan()
 
@@ -134,6 +140,13 @@ def q_snapshot_compare(spark: SparkSession, sf: str) -> DataFrame:
     return compare_snapshots(old, new)
 
 
+def q_snapshot_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Row-level segments: distinct (line, family) of both runs, full outer
+    joined on the line id."""
+    old, new = Pipeline(spark, sf).snapshots()
+    return segments(old, new)
+
+
 def q_ranked_segments(spark: SparkSession, sf: str) -> DataFrame:
     old, new = Pipeline(spark, sf).snapshots()
     return rank_segments(compare_snapshots(old, new))
@@ -249,10 +262,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unify_sources": q_unify_sources,
     "host_keys": q_host_keys,
     "enrich_assets": q_enrich_assets,
+    "asset_links": q_asset_links,
     "line_facts": q_line_facts,
     "tiered_match": q_tiered_match,
     "tier_summary": q_tier_summary,
     "snapshot_compare": q_snapshot_compare,
+    "snapshot_segments": q_snapshot_segments,
     "ranked_segments": q_ranked_segments,
     "classify_lines": q_classify_lines,
     "decom_rollup": q_decom_rollup,
