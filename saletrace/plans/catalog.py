@@ -153,7 +153,9 @@ def q_ranked_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_classify_lines(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).classes()
+    # the match is read once here: no need to write it first
+    p = Pipeline(spark, sf)
+    return p.classes(p.matched_plan())
 
 
 def q_decom_rollup(spark: SparkSession, sf: str) -> DataFrame:
