@@ -26,8 +26,9 @@ assets, and a NULL-aware anti join per earlier tier):
   to one row per key before any shuffle;
 * each fact row looks up its two keys (left joins with the key sets,
   broadcast by AQE when small) and gets its own best tier; the line's best
-  tier is the minimum over its rows (a window on the line id: a line has a
-  handful of rows, never a hot group);
+  tier is the minimum over its rows, a partially aggregated ``min`` per
+  line id joined back (a window would hold all rows of a hot line id in
+  one task);
 * pairs are generated **only for the winning tier**, in a single join on
   (account, kind, value): pairs of losing tiers, which grow with the square
   of a hot account, are never built, and the pair set is never shuffled
@@ -48,7 +49,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saletrace.operators.assets import ASSET_SCHEMA
@@ -125,7 +126,12 @@ def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id") -> Da
                & (F.col("family") == F.col("_f_val")), "left"))
     row_tier = F.coalesce(F.col("_c_tier"), F.col("_f_tier"), F.lit(4))
     f = f.select(*FACT_COLUMNS, row_tier.alias("_row_tier"))
-    return f.withColumn("_best", F.min("_row_tier").over(Window.partitionBy(id_col)))
+    # the line's best tier: a partially aggregated min per line id joined
+    # back (not a window, which would hold every row of a line in one task)
+    best = (f.groupBy(F.col(id_col).alias("_b_id"))
+            .agg(F.min("_row_tier").alias("_best")))
+    return (f.join(best, F.col(id_col).eqNullSafe(F.col("_b_id")))
+            .drop("_b_id"))
 
 
 def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
