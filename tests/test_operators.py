@@ -1,6 +1,6 @@
 """Hand-made unit tables for the cases the derived data does not contain."""
 
-from helpers import assets_df, d, facts_df
+from helpers import d, facts_df
 from pyspark.sql import functions as F
 
 from saletrace.operators.assets import AssetSource, enrich_assets, host_keys, unify_sources
