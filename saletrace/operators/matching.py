@@ -74,7 +74,13 @@ PAIR_ASSET_COLUMNS: tuple[tuple[str, str, str], ...] = (
     ("updated_at", "updated_at", dict(ASSET_SCHEMA)["updated_at"]),
     ("start_date", "start_date", "date"),
 )
-MATCHED_COLUMNS = FACT_COLUMNS + tuple(n for n, _, _ in PAIR_ASSET_COLUMNS) + ("match_type",)
+# output order of the match table: line columns as the original lists them,
+# then the asset columns, then the tier label
+MATCHED_COLUMNS = (
+    "oli_id", "opp_id", "qli_id", "account_id", "base_product_code", "family", "product_code",
+    "enabled_ol", "enabled_ql", "transaction_type", "opp_type", "close_date", "quantity", "acv",
+    "reversal_opp",
+) + tuple(n for n, _, _ in PAIR_ASSET_COLUMNS) + ("match_type",)
 
 
 def _asset_side(assets: DataFrame) -> DataFrame:
@@ -173,4 +179,4 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
     unmatched = (f.where(best == 4)
                  .select(*[F.col(c) for c in FACT_COLUMNS], *nulls,
                          F.lit(TIER_LABELS[3]).alias("match_type")))
-    return pairs.unionByName(unmatched)
+    return pairs.unionByName(unmatched).select(*MATCHED_COLUMNS)
