@@ -19,7 +19,8 @@ def short_family(df: DataFrame, family_short: DataFrame, family_col: str = "fami
 
 
 def account_rollup(matched: DataFrame, classes: DataFrame, family_short: DataFrame,
-                   excluded_opp_type: str = "Renewal", sep: str = ", ") -> DataFrame:
+                   excluded_opp_type: str = "Renewal", sep: str = ", ",
+                   as_strings: bool = True) -> DataFrame:
     """``(account_id, family, decom_rr_olis, provision_olis, close_dates)``.
 
     Matched rows (excluded opportunity type and NULL type dropped) joined to
@@ -30,13 +31,31 @@ def account_rollup(matched: DataFrame, classes: DataFrame, family_short: DataFra
     One aggregation: ``collect_set`` is partially aggregated on the map
     side (each task ships a de-duplicated set per group), and the final set
     of a group holds each id once however many asset pairs the line has.
-    The output string of a group is as long as its id list by definition.
+    The output string of a group is as long as its id list by definition,
+    so it is built in one task.  ``as_strings=False`` returns the same
+    content in long form instead, ``(account_id, family, list, value)`` with
+    ``list`` one of ``decom_rr_olis``, ``provision_olis``, ``close_dates``:
+    distinct rows, no per-group collection, for accounts whose lists are too
+    long to hold in one row.
     """
     cl = classes.select(F.col("oli_id").alias("_c_oli"), "decom_rr", "provisioned")
     rows = (matched.where(F.col("opp_type") != excluded_opp_type)
             .select("account_id", "family", "oli_id", "close_date")
             .join(cl, F.col("oli_id") == F.col("_c_oli")))
     rows = short_family(rows, family_short)
+    if not as_strings:
+        entries = F.array(
+            F.when(F.col("decom_rr") == 1, F.struct(F.lit("decom_rr_olis").alias("list"),
+                                                    F.col("oli_id").alias("value"))),
+            F.when(F.col("provisioned") == 1, F.struct(F.lit("provision_olis").alias("list"),
+                                                       F.col("oli_id").alias("value"))),
+            F.when(F.col("close_date").isNotNull(),
+                   F.struct(F.lit("close_dates").alias("list"),
+                            F.col("close_date").cast("string").alias("value"))))
+        return (rows.select("account_id", "family", F.explode(entries).alias("e"))
+                .where(F.col("e").isNotNull())
+                .select("account_id", "family", "e.list", "e.value")
+                .distinct())
     return (rows.groupBy("account_id", "family")
             .agg(sorted_join(F.collect_set(F.when(F.col("decom_rr") == 1, F.col("oli_id"))), sep)
                  .alias("decom_rr_olis"),

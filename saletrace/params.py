@@ -110,6 +110,9 @@ class PeriodRules:
     excluded_opp_type: str = "Renewal"
     amount_type: str = "decimal(18,2)"
     sort: bool = True
+    # attach the account rollup's id lists to every row (the original's
+    # report); False leaves them out for accounts with very long lists
+    attach_lists: bool = True
 
 
 @dataclass(frozen=True)

@@ -229,3 +229,19 @@ def test_profile_counts(spark):
     assert (got["n"]["row_count"], got["n"]["non_null_count"], got["n"]["distinct_count"]) == (3, 3, 2)
     assert (got["s"]["non_null_count"], got["s"]["distinct_count"], got["s"]["ordinal_position"]) == (2, 2, 2)
     assert got["s"]["data_type"] == "string"
+
+
+def test_account_rollup_long_form_has_same_content(spark):
+    m = facts_df(spark, [
+        {"oli_id": f"L{i}", "account_id": f"A{i % 2}", "family": "LONG", "opp_type": "New",
+         "close_date": d(f"2020-01-0{1 + i % 3}")} for i in range(8)])
+    cl = spark.createDataFrame([(f"L{i}", 1 if i % 3 == 0 else None, 1 if i % 3 == 1 else None)
+                                for i in range(8)], "oli_id string, decom_rr int, provisioned int")
+    fs = spark.createDataFrame([("LONG", "SH")], "family string, short_name string")
+    strings = {(r["account_id"], r["family"]): r for r in account_rollup(m, cl, fs).collect()}
+    long = account_rollup(m, cl, fs, as_strings=False).collect()
+    for (acct, fam), r in strings.items():
+        for lst in ("decom_rr_olis", "provision_olis", "close_dates"):
+            vals = sorted(x["value"] for x in long
+                          if (x["account_id"], x["family"], x["list"]) == (acct, fam, lst))
+            assert ", ".join(vals) == r[lst]
