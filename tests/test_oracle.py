@@ -40,3 +40,14 @@ def test_fixture_counts_match_survey(spark, sf_small):
     status = [r["n"] for r in entry.queries()["status_summary"](spark, sf_small).collect()]
     assert sorted(status) == sorted([276, 125, 16, 71, 75, 99, 84, 278, 29, 325, 211, 741,
                                      219, 394, 1691, 1146, 220])
+
+
+@pytest.mark.parametrize("name", ["tiered_match", "line_status", "scalar_probe", "period_change"])
+def test_independent_of_session_time_zone(spark, con, sf_small, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        r = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], sf_small)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["ok"], r
