@@ -54,15 +54,24 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    timings = {}
+    timings: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in (only or HEADLINE):
-        run(name)  # warm-up
-        timings[name] = round(statistics.median(run(name) for _ in range(reps)), 3)
+        try:
+            run(name)  # warm-up
+            timings[name] = round(statistics.median(run(name) for _ in range(reps)), 3)
+        except Exception as e:  # noqa: BLE001 - report the failure, time the rest
+            timings[name] = None
+            errors[name] = str(e).splitlines()[0][:300]
         print(f"# {name}: {timings[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir).removeprefix("sf")
-    total = round(sum(v for k, v in timings.items() if k != "tiered_match_cascade"), 3)
-    print(json.dumps({"metric": "sum_of_median_query_seconds", "value": total, "unit": "sec",
-                      "queries": timings, "sf": sf, "cpus": cpus, "reps": reps}))
+    total = round(sum(v for k, v in timings.items()
+                      if k != "tiered_match_cascade" and v is not None), 3)
+    out = {"metric": "sum_of_median_query_seconds", "value": total, "unit": "sec",
+           "queries": timings, "sf": sf, "cpus": cpus, "reps": reps}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
