@@ -50,3 +50,22 @@ def test_filters_reach_the_scan(spark, sf_small):
     text = physical_plan(entry.queries()["line_facts"](spark, sf_small))
     assert "PushedFilters: [In(p_type," in text
     assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in text
+
+
+def test_product_broadcast_only_under_the_bound(spark, sf_small):
+    from saletrace.operators.facts import line_facts
+    from saletrace.plans.checks import physical_plan
+    from saletrace.sources.fixtures import FIXTURE_FACT_RULES, Fixtures
+
+    fx = Fixtures(spark, sf_small)
+    args = (fx.opportunity(), fx.line_item(), fx.quote_line(), fx.quote(), fx.product(),
+            fx.reversal(), FIXTURE_FACT_RULES)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        under = physical_plan(line_facts(*args))
+        over = physical_plan(line_facts(*args, product_broadcast_rows=10))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in under
+    assert "BroadcastHashJoin" not in over
