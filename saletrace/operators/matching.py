@@ -25,7 +25,8 @@ assets, and a NULL-aware anti join per earlier tier):
   aggregated with map-side partial aggregation, so a hot account shrinks
   to one row per key before any shuffle;
 * each fact row looks up its two keys (left joins with the key sets,
-  broadcast by AQE when small) and gets its own best tier; the line's best
+  broadcast when a bounded count shows them small, else sort-merge) and
+  gets its own best tier; the line's best
   tier is the minimum over its rows, a partially aggregated ``min`` per
   line id joined back (a window would hold all rows of a hot line id in
   one task);
@@ -55,6 +56,7 @@ from pyspark.sql import functions as F
 from saletrace.operators.assets import ASSET_SCHEMA
 from saletrace.operators.facts import FACT_COLUMNS
 from saletrace.params import TIER_LABELS
+from saletrace.sources.io import MAX_BROADCAST_ROWS, broadcast_if_small
 
 # asset side of a matched row: (output name, canonical enriched-asset column, type)
 PAIR_ASSET_COLUMNS: tuple[tuple[str, str, str], ...] = (
@@ -115,9 +117,14 @@ def key_tiers(keyed: DataFrame) -> DataFrame:
     return keyed.groupBy("_k_acct", "_k_kind", "_k_val").agg(F.min(tier).alias("_k_tier"))
 
 
-def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id") -> DataFrame:
+def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id",
+               key_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
     """Fact rows with ``_row_tier`` (this row's best tier) and ``_best`` (the
-    line's best tier over all its rows), 1..4."""
+    line's best tier over all its rows), 1..4.
+
+    Each key set is broadcast to the facts when a bounded count shows at
+    most ``key_broadcast_rows`` keys (no shuffle of the facts for the
+    lookup); above the bound the lookup is a sort-merge join."""
     kt = key_tiers(keyed)
     code = kt.where(F.col("_k_kind") == 1).select(
         F.col("_k_acct").alias("_c_acct"), F.col("_k_val").alias("_c_val"),
@@ -125,6 +132,8 @@ def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id") -> Da
     fam = kt.where(F.col("_k_kind") == 2).select(
         F.col("_k_acct").alias("_f_acct"), F.col("_k_val").alias("_f_val"),
         F.col("_k_tier").alias("_f_tier"))
+    code = broadcast_if_small(code, key_broadcast_rows)
+    fam = broadcast_if_small(fam, key_broadcast_rows)
     f = (facts
          .join(code, (F.col("account_id") == F.col("_c_acct"))
                & (F.col("base_product_code") == F.col("_c_val")), "left")
@@ -142,7 +151,8 @@ def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id") -> Da
 
 def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
                  id_col: str = "oli_id",
-                 materialize_with: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                 materialize_with: Callable[[DataFrame], DataFrame] | None = None,
+                 key_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
     """All pairs of each line's best tier, else one ``no_match`` row (C5).
 
     ``facts``: ``line_facts`` output.  ``assets``: ``enrich_assets`` output.
@@ -156,7 +166,7 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
     not run twice.
     """
     keyed = keyed_assets(assets, class_family)
-    f = best_tiers(facts, keyed, id_col)
+    f = best_tiers(facts, keyed, id_col, key_broadcast_rows)
     if materialize_with is not None:
         f = materialize_with(f)
     best = F.col("_best")
