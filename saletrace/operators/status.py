@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from saletrace.functions.logic import decision_list, flag01, is_true
 from saletrace.params import DECOM_SOURCE_LABELS, STATUS_LABELS, StatusRules
+from saletrace.sources.io import broadcast_if_small
 
 
 def decom_rollup(events: DataFrame, rules: StatusRules = StatusRules()) -> DataFrame:
@@ -33,6 +34,8 @@ def reversal_rollup(lines: DataFrame, rebook: DataFrame, quote: DataFrame,
     (opportunity, incident) pairs — small, incident-sized — joined to the
     lines by an equi join.  Duplicates from the union or from duplicated
     quotes do not matter: the aggregates are a distinct count and maxima.
+    The incident pairs are broadcast to the lines when a bounded count
+    shows them small, so the line table is not shuffled for the join.
     """
     rr = rebook.where(F.col("booking_type") == rules.reversal_booking)
     direct = (rr.where(F.col("link_type") == rules.opportunity_link)
@@ -41,7 +44,7 @@ def reversal_rollup(lines: DataFrame, rebook: DataFrame, quote: DataFrame,
     via_quote = (rr.where(F.col("link_type") == rules.quote_link)
                  .join(q, F.col("linked_id") == F.col("_q_id"))
                  .select("_rr_opp", "incident_number", "processed_as"))
-    incidents = direct.unionByName(via_quote)
+    incidents = broadcast_if_small(direct.unionByName(via_quote), rules.broadcast_rows)
     return (lines.select("oli_id", F.col("opp_id").alias("_l_opp"))
             .join(incidents, F.col("_l_opp") == F.col("_rr_opp"))
             .groupBy("oli_id")
@@ -90,11 +93,15 @@ def line_status(line_asset: DataFrame, decom: DataFrame, reversals: DataFrame,
 
     ``decom`` is ``decom_rollup`` output (unique per asset) and
     ``reversals`` is ``reversal_rollup`` output (unique per line), so the
-    two left joins keep the row count.  Both rollups are small next to the
-    line table; AQE broadcasts them when their measured size allows.
+    two left joins keep the row count.  The decommission rollup is
+    broadcast when a bounded count shows it small (``rules.broadcast_rows``);
+    the reversal rollup, one row per line with an incident, is left to
+    Spark's size-based choice.
     """
     as_of = F.lit(rules.as_of).cast("date") if rules.as_of else F.current_date()
-    d = decom.select(F.col("asset_id").alias("_d_asset"), "decom_date", "decom_count")
+    d = broadcast_if_small(
+        decom.select(F.col("asset_id").alias("_d_asset"), "decom_date", "decom_count"),
+        rules.broadcast_rows)
     rv = reversals.select(F.col("oli_id").alias("_r_oli"), "incident_number",
                           "incident_count", "processed_as")
     j = (line_asset

@@ -95,6 +95,8 @@ class StatusRules:
     reversal_booking: str = "Reversal"
     opportunity_link: str = "Opportunity"
     quote_link: str = "Quote"
+    # broadcast a rollup / incident side when it has at most this many rows
+    broadcast_rows: int | None = 2_000_000
 
 
 @dataclass(frozen=True)
