@@ -71,6 +71,23 @@ def compare_snapshots(old: DataFrame, new: DataFrame, key: str = "oli_id",
     both = (old.select(F.col(key).alias("_k"), g.alias("_g"), F.lit(True).alias("_old"))
             .unionByName(new.select(F.col(key).alias("_k"), g.alias("_g"),
                                     F.lit(False).alias("_old"))))
+    return _compare_tagged(both, group, count_col)
+
+
+def compare_cuts(rows: DataFrame, in_old, in_new, key: str = "oli_id", group: str = "family",
+                 count_col: str = "unique_oli_count") -> DataFrame:
+    """``compare_snapshots`` of two cuts of one table (``in_old``/``in_new``
+    are boolean columns; a row may be in both), reading ``rows`` once: each
+    row is tagged with its sides by an ``explode``, no second scan."""
+    g = F.struct(F.col(group).alias("g"))
+    sides = F.filter(F.array(F.when(in_old, F.lit(True)), F.when(in_new, F.lit(False))),
+                     lambda x: x.isNotNull())
+    both = rows.select(F.col(key).alias("_k"), g.alias("_g"), F.explode(sides).alias("_old"))
+    return _compare_tagged(both, group, count_col)
+
+
+def _compare_tagged(both: DataFrame, group: str, count_col: str) -> DataFrame:
+    """The comparison over rows ``(_k, _g: struct<g>, _old: boolean)``."""
     per_key = both.groupBy("_k").agg(
         F.collect_set(F.when(F.col("_old"), F.col("_g"))).alias("_go"),
         F.collect_set(F.when(~F.col("_old"), F.col("_g"))).alias("_gn"))

@@ -13,7 +13,7 @@ from saletrace.functions.hosts import dotted_prefix, first_label
 from saletrace.functions.logic import is_true, ordinal, sorted_join
 from saletrace.operators.assets import enrich_assets, host_keys, unify_sources
 from saletrace.operators.classify import classify_lines
-from saletrace.operators.compare import compare_snapshots, rank_segments, segments
+from saletrace.operators.compare import compare_cuts, rank_segments, segments
 from saletrace.operators.exclusion import exclude_not_in
 from saletrace.operators.facts import base_product_codes, line_facts, linked_ids
 from saletrace.operators.matching import tiered_match
@@ -136,9 +136,15 @@ def q_tier_summary(spark: SparkSession, sf: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("oli_id").alias("n_lines")))
 
 
+def _cuts(p: "Pipeline") -> DataFrame:
+    """Two cuts of one match run, compared in one pass over the match."""
+    close = F.col("close_date")
+    return compare_cuts(p.matched_plan(), close < F.lit(OLD_RUN_BEFORE).cast("date"),
+                        close >= F.lit(NEW_RUN_FROM).cast("date"))
+
+
 def q_snapshot_compare(spark: SparkSession, sf: str) -> DataFrame:
-    old, new = Pipeline(spark, sf).snapshots()
-    return compare_snapshots(old, new)
+    return _cuts(Pipeline(spark, sf))
 
 
 def q_snapshot_segments(spark: SparkSession, sf: str) -> DataFrame:
@@ -149,8 +155,7 @@ def q_snapshot_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_ranked_segments(spark: SparkSession, sf: str) -> DataFrame:
-    old, new = Pipeline(spark, sf).snapshots()
-    return rank_segments(compare_snapshots(old, new))
+    return rank_segments(_cuts(Pipeline(spark, sf)))
 
 
 def q_classify_lines(spark: SparkSession, sf: str) -> DataFrame:

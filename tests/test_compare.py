@@ -42,3 +42,18 @@ def test_compare_equals_literal_sql(spark, old, new):
     rows = [(r["family"], r["segment"], r["unique_oli_count"]) for r in got.collect()]
     assert len(rows) == len({(f, s) for f, s, _ in rows})
     assert Counter({(f, s): c for f, s, c in rows}) == brute(old, new)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from(["F1", None]),
+                          st.integers(0, 3)), max_size=8))
+def test_one_pass_cuts_equal_two_snapshots(spark, rows):
+    from pyspark.sql import functions as F
+
+    from saletrace.operators.compare import compare_cuts
+
+    df = spark.createDataFrame(rows, "oli_id string, family string, d int")
+    old, new = df.where(F.col("d") < 2), df.where(F.col("d") >= 1)
+    a = sorted(map(tuple, compare_snapshots(old, new).collect()), key=str)
+    b = sorted(map(tuple, compare_cuts(df, F.col("d") < 2, F.col("d") >= 1).collect()), key=str)
+    assert a == b
