@@ -118,14 +118,16 @@ def key_tiers(keyed: DataFrame) -> DataFrame:
 
 
 def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id",
-               key_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+               key_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
+               tiers_of_keys: DataFrame | None = None) -> DataFrame:
     """Fact rows with ``_row_tier`` (this row's best tier) and ``_best`` (the
     line's best tier over all its rows), 1..4.
 
     Each key set is broadcast to the facts when a bounded count shows at
     most ``key_broadcast_rows`` keys (no shuffle of the facts for the
-    lookup); above the bound the lookup is a sort-merge join."""
-    kt = key_tiers(keyed)
+    lookup); above the bound the lookup is a sort-merge join.
+    ``tiers_of_keys``: a precomputed (e.g. materialised) ``key_tiers``."""
+    kt = key_tiers(keyed) if tiers_of_keys is None else tiers_of_keys
     code = kt.where(F.col("_k_kind") == 1).select(
         F.col("_k_acct").alias("_c_acct"), F.col("_k_val").alias("_c_val"),
         F.col("_k_tier").alias("_c_tier"))
@@ -160,13 +162,17 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
     columns, the 15 asset columns of ``PAIR_ASSET_COLUMNS`` and
     ``match_type``.
 
-    ``materialize_with`` is applied to the tier-annotated facts, which two
-    branches read (pairs and unmatched lines); pass
-    ``plans.materialize.materialize`` (or a persist) so the facts join is
-    not run twice.
+    ``materialize_with`` is applied to the key tiers (read by two lookups
+    and their size checks) and to the tier-annotated facts (read by the
+    pairs and the unmatched lines); pass ``plans.materialize.materialize``
+    so neither is computed twice.
     """
     keyed = keyed_assets(assets, class_family)
-    f = best_tiers(facts, keyed, id_col, key_broadcast_rows)
+    kt = key_tiers(keyed)
+    if materialize_with is not None:
+        # small: written once, then counted and read cheaply
+        kt = materialize_with(kt)
+    f = best_tiers(facts, keyed, id_col, key_broadcast_rows, kt)
     if materialize_with is not None:
         f = materialize_with(f)
     best = F.col("_best")

@@ -73,7 +73,7 @@ class Pipeline:
 
     def matched_plan(self) -> DataFrame:
         return tiered_match(self.facts(), self.enriched_table(), self.fx.class_family(),
-                            materialize_with=lambda df: materialize(df, "line_tiers", self.mode))
+                            materialize_with=lambda df: materialize(df, "match_step", self.mode))
 
     def matched(self) -> DataFrame:
         if self._matched is None:

@@ -74,7 +74,7 @@ def run_reconciliation(spark: SparkSession, inputs: Inputs, rules: Rules, out_di
     facts = line_facts(inputs.opportunity, inputs.line_item, inputs.quote_line, inputs.quote,
                        inputs.product, inputs.reversal, rules.facts)
     matched = tiered_match(facts, assets, class_family,
-                           materialize_with=lambda df: materialize(df, "line_tiers"))
+                           materialize_with=lambda df: materialize(df, "match_step"))
     written["matched"] = write_snapshot(matched, f"{out}/matched", run_id)
     matched = read_snapshot(spark, f"{out}/matched", run_id)
 
