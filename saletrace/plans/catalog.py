@@ -36,7 +36,7 @@ def local_checkpoint_fallback() -> str:
     return tempfile.mkdtemp(prefix="saletrace-ckpt-")
 
 
-class Pipeline:
+class FixtureRun:
     """The chain of operators over one fixture folder.  Steps are lazy
     DataFrames; the intermediates read more than once (enriched assets,
     tier-annotated facts, matched pairs) are materialised under the
@@ -106,37 +106,37 @@ class Pipeline:
 # ---- catalogue entries --------------------------------------------------------
 
 def q_unify_sources(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).assets()
+    return FixtureRun(spark, sf).assets()
 
 
 def q_host_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).keys()
+    return FixtureRun(spark, sf).keys()
 
 
 def q_enrich_assets(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).enriched()
+    return FixtureRun(spark, sf).enriched()
 
 
 def q_line_facts(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).facts()
+    return FixtureRun(spark, sf).facts()
 
 
 def q_asset_links(spark: SparkSession, sf: str) -> DataFrame:
     """Assets with account and deployment link only (no decommission key)."""
-    p = Pipeline(spark, sf, mode="none")
+    p = FixtureRun(spark, sf, mode="none")
     return enrich_assets(p.assets(), p.fx.master_account(), p.fx.deployment())
 
 
 def q_tiered_match(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).matched_plan()
+    return FixtureRun(spark, sf).matched_plan()
 
 
 def q_tier_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return (Pipeline(spark, sf).matched_plan().groupBy("match_type")
+    return (FixtureRun(spark, sf).matched_plan().groupBy("match_type")
             .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("oli_id").alias("n_lines")))
 
 
-def _cuts(p: "Pipeline") -> DataFrame:
+def _cuts(p: "FixtureRun") -> DataFrame:
     """Two cuts of one match run, compared in one pass over the match."""
     close = F.col("close_date")
     return compare_cuts(p.matched_plan(), close < F.lit(OLD_RUN_BEFORE).cast("date"),
@@ -144,23 +144,23 @@ def _cuts(p: "Pipeline") -> DataFrame:
 
 
 def q_snapshot_compare(spark: SparkSession, sf: str) -> DataFrame:
-    return _cuts(Pipeline(spark, sf))
+    return _cuts(FixtureRun(spark, sf))
 
 
 def q_snapshot_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Row-level segments: distinct (line, family) of both runs, full outer
     joined on the line id."""
-    old, new = Pipeline(spark, sf).snapshots()
+    old, new = FixtureRun(spark, sf).snapshots()
     return segments(old, new)
 
 
 def q_ranked_segments(spark: SparkSession, sf: str) -> DataFrame:
-    return rank_segments(_cuts(Pipeline(spark, sf)))
+    return rank_segments(_cuts(FixtureRun(spark, sf)))
 
 
 def q_classify_lines(spark: SparkSession, sf: str) -> DataFrame:
     # the match is read once here: no need to write it first
-    p = Pipeline(spark, sf)
+    p = FixtureRun(spark, sf)
     return p.classes(p.matched_plan())
 
 
@@ -174,19 +174,19 @@ def q_reversal_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_line_status(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).status()
+    return FixtureRun(spark, sf).status()
 
 
 def q_status_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).status().groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return FixtureRun(spark, sf).status().groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_account_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return Pipeline(spark, sf).rollup()
+    return FixtureRun(spark, sf).rollup()
 
 
 def q_period_change(spark: SparkSession, sf: str) -> DataFrame:
-    p = Pipeline(spark, sf)
+    p = FixtureRun(spark, sf)
     return period_change(p.fx.arr_quarter(), p.rollup(), FIXTURE_PERIOD_RULES)
 
 

@@ -4,7 +4,7 @@ column pruning at the scans, no repeated upstream plans in the match."""
 import pytest
 
 import __spark_entry__ as entry
-from saletrace.plans.catalog import Pipeline
+from saletrace.plans.catalog import FixtureRun
 from saletrace.plans.checks import count_nodes, plan_problems, read_schemas
 
 COMPOSITES = ["line_facts", "tiered_match", "snapshot_compare", "classify_lines",
@@ -33,7 +33,7 @@ def test_match_reads_each_input_once(spark, sf_small):
 
     from saletrace.plans.checks import physical_plan
 
-    df = Pipeline(spark, sf_small).matched_plan()
+    df = FixtureRun(spark, sf_small).matched_plan()
     # the facts join and key lookups ran once, into the materialised
     # line-tier table; the match plan reads that table (pairs, unmatched)
     # and the asset table (code-keyed and family-keyed), pruned

@@ -1,7 +1,7 @@
 """The end-to-end run writes one snapshot per table and run; two runs of
 the same inputs compare as identical."""
 
-from saletrace.plans.pipeline import compare_runs, fixture_inputs, run_reconciliation
+from saletrace.plans.reconcile import compare_runs, fixture_inputs, run_reconciliation
 
 
 def test_two_runs_compare_identical(spark, sf_small, tmp_path):
