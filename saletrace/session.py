@@ -54,10 +54,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint folder; only where it is unset (tests,
-    local benchmarks) take ``fallback``."""
+    """Use the session's checkpoint folder; only where it is unset and the
+    session runs in local mode (tests, local benchmarks) take ``fallback``.
+    A cluster session must name a shared folder: a driver-local one is not
+    visible to the executors and does not survive losing them."""
     d = checkpoint_dir(spark)
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage "
+                           "(intermediates are materialised there)")
     spark.sparkContext.setCheckpointDir(fallback)
     return spark.sparkContext.getCheckpointDir() or fallback
