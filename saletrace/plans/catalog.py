@@ -22,7 +22,7 @@ from saletrace.operators.profile import profile_columns
 from saletrace.operators.rollups import account_rollup
 from saletrace.operators.status import decom_rollup, line_status, reversal_rollup
 from saletrace.plans.materialize import materialize
-from saletrace.session import ensure_checkpoint_dir
+from saletrace.session import checkpoint_dir, ensure_checkpoint_dir
 from saletrace.sources.fixtures import (
     FIXTURE_CLASSIFY_RULES, FIXTURE_FACT_RULES, FIXTURE_PERIOD_RULES,
     FIXTURE_STATUS_RULES, NEW_RUN_FROM, OLD_RUN_BEFORE, Fixtures)
@@ -46,7 +46,7 @@ class FixtureRun:
     def __init__(self, spark: SparkSession, sf_dir: str, mode: str = "table"):
         self.fx = Fixtures(spark, sf_dir)
         self.mode = mode
-        if mode != "none":
+        if mode != "none" and not checkpoint_dir(spark):
             ensure_checkpoint_dir(spark, local_checkpoint_fallback())
         self._assets = None
         self._matched = None
