@@ -33,9 +33,12 @@ def classify_lines(matched: DataFrame, rules: ClassifyRules = ClassifyRules(),
     override = (contains_any(F.col("family"), rules.always_provisioned)
                 | (contains_any(F.col("family"), rules.provisioned_after)
                    & (F.col("close_date") > F.lit(rules.provisioned_after_date).cast("date"))))
+    # the original keeps the line id when provisioned and takes MAX of it,
+    # i.e. "any row provisioned"; an integer flag (set only where the id is
+    # not NULL) says the same and aggregates by hash instead of by sort
     scored = rows.select(
         oid.alias(id_col),
-        F.when(override, oid).otherwise(F.when(provisioned, oid)).alias("_prov"),
+        F.when((override | provisioned) & oid.isNotNull(), F.lit(1)).alias("_prov"),
         flag01((F.col("reversal_opp") == REVERSAL_LABEL) | F.col("decom_resource").isNotNull())
         .alias("_decom"))
     per_line = scored.groupBy(id_col).agg(F.max("_decom").alias("_decom"),
