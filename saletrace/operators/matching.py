@@ -26,10 +26,9 @@ assets, and a NULL-aware anti join per earlier tier):
   to one row per key before any shuffle;
 * each fact row looks up its two keys (left joins with the key sets,
   broadcast when a bounded count shows them small, else sort-merge) and
-  gets its own best tier; the line's best
-  tier is the minimum over its rows, a partially aggregated ``min`` per
-  line id joined back (a window would hold all rows of a hot line id in
-  one task);
+  gets its own best tier; the line's best tier is the minimum over its
+  rows, a partially aggregated ``min`` per line id joined back (a window
+  would hold all rows of a hot line id in one task);
 * pairs are generated **only for the winning tier**, in a single join on
   (account, kind, value): pairs of losing tiers, which grow with the square
   of a hot account, are never built, and the pair set is never shuffled
