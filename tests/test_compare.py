@@ -57,3 +57,17 @@ def test_one_pass_cuts_equal_two_snapshots(spark, rows):
     a = sorted(map(tuple, compare_snapshots(old, new).collect()), key=str)
     b = sorted(map(tuple, compare_cuts(df, F.col("d") < 2, F.col("d") >= 1).collect()), key=str)
     assert a == b
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.dictionaries(st.sampled_from("abcdef"), st.sampled_from(["F1", "F2"])),
+       st.dictionaries(st.sampled_from("abcdef"), st.sampled_from(["F1", "F2"])))
+def test_identities_with_unique_ids(spark, old, new):
+    schema = "oli_id string, family string"
+    got = {(r["family"], r["segment"]): r["unique_oli_count"] for r in compare_snapshots(
+        spark.createDataFrame(list(old.items()), schema),
+        spark.createDataFrame(list(new.items()), schema)).collect()}
+    o = lambda seg: got.get(("overall", seg), 0)
+    assert o("old_only") + o("in_both") == o("total_old")
+    assert o("new_only") + o("in_both") == o("total_new")
+    assert o("in_both") <= min(o("total_old"), o("total_new"))

@@ -101,3 +101,17 @@ def test_empty_assets_gives_no_match_rows(spark):
              {"opp_id": "O2", "oli_id": "L1", "account_id": "A1", "family": "F1"}]
     got = run(spark, facts, [])
     assert got == Counter({("O1", "L1", None, "no_match"): 1, ("O2", "L1", None, "no_match"): 1})
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(fact_rows, asset_rows)
+def test_every_line_in_exactly_one_tier(spark, facts, assets):
+    facts = [dict(f, opp_id=f"O{i}") for i, f in enumerate(facts)]
+    assets = [dict(a, asset_id=f"V{i}", deployment_asset_id=f"V{i}" if a.pop("has_dep") else None)
+              for i, a in enumerate(assets)]
+    got = run(spark, facts, assets)
+    tiers_per_line = {}
+    for (_, oli, _, tier), n in got.items():
+        tiers_per_line.setdefault(oli, set()).add(tier)
+    assert set(tiers_per_line) == {f["oli_id"] for f in facts}
+    assert all(len(t) == 1 for t in tiers_per_line.values())
