@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from saletrace.sources.io import constant_relation
+
 
 def profile_table(name: str, df: DataFrame, exact: bool = True) -> DataFrame:
     """One row per column of ``df``: ``(table_name, column_name, data_type,
@@ -47,13 +49,40 @@ def profile_table(name: str, df: DataFrame, exact: bool = True) -> DataFrame:
         "_c.non_null_count", "_c.distinct_count")
 
 
+def column_listing(name: str, df: DataFrame) -> DataFrame:
+    """``(table_name, column_name, data_type, ordinal_position)`` from the
+    schema alone: no pass over the data."""
+    rows = [(name, f.name, f.dataType.simpleString(), i + 1)
+            for i, f in enumerate(df.schema.fields)]
+    return constant_relation(df.sparkSession, rows,
+                             "table_name string, column_name string, data_type string, "
+                             "ordinal_position int")
+
+
 def profile_columns(tables: Mapping[str, DataFrame], table_filter: Sequence[str] | None = None,
-                    exact: bool = True, sort: bool = False) -> DataFrame:
+                    exact: bool = True, sort: bool = False, counts: bool = True) -> DataFrame:
     """Profile of every column of the given tables (C12), optionally only
     the tables named in ``table_filter``; ordered by table and ordinal when
-    ``sort``."""
+    ``sort``.  ``counts=False`` lists names, types and ordinals only (the
+    original's metadata listing), without reading any data."""
     names = sorted(n for n in tables if table_filter is None or n in set(table_filter))
     if not names:
         raise ValueError("no table to profile")
-    out = reduce(DataFrame.unionByName, (profile_table(n, tables[n], exact) for n in names))
+    one = (lambda n: profile_table(n, tables[n], exact)) if counts else \
+        (lambda n: column_listing(n, tables[n]))
+    out = reduce(DataFrame.unionByName, (one(n) for n in names))
     return out.orderBy("table_name", "ordinal_position") if sort else out
+
+
+def profile_catalog(spark: SparkSession, database: str | None = None,
+                    tables: Sequence[str] | None = None, counts: bool = True,
+                    exact: bool = True, sort: bool = True) -> DataFrame:
+    """``profile_columns`` over the tables (and temporary views) of a Spark
+    catalog database, optionally only ``tables``; the catalog/schema filter
+    of the original's listing.  Only table names come to the driver."""
+    found = {}
+    for t in spark.catalog.listTables(database):
+        qualified = t.name if t.isTemporary or not t.namespace else \
+            ".".join([*t.namespace, t.name])
+        found[t.name] = spark.table(qualified)
+    return profile_columns(found, tables, exact=exact, sort=sort, counts=counts)

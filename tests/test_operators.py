@@ -245,3 +245,16 @@ def test_account_rollup_long_form_has_same_content(spark):
             vals = sorted(x["value"] for x in long
                           if (x["account_id"], x["family"], x["list"]) == (acct, fam, lst))
             assert ", ".join(vals) == r[lst]
+
+
+def test_profile_listing_and_catalog(spark):
+    from saletrace.operators.profile import profile_catalog
+
+    a = spark.createDataFrame([(1, "x"), (2, None)], "n int, s string")
+    listing = profile_columns({"a": a}, counts=False, sort=True).collect()
+    assert [(r["column_name"], r["data_type"], r["ordinal_position"]) for r in listing] == \
+        [("n", "int", 1), ("s", "string", 2)]
+    a.createOrReplaceTempView("profile_probe_a")
+    got = {r["column_name"]: r for r in profile_catalog(spark, tables=["profile_probe_a"]).collect()}
+    assert got["s"]["non_null_count"] == 1 and got["n"]["distinct_count"] == 2
+    spark.catalog.dropTempView("profile_probe_a")
