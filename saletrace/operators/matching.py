@@ -108,12 +108,13 @@ def keyed_assets(assets: DataFrame, class_family: DataFrame) -> DataFrame:
 
 
 def key_tiers(keyed: DataFrame) -> DataFrame:
-    """Distinct keys with the best tier each gives: ``(_k_acct, _k_kind,
-    _k_val, _k_tier)``."""
+    """Distinct keys with the best tier each gives and their number of
+    asset rows: ``(_k_acct, _k_kind, _k_val, _k_tier, _k_rows)``."""
     tier = (F.when(F.col("_k_kind") == 1, F.lit(1))
             .when(F.col("deployment_asset_id").isNotNull(), F.lit(2))
             .otherwise(F.lit(3)))
-    return keyed.groupBy("_k_acct", "_k_kind", "_k_val").agg(F.min(tier).alias("_k_tier"))
+    return keyed.groupBy("_k_acct", "_k_kind", "_k_val").agg(
+        F.min(tier).alias("_k_tier"), F.count(F.lit(1)).alias("_k_rows"))
 
 
 def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id",
@@ -150,10 +151,41 @@ def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id",
             .drop("_b_id"))
 
 
+def _salted(probe: DataFrame, keyed: DataFrame, kt: DataFrame, hot_rows: int,
+            buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Split hot keys of the pair join into ``buckets`` slices.
+
+    A key is hot when more than ``hot_rows`` asset rows carry it; there are
+    at most (asset rows / ``hot_rows``) such keys, so the hot-key set has a
+    proven bound and is broadcast.  Asset rows of a hot key get a bucket
+    from a hash of the asset id; probe rows of a hot key are replicated
+    once per bucket.  Every (line, asset) pair still meets exactly once.
+    """
+    hot = F.broadcast(kt.where(F.col("_k_rows") > hot_rows)
+                      .select(F.col("_k_acct").alias("_h_acct"), F.col("_k_kind").alias("_h_kind"),
+                              F.col("_k_val").alias("_h_val"), F.lit(True).alias("_hot")))
+    k_on = ((F.col("_k_acct") == F.col("_h_acct")) & (F.col("_k_kind") == F.col("_h_kind"))
+            & (F.col("_k_val") == F.col("_h_val")))
+    keyed_s = (keyed.join(hot, k_on, "left")
+               .withColumn("_k_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("asset_id"),
+                                                                  F.lit(buckets)))
+                           .otherwise(F.lit(0)))
+               .drop("_h_acct", "_h_kind", "_h_val", "_hot"))
+    p_on = ((F.col("account_id") == F.col("_h_acct")) & (F.col("_p_kind") == F.col("_h_kind"))
+            & (F.col("_p_val") == F.col("_h_val")))
+    probe_s = (probe.join(hot, p_on, "left")
+               .withColumn("_p_salt", F.explode(
+                   F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>"))
+                   .otherwise(F.array(F.lit(0).cast("bigint")))))
+               .drop("_h_acct", "_h_kind", "_h_val", "_hot"))
+    return probe_s, keyed_s
+
+
 def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
                  id_col: str = "oli_id",
                  materialize_with: Callable[[DataFrame], DataFrame] | None = None,
-                 key_broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+                 key_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
+                 salt_buckets: int = 0, hot_key_rows: int = 1_000_000) -> DataFrame:
     """All pairs of each line's best tier, else one ``no_match`` row (C5).
 
     ``facts``: ``line_facts`` output.  ``assets``: ``enrich_assets`` output.
@@ -165,6 +197,10 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
     and their size checks) and to the tier-annotated facts (read by the
     pairs and the unmatched lines); pass ``plans.materialize.materialize``
     so neither is computed twice.
+
+    ``salt_buckets > 1`` splits every key with more than ``hot_key_rows``
+    asset rows over that many tasks in the pair join (see ``_salted``),
+    independent of AQE's skew handling; the result is the same.
     """
     keyed = keyed_assets(assets, class_family)
     kt = key_tiers(keyed)
@@ -186,6 +222,9 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
             & (F.col("_p_val") == F.col("_k_val"))
             & ((best != 2) | F.col("deployment_asset_id").isNotNull()))
     match_type = F.element_at(F.array(*[F.lit(t) for t in TIER_LABELS[:3]]), best)
+    if salt_buckets > 1:
+        probe, keyed = _salted(probe, keyed, kt, hot_key_rows, salt_buckets)
+        cond = cond & (F.col("_p_salt") == F.col("_k_salt"))
     pairs = (probe.join(keyed, cond)
              .select(*[F.col(c) for c in FACT_COLUMNS],
                      *[F.col(n) for n, _, _ in PAIR_ASSET_COLUMNS],

@@ -60,9 +60,12 @@ class Rules:
 
 
 def run_reconciliation(spark: SparkSession, inputs: Inputs, rules: Rules, out_dir: str,
-                       run_id: str) -> dict[str, str]:
+                       run_id: str, salt_buckets: int = 0,
+                       hot_key_rows: int = 1_000_000) -> dict[str, str]:
     """Run the match, classification, status dataset and period report;
-    write each as a snapshot of ``run_id``; return ``{table: folder}``."""
+    write each as a snapshot of ``run_id``; return ``{table: folder}``.
+    ``salt_buckets``/``hot_key_rows``: explicit splitting of hot match keys
+    (see ``tiered_match``); 0 leaves skew to AQE."""
     out = out_dir.rstrip("/")
     written: dict[str, str] = {}
     class_family = lookup(spark, rules.lookups.class_family, "class_name string, family string")
@@ -74,7 +77,8 @@ def run_reconciliation(spark: SparkSession, inputs: Inputs, rules: Rules, out_di
     facts = line_facts(inputs.opportunity, inputs.line_item, inputs.quote_line, inputs.quote,
                        inputs.product, inputs.reversal, rules.facts)
     matched = tiered_match(facts, assets, class_family,
-                           materialize_with=lambda df: materialize(df, "match_step"))
+                           materialize_with=lambda df: materialize(df, "match_step"),
+                           salt_buckets=salt_buckets, hot_key_rows=hot_key_rows)
     written["matched"] = write_snapshot(matched, f"{out}/matched", run_id)
     matched = read_snapshot(spark, f"{out}/matched", run_id)
 

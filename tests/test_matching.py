@@ -115,3 +115,28 @@ def test_every_line_in_exactly_one_tier(spark, facts, assets):
         tiers_per_line.setdefault(oli, set()).add(tier)
     assert set(tiers_per_line) == {f["oli_id"] for f in facts}
     assert all(len(t) == 1 for t in tiers_per_line.values())
+
+
+def run_salted(spark, facts, assets, buckets=3, hot=1):
+    lk = spark.createDataFrame(LOOKUP, "class_name string, family string")
+    res = tiered_match(facts_df(spark, facts), assets_df(spark, assets), lk,
+                       salt_buckets=buckets, hot_key_rows=hot)
+    return Counter((r["opp_id"], r["oli_id"], r["asset_id"], r["match_type"])
+                   for r in res.collect())
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(fact_rows, asset_rows)
+def test_salted_pair_join_equals_cascade(spark, facts, assets):
+    facts = [dict(f, opp_id=f"O{i}") for i, f in enumerate(facts)]
+    assets = [dict(a, asset_id=f"V{i}", deployment_asset_id=f"V{i}" if a.pop("has_dep") else None)
+              for i, a in enumerate(assets)]
+    assert run_salted(spark, facts, assets) == brute_cascade(facts, assets)
+
+
+def test_salted_hot_account_keeps_all_pairs(spark):
+    facts = [{"opp_id": f"O{i}", "oli_id": f"L{i}", "account_id": "HOT", "family": "F2"}
+             for i in range(20)]
+    assets = [{"asset_id": f"V{j}", "account_id": "HOT", "class_name": "c2"} for j in range(30)]
+    got = run_salted(spark, facts, assets, buckets=4, hot=10)
+    assert got == brute_cascade(facts, assets) and sum(got.values()) == 600
