@@ -28,6 +28,13 @@ from saletrace.sources.fixtures import (
     FIXTURE_STATUS_RULES, NEW_RUN_FROM, OLD_RUN_BEFORE, Fixtures)
 
 
+# the fixture accounts are few (150), so at scale every match key is hot:
+# keys with more than HOT_KEY_ROWS asset rows are split over SALT_BUCKETS
+# tasks in the pair join (no effect below the threshold)
+SALT_BUCKETS = 16
+HOT_KEY_ROWS = 1_000_000
+
+
 def local_checkpoint_fallback() -> str:
     """A scratch folder for runs whose session names no shared checkpoint
     folder (tests, the local driver); a cluster session names its own."""
@@ -73,7 +80,8 @@ class FixtureRun:
 
     def matched_plan(self) -> DataFrame:
         return tiered_match(self.facts(), self.enriched_table(), self.fx.class_family(),
-                            materialize_with=lambda df: materialize(df, "match_step", self.mode))
+                            materialize_with=lambda df: materialize(df, "match_step", self.mode),
+                            salt_buckets=SALT_BUCKETS, hot_key_rows=HOT_KEY_ROWS)
 
     def matched(self) -> DataFrame:
         if self._matched is None:

@@ -60,12 +60,13 @@ class Rules:
 
 
 def run_reconciliation(spark: SparkSession, inputs: Inputs, rules: Rules, out_dir: str,
-                       run_id: str, salt_buckets: int = 0,
+                       run_id: str, salt_buckets: int = 16,
                        hot_key_rows: int = 1_000_000) -> dict[str, str]:
     """Run the match, classification, status dataset and period report;
     write each as a snapshot of ``run_id``; return ``{table: folder}``.
     ``salt_buckets``/``hot_key_rows``: explicit splitting of hot match keys
-    (see ``tiered_match``); 0 leaves skew to AQE."""
+    (see ``tiered_match``; no effect below the threshold); 0 leaves skew
+    to AQE alone."""
     out = out_dir.rstrip("/")
     written: dict[str, str] = {}
     class_family = lookup(spark, rules.lookups.class_family, "class_name string, family string")
