@@ -258,3 +258,17 @@ def test_profile_listing_and_catalog(spark):
     got = {r["column_name"]: r for r in profile_catalog(spark, tables=["profile_probe_a"]).collect()}
     assert got["s"]["non_null_count"] == 1 and got["n"]["distinct_count"] == 2
     spark.catalog.dropTempView("profile_probe_a")
+
+
+def test_period_rejects_counts_bad_amounts(spark):
+    from saletrace.operators.period import period_rejects
+
+    arr = _arr(spark, [
+        ("n", "l/A1", "O1", "L1", "F", d("2020-05-01"), "1,234", "P1"),
+        ("n", "l/A1", "O1", "L2", "F", d("2020-05-01"), "12.50", "P1"),
+        ("n", "l/A1", "O1", "L3", "F", d("2020-05-01"), None, "P2"),
+        ("n", "l/A1", "O1", "L4", "F", d("2020-05-01"), "x", "P9"),
+    ])
+    got = {r["year_quarter"]: (r["n_rows"], r["n_rejected"])
+           for r in period_rejects(arr, PeriodRules(from_period="P1", to_period="P2")).collect()}
+    assert got == {"P1": (2, 1), "P2": (1, 0)}
