@@ -117,16 +117,28 @@ def key_tiers(keyed: DataFrame) -> DataFrame:
         F.min(tier).alias("_k_tier"), F.count(F.lit(1)).alias("_k_rows"))
 
 
+def key_counts(kt: DataFrame, hot_key_rows: int) -> tuple[int, int, int]:
+    """(code keys, family keys, hot keys) of a key-tier table: one small
+    aggregation, three numbers to the driver.  Drives the broadcast and
+    salting decisions of the match."""
+    r = kt.agg(F.count(F.when(F.col("_k_kind") == 1, F.lit(1))).alias("c"),
+               F.count(F.when(F.col("_k_kind") == 2, F.lit(1))).alias("f"),
+               F.count(F.when(F.col("_k_rows") > hot_key_rows, F.lit(1))).alias("h")).first()
+    return int(r["c"]), int(r["f"]), int(r["h"])
+
+
 def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id",
                key_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
-               tiers_of_keys: DataFrame | None = None) -> DataFrame:
+               tiers_of_keys: DataFrame | None = None,
+               key_sizes: tuple[int, int] | None = None) -> DataFrame:
     """Fact rows with ``_row_tier`` (this row's best tier) and ``_best`` (the
     line's best tier over all its rows), 1..4.
 
     Each key set is broadcast to the facts when a bounded count shows at
     most ``key_broadcast_rows`` keys (no shuffle of the facts for the
     lookup); above the bound the lookup is a sort-merge join.
-    ``tiers_of_keys``: a precomputed (e.g. materialised) ``key_tiers``."""
+    ``tiers_of_keys``: a precomputed (e.g. materialised) ``key_tiers``;
+    ``key_sizes``: its (code, family) key counts when already known."""
     kt = key_tiers(keyed) if tiers_of_keys is None else tiers_of_keys
     code = kt.where(F.col("_k_kind") == 1).select(
         F.col("_k_acct").alias("_c_acct"), F.col("_k_val").alias("_c_val"),
@@ -134,8 +146,12 @@ def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id",
     fam = kt.where(F.col("_k_kind") == 2).select(
         F.col("_k_acct").alias("_f_acct"), F.col("_k_val").alias("_f_val"),
         F.col("_k_tier").alias("_f_tier"))
-    code = broadcast_if_small(code, key_broadcast_rows)
-    fam = broadcast_if_small(fam, key_broadcast_rows)
+    if key_sizes is None or key_broadcast_rows is None:
+        code = broadcast_if_small(code, key_broadcast_rows)
+        fam = broadcast_if_small(fam, key_broadcast_rows)
+    else:
+        code = F.broadcast(code) if key_sizes[0] <= key_broadcast_rows else code
+        fam = F.broadcast(fam) if key_sizes[1] <= key_broadcast_rows else fam
     f = (facts
          .join(code, (F.col("account_id") == F.col("_c_acct"))
                & (F.col("base_product_code") == F.col("_c_val")), "left")
@@ -200,14 +216,17 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
 
     ``salt_buckets > 1`` splits every key with more than ``hot_key_rows``
     asset rows over that many tasks in the pair join (see ``_salted``),
-    independent of AQE's skew handling; the result is the same.
+    independent of AQE's skew handling; the result is the same.  One small
+    aggregation over the key tiers gives the key-set sizes and the number of
+    hot keys: it decides both broadcasts and whether to salt at all.
     """
     keyed = keyed_assets(assets, class_family)
     kt = key_tiers(keyed)
     if materialize_with is not None:
         # small: written once, then counted and read cheaply
         kt = materialize_with(kt)
-    f = best_tiers(facts, keyed, id_col, key_broadcast_rows, kt)
+    n_code, n_family, n_hot = key_counts(kt, hot_key_rows)
+    f = best_tiers(facts, keyed, id_col, key_broadcast_rows, kt, (n_code, n_family))
     if materialize_with is not None:
         f = materialize_with(f)
     best = F.col("_best")
@@ -222,7 +241,7 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
             & (F.col("_p_val") == F.col("_k_val"))
             & ((best != 2) | F.col("deployment_asset_id").isNotNull()))
     match_type = F.element_at(F.array(*[F.lit(t) for t in TIER_LABELS[:3]]), best)
-    if salt_buckets > 1:
+    if salt_buckets > 1 and n_hot > 0:
         probe, keyed = _salted(probe, keyed, kt, hot_key_rows, salt_buckets)
         cond = cond & (F.col("_p_salt") == F.col("_k_salt"))
     pairs = (probe.join(keyed, cond)
