@@ -70,3 +70,15 @@ def test_product_broadcast_only_under_the_bound(spark, sf_small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in under
     assert "BroadcastHashJoin" not in over
+
+
+def test_salting_only_when_some_key_is_hot(spark, sf_small):
+    from saletrace.operators.matching import tiered_match
+    from saletrace.plans.checks import physical_plan
+
+    run = FixtureRun(spark, sf_small)
+    facts, assets, lk = run.facts(), run.enriched_table(), run.fx.class_family()
+    cold = physical_plan(tiered_match(facts, assets, lk, salt_buckets=4, hot_key_rows=10**9))
+    hot = physical_plan(tiered_match(facts, assets, lk, salt_buckets=4, hot_key_rows=0))
+    assert "xxhash64" not in cold
+    assert "xxhash64" in hot
