@@ -7,9 +7,11 @@ next.  All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from saletrace.llm import decontam, quality_rules, simhash
+from saletrace.llm import bpe, decontam, quality_rules, secret_scan, simhash
 from saletrace.llm.common import materialize, read, ship
 
 
@@ -31,10 +33,26 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return decontam.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret found is masked; all documents stay."""
+    ship(spark)
+    return secret_scan.redact(docs, secret_scan.train(docs)).withColumn(
+        "n_chars", F.length("text").cast("bigint"))
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    ship(spark)
+    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+
+
 STAGES = [
     ("quality rules", quality_stage),
     ("SimHash near-dedup", near_dedup_stage),
     ("benchmark decontamination", decontamination_stage),
+    ("secret scans", secrets_stage),
+    ("BPE encoding and decoding", encode_stage),
 ]
 
 #: SQL cannot express XXH64 fingerprints or the learned parts.

@@ -144,7 +144,8 @@ def fit_thresholds(measured: DataFrame, labels: DataFrame, alpha: float = 0.01,
                     out["cutoffs"].append(list(r["rungs"][best]))
                     out["bound"].append(bound)
                     out["rung"].append(best)
-            yield pd.DataFrame(out).astype({"bound": "float64", "rung": "int64"})
+            if out["rung"]:
+                yield pd.DataFrame(out)
 
     return materialize(counted.mapInPandas(
         certify, "stratum string, cutoffs array<double>, bound double, rung bigint"), "cutoffs")

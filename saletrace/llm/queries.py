@@ -5,11 +5,46 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, quality_rules, simhash
+from . import bpe, decontam, quality_rules, secret_scan, simhash
 from .common import read, ship
 
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, digested, decoded, digested."""
+    ship(spark)
+    path = public_tokenizers.path(BYTE_BPE)
+    decoded = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path), path)
+    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                          F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+                          .alias("ids_sha256"),
+                          F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: base spans, and those the network adds."""
+    ship(spark)
+    docs = read(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secret_scan.KINDS],
+                        F.sha2(_joined(F.filter("spans", lambda s: s["kind"] != "network")), 256)
+                        .alias("base_sha256"),
+                        _joined(F.col("spans")).alias("spans"))
+
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and risk-controlled verdict of every document."""
@@ -34,6 +69,6 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op7_quality_rules, op9_benchmark_decontamination, op10_simhash_near_dedup)}
+    op1_bpe_encode_decode, op2_secret_scan, op7_quality_rules, op9_benchmark_decontamination, op10_simhash_near_dedup)}
 
 ORACLES: dict[str, str] = {"op9_benchmark_decontamination": decontam.containment_sql()}
