@@ -9,10 +9,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, quality_rules, secret_scan, simhash
+from . import (
+    bpe,
+    decontam,
+    language_id,
+    line_dedup,
+    pu_quality,
+    quality_rules,
+    secret_scan,
+    simhash,
+    token_files,
+    url_rules,
+)
 from .common import read, ship
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +57,34 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         _joined(F.col("spans")).alias("spans"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positive-unlabelled quality score of every document."""
+    ship(spark)
+    return pu_quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated line to remove, with its offsets."""
+    ship(spark)
+    return line_dedup.repeated_lines(read(spark, sf_dir, "documents"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as read back from the written files."""
+    ship(spark)
+    back = token_files.tokenized(spark, read(spark, sf_dir, "documents"),
+                                 public_tokenizers.path(WORD_BPE))
+    return back.select(F.col("id").alias("doc_id"), "start",
+                       F.expr("CAST(octet_length(ids) DIV 4 AS BIGINT)").alias("n_tokens"),
+                       F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated rule and verdict of every page's URL."""
+    ship(spark)
+    return url_rules.url_verdicts(read(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rule and risk-controlled verdict of every document."""
     ship(spark)
@@ -55,6 +94,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                              "s.n_dup_lines", "s.n_repeat_words", "base_failed", "kept")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    ship(spark)
+    docs = read(spark, sf_dir, "documents")
+    return language_id.languages(docs, language_id.fit(docs)).select(
+        "doc_id", "held_out", "lang_pred", "score", F.size("spans").cast("bigint").alias("n_spans"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item it contains."""
     ship(spark)
@@ -69,6 +116,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_bpe_encode_decode, op2_secret_scan, op7_quality_rules, op9_benchmark_decontamination, op10_simhash_near_dedup)}
-
-ORACLES: dict[str, str] = {"op9_benchmark_decontamination": decontam.containment_sql()}
+    op1_bpe_encode_decode, op2_secret_scan, op3_quality_classifier, op4_line_dedup,
+    op5_token_files, op6_url_filter, op7_quality_rules, op8_language_id,
+    op9_benchmark_decontamination, op10_simhash_near_dedup)}
+
+ORACLES: dict[str, str] = {
+    "op4_line_dedup": line_dedup.repeated_lines_sql(),
+    "op9_benchmark_decontamination": decontam.containment_sql(),
+}
