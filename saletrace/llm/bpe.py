@@ -243,5 +243,8 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
-    """Adds ``text``, the decoded ids (special tokens' text included)."""
-    return encoded.withColumn("text", decode_udf(path)(encoded[ids_col]))
+    """Adds ``text``, the decoded ids (special tokens' text included); null
+    ids give an empty text.  The ids pass through the JVM as a column, so
+    that a plan that also reads them does not encode twice."""
+    ids = F.coalesce(encoded[ids_col], F.array().cast("array<int>"))
+    return encoded.withColumn("text", decode_udf(path)(ids))

@@ -80,3 +80,16 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def fold(column: Column, n: int) -> Column:
     """crc32 of a value's text, modulo ``n`` (null stays null)."""
     return F.crc32(column.cast("string").cast("binary")) % n
+
+
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """Each row of ``docs`` as one struct ``row``, beside ``columns``: names
+    of its own columns cannot clash with an operator's."""
+    row = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    return docs.select(row.alias("row"), *[v.alias(k) for k, v in columns.items()])
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **replaced: Column) -> DataFrame:
+    """The columns of ``docs`` back from ``row``; ``replaced`` by name."""
+    own = [replaced.get(c, F.col(f"row.c{i}")).alias(c) for i, c in enumerate(docs.columns)]
+    return rows.select(*own)

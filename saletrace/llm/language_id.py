@@ -198,7 +198,7 @@ def label(texts: list[str], model: WordModel):
     scores = [model.table[r] for r in rows]
     for x, chunks, r, s, path in zip(texts, found, rows, scores, viterbi(scores)):
         letters = model.letters[r]
-        if not letters.sum():
+        if not letters.sum() or model.langs == [UNKNOWN]:
             yield UNKNOWN, 0.0, []
             continue
         weight = np.bincount(path, letters, len(model.langs))

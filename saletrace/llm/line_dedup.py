@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import id_and_text, materialize, packed, unpacked
 
 MIN_WORDS, HOT_ROWS = 20, 1_000_000
 _WHITE = " \t\n\r\x0b\x0c"
@@ -72,10 +72,10 @@ def _repeats(units: DataFrame) -> DataFrame:
         "id", "row", "line", "start", "end", "digest", F.col("first.id").alias("first_id"))
 
 
-def _units(numbered: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    units = numbered.select(numbered[id_col].cast("bigint").alias("id"),
-                            F.col("_row").alias("row"),
-                            F.explode(units_udf(min_words)(numbered[text_col])).alias("u"))
+def _units(numbered: DataFrame, min_words: int) -> DataFrame:
+    """``numbered``: ``id, text, number``."""
+    units = numbered.select("id", F.col("number").alias("row"),
+                            F.explode(units_udf(min_words)("text")).alias("u"))
     return materialize(units.select("id", "row", "u.*"), "lines")
 
 
@@ -84,17 +84,19 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row for each line to remove: the document's id, ``line, start,
     end`` (code points, end exclusive) and ``first_id``, the document that
     keeps the line."""
-    numbered = docs.select(id_col, text_col).withColumn("_row", F.monotonically_increasing_id())
-    return (_repeats(_units(numbered, id_col, text_col, min_words))
+    numbered = id_and_text(docs, id_col, text_col).withColumn(
+        "number", F.monotonically_increasing_id())
+    return (_repeats(_units(numbered, min_words))
             .select(F.col("id").alias(id_col), "line", "start", "end", "first_id"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` without the repeated lines, and ``removed``: their original
-    spans.  A removed line takes its newline with it."""
-    numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    spans = (_repeats(_units(numbered, id_col, text_col, min_words)).groupBy("row")
+    """``docs`` without the repeated lines.  A removed line takes its newline
+    with it; :func:`repeated_lines` has the original offsets."""
+    numbered = materialize(packed(docs, id=docs[id_col].cast("bigint"), text=docs[text_col],
+                                  number=F.monotonically_increasing_id()), "numbered")
+    spans = (_repeats(_units(numbered, min_words)).groupBy(F.col("row").alias("at"))
              .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed")))
 
     @F.arrow_udf(T.StringType())
@@ -110,8 +112,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append(x)
         return pa.array(out, pa.string())
 
-    joined = numbered.join(spans, numbered["_row"] == spans["row"], "left")
-    return joined.withColumn(text_col, cut(joined[text_col], joined["removed"])).drop("_row", "row")
+    joined = numbered.join(spans, numbered["number"] == spans["at"], "left")
+    return unpacked(joined, docs, **{text_col: cut(joined["text"], joined["removed"])})
 
 
 def repeated_lines_sql(documents: str = "documents", min_words: int = MIN_WORDS) -> str:

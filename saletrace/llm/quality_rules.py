@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, materialize
+from .common import fold, materialize, packed, unpacked
 from .textstats import FIELDS, text_stats
 
 #: name -> (numerator, denominator); rejected when the share exceeds the cutoff
@@ -179,11 +179,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
               text_col: str = "text", lang_col: str | None = "lang", **risk) -> DataFrame:
     """The rows of ``docs`` the rules keep, with their own columns."""
     thresholds = fit_thresholds(measure(docs, id_col, text_col, lang_col), labels, **risk)
-    row = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    rows = docs.select(row.alias("row"), stratum(docs, lang_col).alias("stratum"),
-                       stats_udf(docs[text_col]).alias("s"))
-    kept = judge(rows, thresholds).filter("kept")
-    return kept.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    rows = packed(docs, stratum=stratum(docs, lang_col), s=stats_udf(docs[text_col]))
+    return unpacked(judge(rows, thresholds).filter("kept"), docs)
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",

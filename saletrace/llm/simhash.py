@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and_text, materialize
+from .common import id_and_text, materialize, packed, unpacked
 from .components import components
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
@@ -209,11 +209,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kept = docs.join(ids, docs[id_col].cast("bigint") == ids["_keep"], "left_semi")
     kept = kept.dropDuplicates([id_col])
     bare = docs.filter(docs[id_col].isNull())
-    bare = bare.withColumn("_fp", fingerprint_udf(F.coalesce(bare[text_col], F.lit(""))))
-    loose = groups.filter("component_id is null").select(F.col("fp").alias("_group"), "root")
-    bare = (bare.join(loose, bare["_fp"] == loose["_group"])
-            .dropDuplicates(["root"]).select(*docs.columns))
-    return kept.union(bare)
+    loose = packed(bare, fp=fingerprint_udf(F.coalesce(bare[text_col], F.lit("")))).join(
+        groups.filter("component_id is null").select("fp", "root"), "fp").dropDuplicates(["root"])
+    return kept.union(unpacked(loose, bare))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
