@@ -151,7 +151,7 @@ class ShardReader:
 def write_tokens(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "doc_id",
                  text_col: str = "text", end_id: int = END_ID) -> DataFrame:
     """Write the shards of ``docs`` under ``folder``; returns the manifest,
-    one row per shard in id order."""
+    one row per shard in id order (``first`` and ``last``: ids not null)."""
     rows = id_and_text(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
     dealt = rows.repartitionByRange("id", "h").sortWithinPartitions("id", "h")
     end = np.array([end_id], "<u4").tobytes()
@@ -169,10 +169,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, id_col: str = "do
                     if writer is None:
                         system, base = _filesystem(folder)
                         out = system.open_output_stream(f"{base}/{name}", compression=None)
-                        writer, first = ShardWriter(out), ident
+                        writer = ShardWriter(out)
                     ids = bpe.encode(text) + end
                     writer.add(ident, ids)
-                    last, count, total = ident, count + 1, total + len(ids) // 4
+                    if ident is not None:
+                        first, last = ident if first is None else first, ident
+                    count, total = count + 1, total + len(ids) // 4
         if writer is not None:
             writer.close()
             out.close()
