@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saletrace.functions.hosts import dotted_prefix, first_label
-from saletrace.sources.io import MAX_BROADCAST_ROWS, broadcast_if_small
 
 # canonical asset columns and their types, in output order
 ASSET_SCHEMA: tuple[tuple[str, str], ...] = (
@@ -88,8 +87,8 @@ def host_keys(decom_host: DataFrame, app_col: str = "app_hostname",
 
 
 def enrich_assets(assets: DataFrame, master_account: DataFrame, deployment: DataFrame,
-                  decom_keys: DataFrame | None = None, dedupe_decom: bool = False,
-                  broadcast_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
+                  decom_keys: DataFrame | None = None,
+                  dedupe_decom: bool = False) -> DataFrame:
     """Attach account id, deployment link and decommission key (C2).
 
     Three left joins, as the original: ``master_account(source_account_id,
@@ -98,17 +97,15 @@ def enrich_assets(assets: DataFrame, master_account: DataFrame, deployment: Data
     DISTINCT over three columns but joined on one, so an asset can fan out;
     that is kept unless ``dedupe_decom`` (one row per key).
 
-    The account map and the decommission keys are broadcast when a bounded
-    count shows at most ``broadcast_rows`` rows, so only the deployment
-    join shuffles the asset rows.
+    Rows without the join key are dropped from the right sides before their
+    shuffles.  Small sides are broadcast by Spark from their measured size.
     """
     acct = master_account.select(
         F.col("source_account_id").alias("_m_src"), F.col("account_id"))
-    dep = deployment.select(
+    dep = deployment.where(F.col("asset_id").isNotNull()).select(
         F.col("asset_id").alias("deployment_asset_id"),
         F.col("id").alias("deployment_id"),
         F.col("product_code").alias("deployment_code"))
-    acct = broadcast_if_small(acct, broadcast_rows)
     out = (assets
            .join(acct, F.col("source_account_id") == F.col("_m_src"), "left")
            .join(dep, F.col("asset_id") == F.col("deployment_asset_id"), "left"))
@@ -119,6 +116,5 @@ def enrich_assets(assets: DataFrame, master_account: DataFrame, deployment: Data
         keys = keys.where(F.col("decom_resource").isNotNull())
         if dedupe_decom:
             keys = keys.distinct()
-        keys = broadcast_if_small(keys, broadcast_rows)
         out = out.join(keys, F.col("resource_key") == F.col("decom_resource"), "left")
     return out.select(*ASSET_COLUMNS, *ENRICH_COLUMNS)

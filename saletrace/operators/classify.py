@@ -3,13 +3,37 @@ neither; one row per line, lines that are neither are left out."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saletrace.functions.logic import contains_any, flag01
+from saletrace.operators.matching import is_live
 from saletrace.params import REVERSAL_LABEL, ClassifyRules
 
 
+def _labels(rows: DataFrame, provisioned: Column, decommissioned: Column, rules: ClassifyRules,
+            id_col: str) -> DataFrame:
+    """One row per labelled line from row-level tests."""
+    q = F.col("quantity")
+    counted = rows.where((F.col("opp_type") != rules.excluded_opp_type)
+                         & ((q > rules.excluded_quantity) | (q < rules.excluded_quantity)))
+    override = (contains_any(F.col("family"), rules.always_provisioned)
+                | (contains_any(F.col("family"), rules.provisioned_after)
+                   & (F.col("close_date") > F.lit(rules.provisioned_after_date).cast("date"))))
+    # integer flags (set only where the id is not NULL) aggregate by hash
+    scored = counted.select(
+        F.col(id_col),
+        F.when((override | provisioned) & F.col(id_col).isNotNull(), F.lit(1)).alias("_prov"),
+        flag01((F.col("reversal_opp") == REVERSAL_LABEL) | decommissioned).alias("_decom"))
+    per_line = scored.groupBy(id_col).agg(F.max("_decom").alias("_decom"),
+                                          F.max("_prov").alias("_prov"))
+    is_decom = F.col("_decom") == 1
+    is_prov = ~is_decom & F.col("_prov").isNotNull()
+    return (per_line.where(is_decom | is_prov)
+            .select(id_col, F.when(is_decom, F.lit(1)).alias("decom_rr"),
+                    F.when(is_prov, F.lit(1)).alias("provisioned")))
+
+
 def classify_lines(matched: DataFrame, rules: ClassifyRules = ClassifyRules(),
                    id_col: str = "oli_id") -> DataFrame:
     """``(oli_id, decom_rr, provisioned)`` with 1 or NULL flags.
@@ -22,30 +46,14 @@ def classify_lines(matched: DataFrame, rules: ClassifyRules = ClassifyRules(),
     of quantity exactly ``excluded_quantity`` are ignored.  Per line, any
     decommissioned row wins over any provisioned row.
     """
-    oid = F.col(id_col)
-    q = F.col("quantity")
-    rows = matched.where((F.col("opp_type") != rules.excluded_opp_type)
-                         & ((q > rules.excluded_quantity) | (q < rules.excluded_quantity)))
-    provisioned = (((F.col("asset_enabled") == F.lit(True))
-                    & (F.col("install_status") == rules.active_status)
-                    & F.col("used_for").isin(list(rules.live_uses)))
-                   | F.col("match_type").contains(rules.linked_tier_marker))
-    override = (contains_any(F.col("family"), rules.always_provisioned)
-                | (contains_any(F.col("family"), rules.provisioned_after)
-                   & (F.col("close_date") > F.lit(rules.provisioned_after_date).cast("date"))))
-    # the original keeps the line id when provisioned and takes MAX of it,
-    # i.e. "any row provisioned"; an integer flag (set only where the id is
-    # not NULL) says the same and aggregates by hash instead of by sort
-    scored = rows.select(
-        oid.alias(id_col),
-        F.when((override | provisioned) & oid.isNotNull(), F.lit(1)).alias("_prov"),
-        flag01((F.col("reversal_opp") == REVERSAL_LABEL) | F.col("decom_resource").isNotNull())
-        .alias("_decom"))
-    per_line = scored.groupBy(id_col).agg(F.max("_decom").alias("_decom"),
-                                          F.max("_prov").alias("_prov"))
-    is_decom = F.col("_decom") == 1
-    is_prov = ~is_decom & F.col("_prov").isNotNull()
-    return (per_line.where(is_decom | is_prov)
-            .select(id_col,
-                    F.when(is_decom, F.lit(1)).alias("decom_rr"),
-                    F.when(is_prov, F.lit(1)).alias("provisioned")))
+    return _labels(matched, is_live(rules) | F.col("match_type").contains(rules.linked_tier_marker),
+                   F.col("decom_resource").isNotNull(), rules, id_col)
+
+
+def classify_summary(summary: DataFrame, rules: ClassifyRules = ClassifyRules(),
+                     id_col: str = "oli_id") -> DataFrame:
+    """``classify_lines`` from ``match_summary``: the same lines and flags,
+    without building a pair (a line's flags ask only whether any of its
+    assets is live, and whether any is decommissioned)."""
+    return _labels(summary, F.col("any_live") | F.col("match_type").contains(rules.linked_tier_marker),
+                   F.col("any_decom"), rules, id_col)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saletrace.params import REVERSAL_LABEL, FactRules
-from saletrace.sources.io import MAX_BROADCAST_ROWS, broadcast_if_small
 
 FACT_COLUMNS = (
     "opp_id", "oli_id", "enabled_ol", "enabled_ql", "qli_id", "quantity", "acv",
@@ -34,8 +33,7 @@ def linked_ids(reversal: DataFrame, link_type: str, marker: str) -> DataFrame:
 
 def line_facts(opportunity: DataFrame, line_item: DataFrame, quote_line: DataFrame,
                quote: DataFrame, product: DataFrame, reversal: DataFrame,
-               rules: FactRules, product_broadcast_rows: int | None = MAX_BROADCAST_ROWS
-               ) -> DataFrame:
+               rules: FactRules) -> DataFrame:
     """Sold line items that pass the won/date/primary/charge/class/family
     filters, with product codes, base product code and a reversal flag.
 
@@ -51,9 +49,8 @@ def line_facts(opportunity: DataFrame, line_item: DataFrame, quote_line: DataFra
     ordered so the two reversal lookups reuse the partitioning of the join
     before them (quote-line id, then opportunity id).
 
-    The filtered product dimension is broadcast to the line items when a
-    bounded count shows at most ``product_broadcast_rows`` rows, saving a
-    line-scale shuffle; above the bound it is a sort-merge join.
+    Whether the filtered product dimension is broadcast to the line items is
+    Spark's choice by its measured size; nothing runs while this is built.
     """
     cut = F.lit(rules.closed_after).cast("date")
     opp = (opportunity
@@ -68,7 +65,6 @@ def line_facts(opportunity: DataFrame, line_item: DataFrame, quote_line: DataFra
             .select(F.col("id").alias("_p_id"), "product_code", "base_product_id", "family")
             .join(base_product_codes(product), F.col("base_product_id") == F.col("base_id"), "left")
             .drop("base_id", "base_product_id"))
-    prod = broadcast_if_small(prod, product_broadcast_rows)
     primary = (quote.where(F.col("is_primary") == rules.primary_flag)
                .select(F.col("id").alias("_q_id")))
     ql = (quote_line.where(F.col("charge_type") == rules.charge_type)

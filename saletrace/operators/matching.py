@@ -20,26 +20,26 @@ assets, and a NULL-aware anti join per earlier tier):
 * every asset row is keyed twice: by (account, 1, deployment code) when it
   has a deployment, and by (account, 2, family) for each family the lookup
   gives its class (a broadcast constant relation);
-* the distinct keys, with the best tier each can give (1 for a code key; 2
-  for a family key some asset with a deployment has, else 3), are
-  aggregated with map-side partial aggregation, so a hot account shrinks
-  to one row per key before any shuffle;
-* each fact row looks up its two keys (left joins with the key sets,
-  broadcast when a bounded count shows them small, else sort-merge) and
-  gets its own best tier; the line's best tier is the minimum over its
-  rows, a partially aggregated ``min`` per line id joined back (a window
-  would hold all rows of a hot line id in one task);
-* pairs are generated **only for the winning tier**, in a single join on
-  (account, kind, value): pairs of losing tiers, which grow with the square
-  of a hot account, are never built, and the pair set is never shuffled
-  again.  It is an inner join, so AQE's skew handling may split a hot
-  account on either side (an outer join could split only the fact side);
-* lines whose best tier is 4 become the ``no_match`` rows directly: no
-  anti join and no NULL-aware join.  Both branches read the tier-annotated
-  facts, so the caller materialises them (``materialize_with``) and the
-  facts join runs once; the assets are read twice (key sets and pair
-  side), so callers pass a materialised asset table
-  (``plans.materialize``).
+* ``key_summaries`` aggregates the distinct keys, with map-side partial
+  aggregation, so a hot account shrinks to one row per key before any
+  shuffle: the best tier a key gives, its asset rows, and whether any of its
+  assets is live or decommissioned, once over all its assets and once over
+  those with a deployment;
+* each fact row looks up its two keys (left joins) and gets its own best
+  tier; the line's best tier is the minimum over its rows, a partially
+  aggregated ``min`` per line id joined back (a window would hold all rows
+  of a hot line id in one task);
+* ``match_summary`` stops there: which rows match, in which tier, with how
+  many assets and of which state.  Counts, classes, comparisons and rollups
+  need no more, so they never build a pair;
+* ``tiered_match`` goes on to the pairs, **only for the winning tier**, in a
+  single inner join on (account, kind, value); pairs of losing tiers are
+  never built, and the pair set is never shuffled again.
+
+The assets are read twice (key summaries and pair side) and the annotated
+facts twice (pairs and unmatched lines), so callers pass
+``materialize_with`` (``plans.materialize.materialize``).  Building either
+runs no job besides the writes that ``materialize_with`` does.
 
 Line ids must not be NULL; the original's ``NOT IN`` would empty every
 later tier after one NULL id.  NULL ids are grouped together here.
@@ -49,13 +49,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saletrace.operators.assets import ASSET_SCHEMA
 from saletrace.operators.facts import FACT_COLUMNS
-from saletrace.params import TIER_LABELS
-from saletrace.sources.io import MAX_BROADCAST_ROWS, broadcast_if_small
+from saletrace.params import TIER_LABELS, ClassifyRules
 
 # asset side of a matched row: (output name, canonical enriched-asset column, type)
 PAIR_ASSET_COLUMNS: tuple[tuple[str, str, str], ...] = (
@@ -75,8 +74,8 @@ PAIR_ASSET_COLUMNS: tuple[tuple[str, str, str], ...] = (
     ("updated_at", "updated_at", dict(ASSET_SCHEMA)["updated_at"]),
     ("start_date", "start_date", "date"),
 )
-# output order of the match table: line columns as the original lists them,
-# then the asset columns, then the tier label
+# FIXED VALUES: output order of the match table, line columns as the original
+# lists them, then the asset columns, then the tier label
 MATCHED_COLUMNS = (
     "oli_id", "opp_id", "qli_id", "account_id", "base_product_code", "family", "product_code",
     "enabled_ol", "enabled_ql", "transaction_type", "opp_type", "close_date", "quantity", "acv",
@@ -107,58 +106,53 @@ def keyed_assets(assets: DataFrame, class_family: DataFrame) -> DataFrame:
             .withColumn("_k_acct", F.col("asset_account_id")))
 
 
-def key_tiers(keyed: DataFrame) -> DataFrame:
-    """Distinct keys with the best tier each gives and their number of
-    asset rows: ``(_k_acct, _k_kind, _k_val, _k_tier, _k_rows)``."""
-    tier = (F.when(F.col("_k_kind") == 1, F.lit(1))
-            .when(F.col("deployment_asset_id").isNotNull(), F.lit(2))
-            .otherwise(F.lit(3)))
+def is_live(rules: ClassifyRules) -> Column:
+    """An enabled, active asset in a live use (NULL where unknown)."""
+    return ((F.col("asset_enabled") == F.lit(True))
+            & (F.col("install_status") == rules.active_status)
+            & F.col("used_for").isin(list(rules.live_uses)))
+
+
+def key_summaries(keyed: DataFrame, rules: ClassifyRules = ClassifyRules()) -> DataFrame:
+    """Distinct keys ``(_k_acct, _k_kind, _k_val)`` with the best tier each
+    gives (``_k_tier``) and, over all its assets and over those with a
+    deployment (``_dep``): the asset rows (``_rows``), and whether any is live
+    (``_live``) or has a decommission key (``_gone``)."""
+    has_dep = F.col("deployment_asset_id").isNotNull()
+    tier = F.when(F.col("_k_kind") == 1, F.lit(1)).when(has_dep, F.lit(2)).otherwise(F.lit(3))
+    live = F.coalesce(is_live(rules), F.lit(False))
+    gone = F.col("decom_resource").isNotNull()
     return keyed.groupBy("_k_acct", "_k_kind", "_k_val").agg(
-        F.min(tier).alias("_k_tier"), F.count(F.lit(1)).alias("_k_rows"))
-
-
-def key_counts(kt: DataFrame, hot_key_rows: int) -> tuple[int, int, int]:
-    """(code keys, family keys, hot keys) of a key-tier table: one small
-    aggregation, three numbers to the driver.  Drives the broadcast and
-    salting decisions of the match."""
-    r = kt.agg(F.count(F.when(F.col("_k_kind") == 1, F.lit(1))).alias("c"),
-               F.count(F.when(F.col("_k_kind") == 2, F.lit(1))).alias("f"),
-               F.count(F.when(F.col("_k_rows") > hot_key_rows, F.lit(1))).alias("h")).first()
-    return int(r["c"]), int(r["f"]), int(r["h"])
-
-
-def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id",
-               key_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
-               tiers_of_keys: DataFrame | None = None,
-               key_sizes: tuple[int, int] | None = None) -> DataFrame:
-    """Fact rows with ``_row_tier`` (this row's best tier) and ``_best`` (the
-    line's best tier over all its rows), 1..4.
-
-    Each key set is broadcast to the facts when a bounded count shows at
-    most ``key_broadcast_rows`` keys (no shuffle of the facts for the
-    lookup); above the bound the lookup is a sort-merge join.
-    ``tiers_of_keys``: a precomputed (e.g. materialised) ``key_tiers``;
-    ``key_sizes``: its (code, family) key counts when already known."""
-    kt = key_tiers(keyed) if tiers_of_keys is None else tiers_of_keys
-    code = kt.where(F.col("_k_kind") == 1).select(
-        F.col("_k_acct").alias("_c_acct"), F.col("_k_val").alias("_c_val"),
-        F.col("_k_tier").alias("_c_tier"))
-    fam = kt.where(F.col("_k_kind") == 2).select(
-        F.col("_k_acct").alias("_f_acct"), F.col("_k_val").alias("_f_val"),
-        F.col("_k_tier").alias("_f_tier"))
-    if key_sizes is None or key_broadcast_rows is None:
-        code = broadcast_if_small(code, key_broadcast_rows)
-        fam = broadcast_if_small(fam, key_broadcast_rows)
-    else:
-        code = F.broadcast(code) if key_sizes[0] <= key_broadcast_rows else code
-        fam = F.broadcast(fam) if key_sizes[1] <= key_broadcast_rows else fam
+        F.min(tier).alias("_k_tier"), F.count(F.lit(1)).alias("_rows"),
+        F.max(live).alias("_live"), F.max(gone).alias("_gone"),
+        F.count(F.when(has_dep, F.lit(1))).alias("_rows_dep"),
+        F.max(live & has_dep).alias("_live_dep"), F.max(gone & has_dep).alias("_gone_dep"))
+
+
+def best_tiers(facts: DataFrame, keys: DataFrame, id_col: str = "oli_id") -> DataFrame:
+    """Fact rows with ``_row_tier`` (this row's best tier), ``_best`` (the
+    line's best tier over all its rows), 1..4, and ``_n, _any_live,
+    _any_gone``: how many assets the row's own best tier gives, and of which
+    state.  ``keys``: ``key_summaries``."""
+    def side(kind: int, prefix: str) -> DataFrame:
+        return keys.where(F.col("_k_kind") == kind).select(
+            F.col("_k_acct").alias(f"{prefix}_acct"), F.col("_k_val").alias(f"{prefix}_val"),
+            *[F.col(c).alias(prefix + c) for c in keys.columns if c not in
+              ("_k_acct", "_k_kind", "_k_val")])
+
     f = (facts
-         .join(code, (F.col("account_id") == F.col("_c_acct"))
+         .join(side(1, "_c"), (F.col("account_id") == F.col("_c_acct"))
                & (F.col("base_product_code") == F.col("_c_val")), "left")
-         .join(fam, (F.col("account_id") == F.col("_f_acct"))
+         .join(side(2, "_f"), (F.col("account_id") == F.col("_f_acct"))
                & (F.col("family") == F.col("_f_val")), "left"))
-    row_tier = F.coalesce(F.col("_c_tier"), F.col("_f_tier"), F.lit(4))
-    f = f.select(*FACT_COLUMNS, row_tier.alias("_row_tier"))
+    row_tier = F.coalesce(F.col("_c_k_tier"), F.col("_f_k_tier"), F.lit(4))
+
+    def of_tier(name: str) -> Column:
+        return (F.when(row_tier == 1, F.col(f"_c{name}")).when(row_tier == 2, F.col(f"_f{name}_dep"))
+                .when(row_tier == 3, F.col(f"_f{name}")))
+
+    f = f.select(*FACT_COLUMNS, row_tier.alias("_row_tier"), of_tier("_rows").alias("_n"),
+                 of_tier("_live").alias("_any_live"), of_tier("_gone").alias("_any_gone"))
     # the line's best tier: a partially aggregated min per line id joined
     # back (not a window, which would hold every row of a line in one task)
     best = (f.groupBy(F.col(id_col).alias("_b_id"))
@@ -167,41 +161,67 @@ def best_tiers(facts: DataFrame, keyed: DataFrame, id_col: str = "oli_id",
             .drop("_b_id"))
 
 
-def _salted(probe: DataFrame, keyed: DataFrame, kt: DataFrame, hot_rows: int,
-            buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Split hot keys of the pair join into ``buckets`` slices.
+def _tier_label() -> Column:
+    return F.element_at(F.array(*[F.lit(t) for t in TIER_LABELS]), F.col("_best"))
 
-    A key is hot when more than ``hot_rows`` asset rows carry it; there are
-    at most (asset rows / ``hot_rows``) such keys, so the hot-key set has a
-    proven bound and is broadcast.  Asset rows of a hot key get a bucket
-    from a hash of the asset id; probe rows of a hot key are replicated
-    once per bucket.  Every (line, asset) pair still meets exactly once.
+
+def match_summary(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
+                  id_col: str = "oli_id", rules: ClassifyRules = ClassifyRules()) -> DataFrame:
+    """The fact rows that have a row in the match, with ``match_type``,
+    ``n_rows`` (how many they have there: pairs, or one if unmatched),
+    ``any_live`` and ``any_decom`` (over the assets they are paired with).
+    The match itself, without its pairs: every join is on a distinct key, so
+    the result has at most a row per fact."""
+    f = best_tiers(facts, key_summaries(keyed_assets(assets, class_family), rules), id_col)
+    return (f.where(F.col("_row_tier") == F.col("_best"))
+            .select(*FACT_COLUMNS, _tier_label().alias("match_type"),
+                    F.coalesce("_n", F.lit(1)).cast("bigint").alias("n_rows"),
+                    F.coalesce("_any_live", F.lit(False)).alias("any_live"),
+                    F.coalesce("_any_gone", F.lit(False)).alias("any_decom")))
+
+
+def _salted(probe: DataFrame, keyed: DataFrame, keys: DataFrame,
+            hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Slice the keys of the pair join that have over ``hot_rows`` rows on
+    either side.
+
+    The larger side of such a key is dealt by a hash over as many slices as
+    bring each under ``hot_rows``, the smaller one is repeated once per slice,
+    so every (line, asset) pair still meets exactly once.  Slices follow the
+    counted rows; there are at most (rows of both sides / ``hot_rows``) hot
+    keys.
     """
-    hot = F.broadcast(kt.where(F.col("_k_rows") > hot_rows)
-                      .select(F.col("_k_acct").alias("_h_acct"), F.col("_k_kind").alias("_h_kind"),
-                              F.col("_k_val").alias("_h_val"), F.lit(True).alias("_hot")))
+    probes = probe.groupBy(F.col("account_id").alias("_q_acct"), F.col("_p_kind").alias("_q_kind"),
+                           F.col("_p_val").alias("_q_val")).agg(F.count(F.lit(1)).alias("_q_rows"))
+    larger = F.greatest("_rows", "_q_rows")
+    hot = (keys.join(probes, (F.col("_k_acct") == F.col("_q_acct"))
+                     & (F.col("_k_kind") == F.col("_q_kind")) & (F.col("_k_val") == F.col("_q_val")))
+           .where(larger > hot_rows)
+           .select(F.col("_k_acct").alias("_h_acct"), F.col("_k_kind").alias("_h_kind"),
+                   F.col("_k_val").alias("_h_val"),
+                   F.ceil(larger / hot_rows).cast("int").alias("_slices"),
+                   (F.col("_rows") >= F.col("_q_rows")).alias("_deal_assets")))
+
+    def slices(deals: Column, by: str) -> Column:
+        one, all_ = F.array(F.lit(0)), F.sequence(F.lit(0), F.col("_slices") - 1)
+        dealt = F.array(F.pmod(F.xxhash64(by), F.col("_slices")).cast("int"))
+        return F.explode(F.when(F.col("_slices").isNull(), one).when(deals, dealt).otherwise(all_))
+
+    drop = ("_h_acct", "_h_kind", "_h_val", "_slices", "_deal_assets")
     k_on = ((F.col("_k_acct") == F.col("_h_acct")) & (F.col("_k_kind") == F.col("_h_kind"))
             & (F.col("_k_val") == F.col("_h_val")))
-    keyed_s = (keyed.join(hot, k_on, "left")
-               .withColumn("_k_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("asset_id"),
-                                                                  F.lit(buckets)))
-                           .otherwise(F.lit(0)))
-               .drop("_h_acct", "_h_kind", "_h_val", "_hot"))
     p_on = ((F.col("account_id") == F.col("_h_acct")) & (F.col("_p_kind") == F.col("_h_kind"))
             & (F.col("_p_val") == F.col("_h_val")))
-    probe_s = (probe.join(hot, p_on, "left")
-               .withColumn("_p_salt", F.explode(
-                   F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>"))
-                   .otherwise(F.array(F.lit(0).cast("bigint")))))
-               .drop("_h_acct", "_h_kind", "_h_val", "_hot"))
-    return probe_s, keyed_s
+    return (probe.join(hot, p_on, "left")
+            .withColumn("_p_salt", slices(~F.col("_deal_assets"), "oli_id")).drop(*drop),
+            keyed.join(hot, k_on, "left")
+            .withColumn("_k_salt", slices(F.col("_deal_assets"), "asset_id")).drop(*drop))
 
 
 def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
                  id_col: str = "oli_id",
                  materialize_with: Callable[[DataFrame], DataFrame] | None = None,
-                 key_broadcast_rows: int | None = MAX_BROADCAST_ROWS,
-                 salt_buckets: int = 0, hot_key_rows: int = 1_000_000) -> DataFrame:
+                 hot_key_rows: int | None = None) -> DataFrame:
     """All pairs of each line's best tier, else one ``no_match`` row (C5).
 
     ``facts``: ``line_facts`` output.  ``assets``: ``enrich_assets`` output.
@@ -209,26 +229,15 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
     columns, the 15 asset columns of ``PAIR_ASSET_COLUMNS`` and
     ``match_type``.
 
-    ``materialize_with`` is applied to the key tiers (read by two lookups
-    and their size checks) and to the tier-annotated facts (read by the
-    pairs and the unmatched lines); pass ``plans.materialize.materialize``
-    so neither is computed twice.
-
-    ``salt_buckets > 1`` splits every key with more than ``hot_key_rows``
-    asset rows over that many tasks in the pair join (see ``_salted``),
-    independent of AQE's skew handling; the result is the same.  One small
-    aggregation over the key tiers gives the key-set sizes and the number of
-    hot keys: it decides both broadcasts and whether to salt at all.
+    ``materialize_with`` is applied to the key summaries and to the annotated
+    facts, each read by two branches.  With ``hot_key_rows``, a key with more
+    rows than that on either side is sliced (see ``_salted``), independent of
+    AQE's skew handling; the result is the same.
     """
+    keep = materialize_with or (lambda df: df)
     keyed = keyed_assets(assets, class_family)
-    kt = key_tiers(keyed)
-    if materialize_with is not None:
-        # small: written once, then counted and read cheaply
-        kt = materialize_with(kt)
-    n_code, n_family, n_hot = key_counts(kt, hot_key_rows)
-    f = best_tiers(facts, keyed, id_col, key_broadcast_rows, kt, (n_code, n_family))
-    if materialize_with is not None:
-        f = materialize_with(f)
+    keys = keep(key_summaries(keyed))
+    f = keep(best_tiers(facts, keys, id_col))
     best = F.col("_best")
     # rows whose own tier is not the line's best produce nothing (another
     # row of the same line matched better)
@@ -240,14 +249,13 @@ def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
             & (F.col("_p_kind") == F.col("_k_kind"))
             & (F.col("_p_val") == F.col("_k_val"))
             & ((best != 2) | F.col("deployment_asset_id").isNotNull()))
-    match_type = F.element_at(F.array(*[F.lit(t) for t in TIER_LABELS[:3]]), best)
-    if salt_buckets > 1 and n_hot > 0:
-        probe, keyed = _salted(probe, keyed, kt, hot_key_rows, salt_buckets)
+    if hot_key_rows is not None:
+        probe, keyed = _salted(probe, keyed, keys, hot_key_rows)
         cond = cond & (F.col("_p_salt") == F.col("_k_salt"))
     pairs = (probe.join(keyed, cond)
              .select(*[F.col(c) for c in FACT_COLUMNS],
                      *[F.col(n) for n, _, _ in PAIR_ASSET_COLUMNS],
-                     match_type.alias("match_type")))
+                     _tier_label().alias("match_type")))
     nulls = [F.lit(None).cast(t).alias(n) for n, _, t in PAIR_ASSET_COLUMNS]
     unmatched = (f.where(best == 4)
                  .select(*[F.col(c) for c in FACT_COLUMNS], *nulls,

@@ -3,8 +3,8 @@ position and row / non-null / distinct counts.
 
 The original lists ``information_schema.columns`` (catalog, schema, table,
 column, data type) through a warehouse client.  Here the names and types
-come from each DataFrame's schema and the counts from one distributed
-aggregation per table; nothing is collected.
+come from each DataFrame's schema and the counts from one grouped aggregation
+per column; nothing is collected.
 """
 
 from __future__ import annotations
@@ -12,77 +12,117 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saletrace.sources.io import constant_relation
 
 
-def profile_table(name: str, df: DataFrame, exact: bool = True) -> DataFrame:
-    """One row per column of ``df``: ``(table_name, column_name, data_type,
-    ordinal_position, row_count, non_null_count, distinct_count)``.
+#: types whose values are compared by a digest: long, or not orderable
+_DIGESTED = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+LISTING = ("table_catalog string, table_schema string, table_name string, column_name string, "
+           "data_type string, ordinal_position int")
 
-    All counts come from a single aggregation over the table (map-side
-    partial aggregates).  ``exact=False`` uses HyperLogLog distinct counts,
-    which avoid the per-column expansion exact distinct counts need on very
-    wide tables.
+
+def _value_key(column: Column, kind: T.DataType) -> Column:
+    """What stands for a value when distinct ones are counted: itself, or its
+    SHA-256 where values may be long."""
+    if not isinstance(kind, _DIGESTED):
+        return column
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.unhex(F.sha2(column.cast("binary"), 256))
+    text = F.to_json(F.struct(column.alias("v")))
+    return F.when(column.isNotNull(), F.unhex(F.sha2(text, 256)))
+
+
+def profile_table(name: str, df: DataFrame, exact: bool = True, catalog: str = "",
+                  schema: str = "") -> DataFrame:
+    """One row per column of ``df``: ``(table_catalog, table_schema,
+    table_name, column_name, data_type, ordinal_position, row_count,
+    non_null_count, distinct_count)``.
+
+    Each column is read by itself and grouped by its value (a 32-byte digest
+    of texts and vectors), with map-side partial aggregation; the group sizes
+    give all three counts.  No row is expanded and no text is shuffled.
+    ``exact=False`` counts distinct values by HyperLogLog, without grouping.
     """
-    fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, f in enumerate(fields):
+    parts = []
+    for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
-        aggs.append(F.count(c).alias(f"_nn{i}"))
-        aggs.append((F.countDistinct(c) if exact else F.approx_count_distinct(c))
-                    .alias(f"_nd{i}"))
-    one = df.agg(*aggs)
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"),
-                 F.lit(f.dataType.simpleString()).alias("data_type"),
-                 F.lit(i + 1).alias("ordinal_position"),
-                 F.col(f"_nn{i}").cast("bigint").alias("non_null_count"),
-                 F.col(f"_nd{i}").cast("bigint").alias("distinct_count"))
-        for i, f in enumerate(fields)])).alias("_c")
-    return one.select(F.lit(name).alias("table_name"), F.col("_rows").alias("row_count"),
-                      stacked).select(
-        "table_name", "_c.column_name", "_c.data_type", "_c.ordinal_position",
-        F.col("row_count").cast("bigint").alias("row_count"),
-        "_c.non_null_count", "_c.distinct_count")
-
-
-def column_listing(name: str, df: DataFrame) -> DataFrame:
-    """``(table_name, column_name, data_type, ordinal_position)`` from the
-    schema alone: no pass over the data."""
-    rows = [(name, f.name, f.dataType.simpleString(), i + 1)
+        if exact:
+            groups = (df.select(_value_key(c, f.dataType).alias("k"), c.isNotNull().alias("known"))
+                      .groupBy("k", "known").agg(F.count(F.lit(1)).alias("n")))
+            one = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+                             F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0))
+                             .alias("non_null_count"),
+                             F.count(F.when(F.col("known"), F.lit(1))).alias("distinct_count"))
+        else:
+            one = df.agg(F.count(F.lit(1)).alias("row_count"), F.count(c).alias("non_null_count"),
+                         F.approx_count_distinct(_value_key(c, f.dataType)).alias("distinct_count"))
+        parts.append(one.select(
+            F.lit(catalog).alias("table_catalog"), F.lit(schema).alias("table_schema"),
+            F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"),
+            F.lit(f.dataType.simpleString()).alias("data_type"),
+            F.lit(i + 1).alias("ordinal_position"),
+            *[F.col(x).cast("bigint").alias(x)
+              for x in ("row_count", "non_null_count", "distinct_count")]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def column_listing(name: str, df: DataFrame, catalog: str = "", schema: str = "") -> DataFrame:
+    """Catalog, schema, table, column, data type and position from the schema
+    alone: no pass over the data."""
+    rows = [(catalog, schema, name, f.name, f.dataType.simpleString(), i + 1)
             for i, f in enumerate(df.schema.fields)]
-    return constant_relation(df.sparkSession, rows,
-                             "table_name string, column_name string, data_type string, "
-                             "ordinal_position int")
+    return constant_relation(df.sparkSession, rows, LISTING)
+
+
+def _profiles(tables: Sequence[tuple[str, str, str, DataFrame]], exact: bool, sort: bool,
+              counts: bool) -> DataFrame:
+    if not tables:
+        raise ValueError("no table to profile")
+    out = reduce(DataFrame.unionByName, [
+        profile_table(n, df, exact, c, s) if counts else column_listing(n, df, c, s)
+        for c, s, n, df in sorted(tables, key=lambda t: t[:3])])
+    if not sort:
+        return out
+    # one row per column of a table: few, whatever the tables hold
+    w = Window.orderBy("table_catalog", "table_schema", "table_name", "ordinal_position")
+    return out.withColumn("pos", F.row_number().over(w)).orderBy("pos")
 
 
 def profile_columns(tables: Mapping[str, DataFrame], table_filter: Sequence[str] | None = None,
-                    exact: bool = True, sort: bool = False, counts: bool = True) -> DataFrame:
+                    exact: bool = True, sort: bool = False, counts: bool = True,
+                    catalog: str = "", schema: str = "") -> DataFrame:
     """Profile of every column of the given tables (C12), optionally only
-    the tables named in ``table_filter``; ordered by table and ordinal when
-    ``sort``.  ``counts=False`` lists names, types and ordinals only (the
-    original's metadata listing), without reading any data."""
-    names = sorted(n for n in tables if table_filter is None or n in set(table_filter))
-    if not names:
-        raise ValueError("no table to profile")
-    one = (lambda n: profile_table(n, tables[n], exact)) if counts else \
-        (lambda n: column_listing(n, tables[n]))
-    out = reduce(DataFrame.unionByName, (one(n) for n in names))
-    return out.orderBy("table_name", "ordinal_position") if sort else out
+    the tables named in ``table_filter``; ordered by table and ordinal, and
+    numbered (``pos``), when ``sort``.  ``counts=False`` lists names, types
+    and ordinals only (the original's metadata listing), without reading any
+    data."""
+    return _profiles([(catalog, schema, n, df) for n, df in tables.items()
+                      if table_filter is None or n in set(table_filter)], exact, sort, counts)
 
 
-def profile_catalog(spark: SparkSession, database: str | None = None,
+def profile_catalog(spark: SparkSession, catalog: str | None = None, schema: str | None = None,
                     tables: Sequence[str] | None = None, counts: bool = True,
                     exact: bool = True, sort: bool = True) -> DataFrame:
-    """``profile_columns`` over the tables (and temporary views) of a Spark
-    catalog database, optionally only ``tables``; the catalog/schema filter
-    of the original's listing.  Only table names come to the driver."""
-    found = {}
-    for t in spark.catalog.listTables(database):
-        qualified = t.name if t.isTemporary or not t.namespace else \
-            ".".join([*t.namespace, t.name])
-        found[t.name] = spark.table(qualified)
-    return profile_columns(found, tables, exact=exact, sort=sort, counts=counts)
+    """``_profiles`` over the tables of a Spark catalog: all its schemas, or
+    the one named, and optionally only ``tables``, as the filters of the
+    original's listing.  Session views are listed under the schema ``''``, so
+    a view and a table of one name are two rows.  Only names come to the
+    driver."""
+    catalog = catalog or spark.catalog.currentCatalog()
+    found: dict[tuple[str, str], DataFrame] = {}
+    schemas = [schema] if schema is not None else [d.name for d in spark.catalog.listDatabases()]
+    for name in schemas:
+        for t in spark.catalog.listTables(f"`{catalog}`.`{name}`" if name else None):
+            if tables is not None and t.name not in tables:
+                continue
+            if t.isTemporary or not t.namespace:
+                if schema in (None, ""):
+                    found[("", t.name)] = spark.table(f"`{t.name}`")
+            elif name:
+                found[(name, t.name)] = spark.table(f"`{catalog}`.`{name}`.`{t.name}`")
+    return _profiles([(catalog if s else "", s, n, df) for (s, n), df in found.items()],
+                     exact, sort, counts)

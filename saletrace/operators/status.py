@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from saletrace.functions.logic import decision_list, flag01, is_true
 from saletrace.params import DECOM_SOURCE_LABELS, STATUS_LABELS, StatusRules
-from saletrace.sources.io import broadcast_if_small
 
 
 def decom_rollup(events: DataFrame, rules: StatusRules = StatusRules()) -> DataFrame:
@@ -32,10 +31,8 @@ def reversal_rollup(lines: DataFrame, rebook: DataFrame, quote: DataFrame,
     on ``equality OR EXISTS(...)``, which Spark cannot plan; both paths
     resolve to an opportunity id, so they are rewritten as one union of
     (opportunity, incident) pairs — small, incident-sized — joined to the
-    lines by an equi join.  Duplicates from the union or from duplicated
-    quotes do not matter: the aggregates are a distinct count and maxima.
-    The incident pairs are broadcast to the lines when a bounded count
-    shows them small, so the line table is not shuffled for the join.
+    lines by an equi join.  The union and duplicated quotes may repeat a
+    pair, so pairs are made distinct before they meet the lines.
     """
     rr = rebook.where(F.col("booking_type") == rules.reversal_booking)
     direct = (rr.where(F.col("link_type") == rules.opportunity_link)
@@ -44,7 +41,7 @@ def reversal_rollup(lines: DataFrame, rebook: DataFrame, quote: DataFrame,
     via_quote = (rr.where(F.col("link_type") == rules.quote_link)
                  .join(q, F.col("linked_id") == F.col("_q_id"))
                  .select("_rr_opp", "incident_number", "processed_as"))
-    incidents = broadcast_if_small(direct.unionByName(via_quote), rules.broadcast_rows)
+    incidents = direct.unionByName(via_quote).distinct()
     return (lines.select("oli_id", F.col("opp_id").alias("_l_opp"))
             .join(incidents, F.col("_l_opp") == F.col("_rr_opp"))
             .groupBy("oli_id")
@@ -93,19 +90,21 @@ def line_status(line_asset: DataFrame, decom: DataFrame, reversals: DataFrame,
 
     ``decom`` is ``decom_rollup`` output (unique per asset) and
     ``reversals`` is ``reversal_rollup`` output (unique per line), so the
-    two left joins keep the row count.  The decommission rollup is
-    broadcast when a bounded count shows it small (``rules.broadcast_rows``);
-    the reversal rollup, one row per line with an incident, is left to
-    Spark's size-based choice.
+    two left joins keep the row count.  Lines without an asset cannot have a
+    decommission: their NULL key is replaced by a spread of keys that match
+    nothing, so they do not meet in one task.
     """
     as_of = F.lit(rules.as_of).cast("date") if rules.as_of else F.current_date()
-    d = broadcast_if_small(
-        decom.select(F.col("asset_id").alias("_d_asset"), "decom_date", "decom_count"),
-        rules.broadcast_rows)
+    d = decom.select(F.col("asset_id").alias("_d_asset"), F.lit(0).alias("_d_spread"),
+                     "decom_date", "decom_count")
     rv = reversals.select(F.col("oli_id").alias("_r_oli"), "incident_number",
                           "incident_count", "processed_as")
-    j = (line_asset
-         .join(d, F.col("asset_id") == F.col("_d_asset"), "left")
+    # 0 where there is an asset; any other number never matches
+    spread = F.when(F.col("asset_id").isNotNull(), F.lit(0)).otherwise(
+        1 + F.pmod(F.xxhash64("oli_id"), F.lit(1 << 20)).cast("int"))
+    j = (line_asset.withColumn("_spread", spread)
+         .join(d, (F.coalesce("asset_id", F.lit("")) == F.col("_d_asset"))
+               & (F.col("_spread") == F.col("_d_spread")), "left")
          .join(rv, F.col("oli_id") == F.col("_r_oli"), "left"))
 
     booked = is_true(F.col("oli_enabled"))

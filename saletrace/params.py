@@ -95,8 +95,6 @@ class StatusRules:
     reversal_booking: str = "Reversal"
     opportunity_link: str = "Opportunity"
     quote_link: str = "Quote"
-    # broadcast a rollup / incident side when it has at most this many rows
-    broadcast_rows: int | None = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -110,11 +108,15 @@ class PeriodRules:
     # original code); "zero": it contributes nothing.
     new_deal: str = "keep"
     excluded_opp_type: str = "Renewal"
-    amount_type: str = "decimal(18,2)"
+    # double, as the original casts; a wide decimal sums exactly, but turns
+    # texts it cannot hold into NULL (counted by ``period_rejects``)
+    amount_type: str = "double"
     sort: bool = True
-    # attach the account rollup's id lists to every row (the original's
-    # report); False leaves them out for accounts with very long lists
-    attach_lists: bool = True
+    # attach the account rollup's id lists to every row, as the original's
+    # report does.  One row then holds a whole account's list, and the report
+    # repeats it on every line: the long rollup, joined at reading time on
+    # (account_id, family), has the same content and grows with the data.
+    attach_lists: bool = False
 
 
 @dataclass(frozen=True)

@@ -5,6 +5,7 @@ deriving the canonical inputs from them (``saletrace.sources.fixtures``)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,51 +13,41 @@ from pyspark.sql import functions as F
 from saletrace.functions.hosts import dotted_prefix, first_label
 from saletrace.functions.logic import is_true, ordinal, sorted_join
 from saletrace.operators.assets import enrich_assets, host_keys, unify_sources
-from saletrace.operators.classify import classify_lines
-from saletrace.operators.compare import compare_cuts, rank_segments, segments
+from saletrace.operators.classify import classify_summary
+from saletrace.operators.compare import compare_cuts, compare_snapshots, rank_segments, segments
 from saletrace.operators.exclusion import exclude_not_in
 from saletrace.operators.facts import base_product_codes, line_facts, linked_ids
-from saletrace.operators.matching import tiered_match
-from saletrace.operators.period import period_change
+from saletrace.operators.matching import match_summary, tiered_match
+from saletrace.operators.ordering import with_position
+from saletrace.operators.period import period_change, period_rejects
 from saletrace.operators.profile import profile_columns
 from saletrace.operators.rollups import account_rollup
 from saletrace.operators.status import decom_rollup, line_status, reversal_rollup
-from saletrace.plans.materialize import materialize
-from saletrace.session import checkpoint_dir, ensure_checkpoint_dir
+from saletrace.plans.materialize import materialize, new_folder, run_folder
+from saletrace.session import checkpoint_dir
 from saletrace.sources.fixtures import (
     FIXTURE_CLASSIFY_RULES, FIXTURE_FACT_RULES, FIXTURE_PERIOD_RULES,
-    FIXTURE_STATUS_RULES, NEW_RUN_FROM, OLD_RUN_BEFORE, Fixtures)
+    FIXTURE_STATUS_RULES, NEW_RUN_FROM, OLD_RUN_BEFORE, RUN_DOUBLED_AS, RUN_DOUBLED_UNDER,
+    RUN_MOVED_OVER, RUN_MOVED_TO, Fixtures)
+from saletrace.sources.io import read_snapshot, write_snapshot
 
 
-# the fixture accounts are few (150), so at scale every match key is hot:
-# keys with more than HOT_KEY_ROWS asset rows are split over SALT_BUCKETS
-# tasks in the pair join (no effect below the threshold)
-SALT_BUCKETS = 16
+# a match key with more rows than this on either side is sliced in the pair
+# join (no effect below)
 HOT_KEY_ROWS = 1_000_000
 
 
-def local_checkpoint_fallback() -> str:
-    """A scratch folder for runs whose session names no shared checkpoint
-    folder (tests, the local driver); a cluster session names its own."""
-    import tempfile
-
-    return tempfile.mkdtemp(prefix="saletrace-ckpt-")
-
-
 class FixtureRun:
     """The chain of operators over one fixture folder.  Steps are lazy
-    DataFrames; the intermediates read more than once (enriched assets,
-    tier-annotated facts, matched pairs) are materialised under the
-    checkpoint folder, as the original writes its match table before the
-    later steps read it."""
+    DataFrames; intermediates read more than once are written under the
+    session's checkpoint folder, where it names one (``plans.materialize``)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, mode: str = "table"):
+    def __init__(self, spark: SparkSession, sf_dir: str, write: bool = True):
         self.fx = Fixtures(spark, sf_dir)
-        self.mode = mode
-        if mode != "none" and not checkpoint_dir(spark):
-            ensure_checkpoint_dir(spark, local_checkpoint_fallback())
+        self.keep = (lambda df, name: materialize(df, name)) if write else (lambda df, name: df)
+        self.writes = write and bool(checkpoint_dir(spark))
         self._assets = None
-        self._matched = None
+        self._summary = None
 
     def assets(self) -> DataFrame:
         return unify_sources(self.fx.asset_sources())
@@ -70,7 +61,7 @@ class FixtureRun:
 
     def enriched_table(self) -> DataFrame:
         if self._assets is None:
-            self._assets = materialize(self.enriched(), "enriched_assets", self.mode)
+            self._assets = self.keep(self.enriched(), "enriched_assets")
         return self._assets
 
     def facts(self) -> DataFrame:
@@ -78,29 +69,31 @@ class FixtureRun:
         return line_facts(fx.opportunity(), fx.line_item(), fx.quote_line(), fx.quote(),
                           fx.product(), fx.reversal(), FIXTURE_FACT_RULES)
 
-    def matched_plan(self) -> DataFrame:
+    def matched(self) -> DataFrame:
+        """The pairs: only for the match itself."""
         return tiered_match(self.facts(), self.enriched_table(), self.fx.class_family(),
-                            materialize_with=lambda df: materialize(df, "match_step", self.mode),
-                            salt_buckets=SALT_BUCKETS, hot_key_rows=HOT_KEY_ROWS)
+                            materialize_with=lambda df: self.keep(df, "match_step"),
+                            hot_key_rows=HOT_KEY_ROWS)
 
-    def matched(self) -> DataFrame:
-        if self._matched is None:
-            self._matched = materialize(self.matched_plan(), "matched", self.mode)
-        return self._matched
+    def summary_plan(self) -> DataFrame:
+        # the assets are read once here: no need to write them first
+        return match_summary(self.facts(), self.enriched(), self.fx.class_family(),
+                             rules=FIXTURE_CLASSIFY_RULES)
 
-    def classes(self, matched: DataFrame | None = None) -> DataFrame:
-        return classify_lines(self.matched() if matched is None else matched,
-                              FIXTURE_CLASSIFY_RULES)
+    def summary(self) -> DataFrame:
+        """The matched lines without their pairs, for all that reads it twice."""
+        if self._summary is None:
+            self._summary = self.keep(self.summary_plan(), "match_summary")
+        return self._summary
 
-    def snapshots(self, matched: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-        m = self.matched() if matched is None else matched
-        old = m.where(F.col("close_date") < F.lit(OLD_RUN_BEFORE).cast("date"))
-        new = m.where(F.col("close_date") >= F.lit(NEW_RUN_FROM).cast("date"))
-        return old, new
+    def position(self, df: DataFrame, *order) -> DataFrame:
+        """``df`` numbered in ``order`` (distributed where it can be written)."""
+        return with_position(df, order, (lambda x: self.keep(x, "ordered")) if self.writes else None)
 
-    def rollup(self, matched: DataFrame | None = None) -> DataFrame:
-        m = self.matched() if matched is None else matched
-        return account_rollup(m, self.classes(m), self.fx.family_short())
+    def rollup(self) -> DataFrame:
+        m = self.summary()
+        return account_rollup(m, classify_summary(m, FIXTURE_CLASSIFY_RULES),
+                              self.fx.family_short(), as_strings=False)
 
     def status(self) -> DataFrame:
         fx = self.fx
@@ -131,23 +124,23 @@ def q_line_facts(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_asset_links(spark: SparkSession, sf: str) -> DataFrame:
     """Assets with account and deployment link only (no decommission key)."""
-    p = FixtureRun(spark, sf, mode="none")
+    p = FixtureRun(spark, sf, write=False)
     return enrich_assets(p.assets(), p.fx.master_account(), p.fx.deployment())
 
 
 def q_tiered_match(spark: SparkSession, sf: str) -> DataFrame:
-    return FixtureRun(spark, sf).matched_plan()
+    return FixtureRun(spark, sf).matched()
 
 
 def q_tier_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return (FixtureRun(spark, sf).matched_plan().groupBy("match_type")
-            .agg(F.count(F.lit(1)).alias("n"), F.countDistinct("oli_id").alias("n_lines")))
+    return (FixtureRun(spark, sf).summary_plan().groupBy("match_type")
+            .agg(F.sum("n_rows").alias("n"), F.countDistinct("oli_id").alias("n_lines")))
 
 
-def _cuts(p: "FixtureRun") -> DataFrame:
+def _cuts(p: FixtureRun) -> DataFrame:
     """Two cuts of one match run, compared in one pass over the match."""
     close = F.col("close_date")
-    return compare_cuts(p.matched_plan(), close < F.lit(OLD_RUN_BEFORE).cast("date"),
+    return compare_cuts(p.summary_plan(), close < F.lit(OLD_RUN_BEFORE).cast("date"),
                         close >= F.lit(NEW_RUN_FROM).cast("date"))
 
 
@@ -158,18 +151,36 @@ def q_snapshot_compare(spark: SparkSession, sf: str) -> DataFrame:
 def q_snapshot_segments(spark: SparkSession, sf: str) -> DataFrame:
     """Row-level segments: distinct (line, family) of both runs, full outer
     joined on the line id."""
-    old, new = FixtureRun(spark, sf).snapshots()
-    return segments(old, new)
+    m = FixtureRun(spark, sf).summary()
+    return segments(m.where(F.col("close_date") < F.lit(OLD_RUN_BEFORE).cast("date")),
+                    m.where(F.col("close_date") >= F.lit(NEW_RUN_FROM).cast("date")))
 
 
 def q_ranked_segments(spark: SparkSession, sf: str) -> DataFrame:
     return rank_segments(_cuts(FixtureRun(spark, sf)))
 
 
+def q_run_compare(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs, written as snapshots and read back, compared.  They differ in
+    lines (cut by close date) and in families: the new run moves large lines
+    to another family and lists small ones under a second one as well."""
+    m = FixtureRun(spark, sf).summary_plan().select("oli_id", "family", "close_date", "quantity")
+    old = m.where(F.col("close_date") < F.lit(OLD_RUN_BEFORE).cast("date"))
+    new = m.where(F.col("close_date") >= F.lit(NEW_RUN_FROM).cast("date"))
+    moved = new.withColumn("family", F.when(F.col("quantity") > RUN_MOVED_OVER, RUN_MOVED_TO)
+                           .otherwise(F.col("family")))
+    second = (new.where(F.col("quantity") < RUN_DOUBLED_UNDER)
+              .withColumn("family", F.lit(RUN_DOUBLED_AS)))
+    folder = new_folder(spark, run_folder(spark), "runs")
+    for run, df in (("old", old), ("new", moved.unionByName(second))):
+        write_snapshot(df.select("oli_id", "family"), folder, run)
+    return compare_snapshots(read_snapshot(spark, folder, "old"), read_snapshot(spark, folder, "new"))
+
+
 def q_classify_lines(spark: SparkSession, sf: str) -> DataFrame:
-    # the match is read once here: no need to write it first
+    """The line classes in the order of their ids, numbered."""
     p = FixtureRun(spark, sf)
-    return p.classes(p.matched_plan())
+    return p.position(classify_summary(p.summary_plan(), FIXTURE_CLASSIFY_RULES), F.col("oli_id"))
 
 
 def q_decom_rollup(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,12 +201,22 @@ def q_status_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_account_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """The long form: one row per account, family, list and value."""
     return FixtureRun(spark, sf).rollup()
 
 
 def q_period_change(spark: SparkSession, sf: str) -> DataFrame:
+    """The report's rows in report order, numbered; the id lists are the long
+    rollup's, joined on (account_id, family) by who reads them."""
     p = FixtureRun(spark, sf)
-    return period_change(p.fx.arr_quarter(), p.rollup(), FIXTURE_PERIOD_RULES)
+    report = period_change(p.fx.arr_quarter(), None, replace(FIXTURE_PERIOD_RULES, sort=False))
+    return p.position(report, F.col("arr_diff").asc_nulls_first(), F.col("oli_id"),
+                      F.col("account_name"))
+
+
+def q_period_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """How many amount texts are no number, per period."""
+    return period_rejects(Fixtures(spark, sf).arr_quarter(), FIXTURE_PERIOD_RULES)
 
 
 def q_membership_flag(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,7 +292,7 @@ def q_scalar_probe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_profile_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return profile_columns(Fixtures(spark, sf).t.all())
+    return profile_columns(Fixtures(spark, sf).t.all(), sort=True, catalog="files", schema="driver")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -285,6 +306,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_compare": q_snapshot_compare,
     "snapshot_segments": q_snapshot_segments,
     "ranked_segments": q_ranked_segments,
+    "run_compare": q_run_compare,
     "classify_lines": q_classify_lines,
     "decom_rollup": q_decom_rollup,
     "reversal_rollup": q_reversal_rollup,
@@ -292,6 +314,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_summary": q_status_summary,
     "account_rollup": q_account_rollup,
     "period_change": q_period_change,
+    "period_rejects": q_period_rejects,
     "membership_flag": q_membership_flag,
     "null_safe_exclusion": q_null_safe_exclusion,
     "scalar_probe": q_scalar_probe,

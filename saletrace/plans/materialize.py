@@ -1,45 +1,62 @@
-"""Materialising an intermediate that later steps read more than once.
+"""Writing an intermediate that later steps read more than once.
 
 Spark recomputes a DataFrame in every branch that uses it.  For the line
-facts (a five-way join over line-scale tables) and the enriched assets
-(an n-way union plus three joins), which the match reads in several
-places, that would repeat the whole upstream plan.  ``materialize`` writes
-the DataFrame as parquet under the shared checkpoint folder the cluster
-names in ``spark.checkpoint.dir`` and returns a DataFrame reading it back:
+facts (a five-way join over line-scale tables) and the enriched assets (an
+n-way union plus three joins) that would repeat the whole upstream plan.
+``materialize`` writes the DataFrame as Parquet under the shared checkpoint
+folder the cluster names in ``spark.checkpoint.dir`` and returns a DataFrame
+reading it back:
 
 * the lineage is cut, and the files live on shared storage, so losing an
   executor does not lose the intermediate;
-* parquet is columnar, so each later scan still reads only the columns it
-  needs and pushes its filters down.
+* Parquet is columnar, so each later scan still reads only the columns it
+  needs and pushes its filters down;
+* the folder is deleted when the application ends.
 
-Where no checkpoint folder is configured (tests, local runs) the caller
-sets one with ``saletrace.session.ensure_checkpoint_dir`` first.
+Where the session names no such folder, nothing is written and the DataFrame
+stays lazy.
 """
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from saletrace.session import checkpoint_dir
 
 
-def materialize(df: DataFrame, name: str, mode: str = "table") -> DataFrame:
-    """``mode``: ``"table"`` (parquet under the checkpoint folder),
-    ``"checkpoint"`` (``DataFrame.checkpoint``, same folder) or ``"none"``
-    (return ``df`` unchanged)."""
-    if mode == "none":
-        return df
+def new_folder(spark: SparkSession, base: str, name: str) -> str:
+    """A fresh folder under ``base``, deleted when the application ends."""
+    path = f"{base.rstrip('/')}/saletrace/{name}-{uuid.uuid4().hex}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+    return path
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Where a run's declared snapshots go: the checkpoint folder; a
+    single-process session (tests) that names none gets a temporary one."""
+    base = checkpoint_dir(spark)
+    if base:
+        return base
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+    return "file://" + tempfile.mkdtemp(prefix="saletrace-run-")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the checkpoint folder and read back, or ``df`` itself
+    where the session names none."""
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     if not base:
-        raise RuntimeError(
-            "no checkpoint folder: set spark.checkpoint.dir to a shared folder "
-            "(or call saletrace.session.ensure_checkpoint_dir in local runs)")
-    if mode == "checkpoint":
-        return df.checkpoint(eager=True)
-    path = f"{base.rstrip('/')}/saletrace/{name}-{uuid.uuid4().hex}"
+        return df
+    path = new_folder(spark, base, name)
     df.write.mode("overwrite").parquet(path)
     # the schema is known: no footer-reading job to infer it again
     return spark.read.schema(df.schema).parquet(path)

@@ -60,13 +60,11 @@ class Rules:
 
 
 def run_reconciliation(spark: SparkSession, inputs: Inputs, rules: Rules, out_dir: str,
-                       run_id: str, salt_buckets: int = 16,
-                       hot_key_rows: int = 1_000_000) -> dict[str, str]:
+                       run_id: str, hot_key_rows: int | None = 1_000_000) -> dict[str, str]:
     """Run the match, classification, status dataset and period report;
     write each as a snapshot of ``run_id``; return ``{table: folder}``.
-    ``salt_buckets``/``hot_key_rows``: explicit splitting of hot match keys
-    (see ``tiered_match``; no effect below the threshold); 0 leaves skew
-    to AQE alone."""
+    ``hot_key_rows``: match keys with more rows are sliced (see
+    ``tiered_match``); None leaves skew to AQE alone."""
     out = out_dir.rstrip("/")
     written: dict[str, str] = {}
     class_family = lookup(spark, rules.lookups.class_family, "class_name string, family string")
@@ -79,7 +77,7 @@ def run_reconciliation(spark: SparkSession, inputs: Inputs, rules: Rules, out_di
                        inputs.product, inputs.reversal, rules.facts)
     matched = tiered_match(facts, assets, class_family,
                            materialize_with=lambda df: materialize(df, "match_step"),
-                           salt_buckets=salt_buckets, hot_key_rows=hot_key_rows)
+                           hot_key_rows=hot_key_rows)
     written["matched"] = write_snapshot(matched, f"{out}/matched", run_id)
     matched = read_snapshot(spark, f"{out}/matched", run_id)
 
@@ -96,7 +94,11 @@ def run_reconciliation(spark: SparkSession, inputs: Inputs, rules: Rules, out_di
         written["line_status"] = write_snapshot(status, f"{out}/line_status", run_id)
 
     if inputs.arr is not None:
-        rollup = account_rollup(matched, classes, family_short, rules.period.excluded_opp_type)
+        rollup = account_rollup(matched, classes, family_short, rules.period.excluded_opp_type,
+                                as_strings=rules.period.attach_lists)
+        written["account_rollup"] = write_snapshot(rollup, f"{out}/account_rollup", run_id)
+        if rules.period.attach_lists:
+            rollup = read_snapshot(spark, f"{out}/account_rollup", run_id)
         report = period_change(inputs.arr, rollup, rules.period)
         written["period_change"] = write_snapshot(report, f"{out}/period_change", run_id)
     return written

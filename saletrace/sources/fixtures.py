@@ -3,9 +3,11 @@
 The original pipeline reads CRM and asset-inventory tables that are not
 public.  These derivations give tables of the same shape from ``orders``,
 ``lineitem``, ``part``, ``customer`` and ``events`` by integer arithmetic on
-keys (rules in FIXTURES.md §2), so every query's work grows with the given
-tables.  All are narrow projections except the two DISTINCTs the rules ask
-for.
+keys (rules in FIXTURES.md §2).  Every row of the driver table gives a row:
+what an operator is to drop carries a NULL key, an unmatched flag or another
+link type, and the operator drops it.  Accounts are the customers, so they
+grow with the data.  All are narrow projections except the two DISTINCTs the
+rules ask for.
 """
 
 from __future__ import annotations
@@ -40,7 +42,11 @@ FIXTURE_STATUS_RULES = StatusRules(as_of="2024-03-01")
 FIXTURE_PERIOD_RULES = PeriodRules(from_period="2001 | Q1", to_period="2001 | Q2",
                                    base_year=2001)
 FIXTURE_LOOKUPS = Lookups(class_family=FIXTURE_CLASS_FAMILY, family_short=FIXTURE_FAMILY_SHORT)
-# snapshot cuts for the run comparison: old run before, new run from
+# run comparison: the old run holds lines closed before, the new run from; in
+# the new run lines over this quantity have another family, and those under
+# the other one have a second family as well
+RUN_MOVED_OVER, RUN_MOVED_TO = 40.0, "STANDARD"
+RUN_DOUBLED_UNDER, RUN_DOUBLED_AS = 3.0, "PROMO"
 OLD_RUN_BEFORE = "2001-01-01"
 NEW_RUN_FROM = "1998-01-01"
 # ARR periods: (label, factor, l_partkey % 3 value that is left out)
@@ -97,7 +103,7 @@ class Fixtures:
         typ = (F.when(key % 97 == 0, F.lit(None).cast("string"))
                .when(key % 3 == 0, "Renewal").when(key % 3 == 1, "New").otherwise("Upsell"))
         return o.select(k("O", key).alias("id"),
-                        k("A", F.col("o_custkey") % 150).alias("account_id"),
+                        k("A", F.col("o_custkey")).alias("account_id"),
                         F.when(F.col("o_orderstatus") == "O", "open").otherwise("closed_won")
                         .alias("stage_name"),
                         typ.alias("type"),
@@ -152,42 +158,45 @@ class Fixtures:
             F.col("p_type").alias("family"))
 
     def reversal(self) -> DataFrame:
-        by_opp = (self.t["orders"].where(F.col("o_orderkey") % 13 == 0)
-                  .select(F.lit("Opportunity").alias("link_type"),
-                          k("O", F.col("o_orderkey")).alias("linked_id")))
-        by_quote_line = (self.t["lineitem"].where(F.col("l_partkey") % 31 == 0)
-                         .select(F.lit("Quote").alias("link_type"),
-                                 F.concat(F.lit("Q"), _lid()).alias("linked_id")))
+        """Every order and every line, under a link type: the two that mark a
+        reversal, or one that no operator looks for."""
+        by_opp = self.t["orders"].select(
+            F.when(F.col("o_orderkey") % 13 == 0, "Opportunity").otherwise("Account")
+            .alias("link_type"), k("O", F.col("o_orderkey")).alias("linked_id"))
+        by_quote_line = self.t["lineitem"].select(
+            F.when(F.col("l_partkey") % 31 == 0, "Quote").otherwise("Contract").alias("link_type"),
+            F.concat(F.lit("Q"), _lid()).alias("linked_id"))
         return by_opp.unionByName(by_quote_line)
 
     # ---- asset side ----------------------------------------------------------
     def _asset_events(self) -> DataFrame:
-        e = self.t["events"].where(F.col("event_id") % 7 == 0)
         eid = F.col("event_id")
-        host = F.concat(k("h", eid % 500),
+        group = (eid - eid % 4) / 4  # four assets share a host
+        host = F.concat(k("h", group.cast("bigint")),
                         F.when(eid % 17 == 0, F.lit("")).otherwise(F.lit(".example.com")))
-        return e.select(
-            "event_type",
-            k("V", eid).alias("sys_id"),
+        return self.t["events"].select(
+            "event_type", (eid % 2 == 0).alias("even"),
+            F.when(eid % 101 != 0, k("V", eid)).alias("sys_id"),
             F.when(eid % 13 == 0, F.lit(None).cast("boolean")).otherwise(eid % 2 == 0)
             .alias("enabled_flag"),
             F.when(eid % 4 == 1, "Staging").when(eid % 4 == 3, "Development")
             .otherwise("Production").alias("used_for"),
             F.when(eid % 5 == 3, "4").when(eid % 5 == 4, F.lit(None).cast("string"))
             .otherwise("1").alias("install_status"),
-            k("S", F.col("user_id") % 150).alias("account_value"),
+            k("S", F.col("user_id") * 10 + eid % 10).alias("account_value"),
             k("M", eid % 11).alias("model_value"),
             F.col("event_type").alias("sys_class_name"),
             F.col("ts").alias("created_on"), F.col("ts").alias("updated_on"),
             F.col("ts").cast("date").alias("start_on"),
-            host.alias("fqdn"), k("h", eid % 500).alias("resource_key_value"))
+            host.alias("fqdn"), k("h", group.cast("bigint")).alias("resource_key_value"))
 
     def asset_sources(self) -> list[AssetSource]:
-        """Five differently shaped asset tables, one per event type: three
-        carry a host name, two a ready resource key; one has no model."""
+        """Seven differently shaped asset tables by event type (and, for two
+        of them, parity): four carry a host name, three a ready resource key;
+        one has no model."""
         ev = self._asset_events()
 
-        def src(kind: str, prefix: str, with_model: bool, host: bool) -> AssetSource:
+        def src(rows: Column, prefix: str, with_model: bool, host: bool) -> AssetSource:
             names = {"sys_id": "asset_id", "enabled_flag": "enabled", "used_for": "used_for",
                      "install_status": "install_status", "account_value": "source_account_id",
                      "sys_class_name": "class_name", "created_on": "created_at",
@@ -200,13 +209,18 @@ class Fixtures:
             else:
                 raw_cols.append(F.col("resource_key_value").alias(prefix + "resource_key"))
                 names["resource_key"] = "resource_key"
-            df = ev.where(F.col("event_type") == kind).select(*raw_cols)
+            df = ev.where(rows).select(*raw_cols)
             mapping = {canon: prefix + raw for raw, canon in names.items()}
             return AssetSource(df, mapping, host_column=(prefix + "fqdn") if host else None)
 
-        return [src("click", "cr_", True, True), src("view", "pm_", True, True),
-                src("signup", "ra_", True, True), src("purchase", "u_", True, False),
-                src("error", "ip_", False, False)]
+        kind, even = F.col("event_type"), F.col("even")
+        return [src((kind == "click") & even, "pw_", True, True),
+                src((kind == "click") & ~even, "cr_", True, True),
+                src(kind == "view", "pm_", True, True),
+                src(kind == "signup", "ra_", True, True),
+                src((kind == "purchase") & even, "u_", True, False),
+                src(kind == "error", "ip_", False, False),
+                src((kind == "purchase") & ~even, "um_", True, False)]
 
     def master_account(self) -> DataFrame:
         c = F.col("c_custkey")
@@ -214,19 +228,22 @@ class Fixtures:
                                          k("A", c).alias("account_id"))
 
     def deployment(self) -> DataFrame:
+        """One per event; two of three are linked to no asset."""
         eid = F.col("event_id")
-        return (self.t["events"].where(eid % 3 == 0)
-                .select(k("D", eid).alias("id"), k("V", eid).alias("asset_id"),
-                        k("Brand#", eid % 25 + 1).alias("product_code")))
+        return self.t["events"].select(
+            k("D", eid).alias("id"), F.when(eid % 3 == 0, k("V", eid)).alias("asset_id"),
+            k("Brand#", eid % 25 + 1).alias("product_code"))
 
     def decom_host(self) -> DataFrame:
+        """One per event; most name no dotted host, so give no key."""
         eid = F.col("event_id")
-        return (self.t["events"].where(eid % 53 == 0)
-                .select(F.when(eid % 2 == 0, F.concat(k("h", eid % 100), F.lit(".app.example.com")))
-                        .otherwise("nohost").alias("app_hostname"),
-                        F.when(eid % 5 == 0, F.lit(None).cast("string"))
-                        .otherwise(F.concat(k("h", (eid * 7) % 500), F.lit(".site.example.com")))
-                        .alias("site_hostname")))
+        gone = eid % 53 == 0
+        host = lambda n: k("h", ((eid - eid % n) / n).cast("bigint"))
+        return self.t["events"].select(
+            F.when(gone & (eid % 2 == 0), F.concat(host(4), F.lit(".app.example.com")))
+            .otherwise("nohost").alias("app_hostname"),
+            F.when(gone & (eid % 5 != 0), F.concat(host(8), F.lit(".site.example.com")))
+            .alias("site_hostname"))
 
     def class_family(self) -> DataFrame:
         return lookup(self.spark, FIXTURE_CLASS_FAMILY, "class_name string, family string")
@@ -250,7 +267,7 @@ class Fixtures:
             _lid().alias("oli_id"),
             F.concat(F.lit("Q"), _lid()).alias("qli_id"),
             k("O", F.col("l_orderkey")).alias("opp_id"),
-            k("A", F.col("o_custkey") % 150).alias("account_id"),
+            k("A", F.col("o_custkey")).alias("account_id"),
             F.col("p_brand").alias("product_code"),
             s.alias("base_product_code"),
             F.col("p_type").alias("family"),
@@ -276,21 +293,27 @@ class Fixtures:
             F.col("ts").alias("updated_at"))
 
     def decom_event(self) -> DataFrame:
+        """One per event; the match flag is set on few, and some have no
+        asset."""
         eid = F.col("event_id")
-        return (self.t["events"].where(eid % 53 == 0)
-                .select(k("V", eid).alias("asset_id"), F.col("ts").alias("decommissioned_at"),
-                        F.when(eid % 2 == 0, 1).otherwise(0).alias("acct_product_match")))
+        return self.t["events"].select(
+            F.when(eid % 59 != 0, k("V", eid - eid % 3)).alias("asset_id"),
+            F.col("ts").alias("decommissioned_at"),
+            F.when(eid % 53 < 2, 1).otherwise(0).alias("acct_product_match"))
 
     def reverse_rebook(self) -> DataFrame:
+        """One opportunity row and one quote row per order; few are
+        reversals."""
         o = self.t["orders"]
         key = F.col("o_orderkey")
-        by_opp = o.where(key % 13 == 0).select(
+        by_opp = o.select(
             F.lit("Opportunity").alias("link_type"), k("O", key).alias("linked_id"),
-            F.when(key % 2 == 0, "Reversal").otherwise("Rebook").alias("booking_type"),
+            F.when(key % 26 == 0, "Reversal").when(key % 13 == 0, "Rebook").otherwise("Amendment")
+            .alias("booking_type"),
             k("INC", key).alias("incident_number"), F.lit("credit").alias("processed_as"))
-        by_quote = o.where(key % 17 == 0).select(
+        by_quote = o.select(
             F.lit("Quote").alias("link_type"), k("T", key).alias("linked_id"),
-            F.lit("Reversal").alias("booking_type"),
+            F.when(key % 17 == 0, "Reversal").otherwise("Amendment").alias("booking_type"),
             k("INQ", key).alias("incident_number"), F.lit("manual").alias("processed_as"))
         return by_opp.unionByName(by_quote)
 
@@ -308,12 +331,16 @@ class Fixtures:
         j = j.withColumn("_p", F.explode(periods)).where(F.col("l_partkey") % 3 != F.col("_p.skip"))
         amount = (F.col("l_extendedprice").cast("decimal(18,2)")
                   * F.col("_p.factor").cast("decimal(3,2)")).cast("decimal(18,2)")
+        text, form = amount.cast("string"), F.col("l_suppkey") % 20
         return j.select(
             F.col("c_name").alias("account_name"),
-            F.concat(F.lit(ACCOUNT_LINK_PREFIX), k("A", F.col("c_custkey") % 150)).alias("account_link"),
+            F.concat(F.lit(ACCOUNT_LINK_PREFIX), k("A", F.col("c_custkey"))).alias("account_link"),
             k("O", F.col("l_orderkey")).alias("opp_id"),
             _lid().alias("oli_id"),
             F.coalesce(F.col("short_name"), F.col("p_type")).alias("family_short"),
             F.col("o_orderdate").cast("date").alias("close_date"),
-            amount.cast("string").alias("arr_text"),
+            # plain, more decimals, an exponent, 20 digits, no number
+            F.when(form == 0, F.concat(text, F.lit("678"))).when(form == 1, F.concat(text, F.lit("e2")))
+            .when(form == 2, F.concat(F.lit("12345678901234567890"), F.lit(".5")))
+            .when(form == 3, F.lit("n/a")).otherwise(text).alias("arr_text"),
             F.col("_p.yq").alias("year_quarter"))

@@ -46,24 +46,6 @@ def lookup(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame
     return F.broadcast(df) if len(rows) <= MAX_BROADCAST_LOOKUP_ROWS else df
 
 
-# A data side is broadcast only after counting it under this bound (rows of a
-# dimension table; ~100 bytes each keeps the broadcast well under 1 GB).
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else
-    ``df`` unchanged (sort-merge join, or AQE's own runtime choice).
-
-    The check is a bounded count (``limit(max_rows + 1)``): one number comes
-    back to the driver, no rows.  ``max_rows=None`` skips the check.
-    """
-    if max_rows is None:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def write_snapshot(df: DataFrame, path: str, run_id: str | None = None,
                    sort_within: Sequence[str] | None = None) -> str:
     """Materialise a result (``CREATE OR REPLACE TABLE ... AS``).

@@ -117,10 +117,10 @@ def test_every_line_in_exactly_one_tier(spark, facts, assets):
     assert all(len(t) == 1 for t in tiers_per_line.values())
 
 
-def run_salted(spark, facts, assets, buckets=3, hot=1):
+def run_salted(spark, facts, assets, hot=1):
     lk = spark.createDataFrame(LOOKUP, "class_name string, family string")
     res = tiered_match(facts_df(spark, facts), assets_df(spark, assets), lk,
-                       salt_buckets=buckets, hot_key_rows=hot)
+                       hot_key_rows=hot)
     return Counter((r["opp_id"], r["oli_id"], r["asset_id"], r["match_type"])
                    for r in res.collect())
 
@@ -138,5 +138,36 @@ def test_salted_hot_account_keeps_all_pairs(spark):
     facts = [{"opp_id": f"O{i}", "oli_id": f"L{i}", "account_id": "HOT", "family": "F2"}
              for i in range(20)]
     assets = [{"asset_id": f"V{j}", "account_id": "HOT", "class_name": "c2"} for j in range(30)]
-    got = run_salted(spark, facts, assets, buckets=4, hot=10)
+    got = run_salted(spark, facts, assets, hot=10)
     assert got == brute_cascade(facts, assets) and sum(got.values()) == 600
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(fact_rows, asset_rows)
+def test_summary_says_what_the_pairs_say(spark, facts, assets):
+    """Rows, tiers and line classes from the summary equal those of the pairs."""
+    from pyspark.sql import functions as F
+
+    from saletrace.operators.classify import classify_lines, classify_summary
+    from saletrace.operators.matching import match_summary
+
+    facts = [dict(f, opp_id=f"O{i}", opp_type="New", quantity=1.0) for i, f in enumerate(facts)]
+    assets = [dict(a, asset_id=f"V{i}", deployment_asset_id=f"V{i}" if a.pop("has_dep") else None,
+                   enabled=i % 3 > 0, install_status="1" if i % 2 else "4", used_for="Production",
+                   decom_resource="k" if i % 4 == 3 else None)
+              for i, a in enumerate(assets)]
+    lk = spark.createDataFrame(LOOKUP, "class_name string, family string")
+    f, a = facts_df(spark, facts), assets_df(spark, assets)
+    pairs, summary = tiered_match(f, a, lk), match_summary(f, a, lk)
+    keys = ("opp_id", "oli_id", "family", "match_type")
+    assert sorted(map(tuple, pairs.groupBy(*keys).count().collect()), key=str) == sorted(
+        map(tuple, summary.select(*keys, F.col("n_rows")).collect()), key=str)
+    assert sorted(map(tuple, classify_lines(pairs).collect()), key=str) == sorted(
+        map(tuple, classify_summary(summary).collect()), key=str)
+
+
+def test_hot_probe_side_is_dealt(spark):
+    facts = [{"opp_id": f"O{i}", "oli_id": f"L{i}", "account_id": "HOT", "family": "F2"}
+             for i in range(40)]
+    assets = [{"asset_id": f"V{j}", "account_id": "HOT", "class_name": "c2"} for j in range(3)]
+    assert run_salted(spark, facts, assets, hot=10) == brute_cascade(facts, assets)

@@ -166,7 +166,7 @@ def test_period_change_edge_cases(spark):
     ])
     roll = spark.createDataFrame([("A1", "F", "", "L1")], "account_id string, family string, "
                                  "decom_rr_olis string, provision_olis string")
-    rules = PeriodRules(from_period="P1", to_period="P2", base_year=2026)
+    rules = PeriodRules(from_period="P1", to_period="P2", base_year=2026, attach_lists=True)
     got = {r["oli_id"]: r for r in period_change(arr, roll, rules).collect()}
     assert got["L1"]["arr_diff"] == 50.0 and got["L1"]["max_q"] == 2
     assert got["L1"]["decom_rr_olis"] == "" and got["L1"]["provision_olis"] == "L1"
@@ -272,3 +272,43 @@ def test_period_rejects_counts_bad_amounts(spark):
     got = {r["year_quarter"]: (r["n_rows"], r["n_rejected"])
            for r in period_rejects(arr, PeriodRules(from_period="P1", to_period="P2")).collect()}
     assert got == {"P1": (2, 1), "P2": (1, 0)}
+
+
+def test_period_amounts_are_not_rounded_or_lost(spark):
+    """More decimals, exponents and many digits keep their value."""
+    texts = {"L1": "12.345", "L2": "0.004", "L3": "12345678901234567890", "L4": "1.5e17",
+             "L5": "-7.25", "L6": "n/a"}
+    arr = _arr(spark, [("n", "l/A1", "O", k, "F", d("2020-05-01"), v, "P2") for k, v in texts.items()])
+    got = {r["oli_id"]: r["arr_diff"] for r in period_change(
+        arr, None, PeriodRules(from_period="P1", to_period="P2")).collect()}
+    assert got == {"L1": 12.345, "L2": 0.004, "L3": 12345678901234567890.0, "L4": 1.5e17,
+                   "L5": -7.25, "L6": None}
+
+
+def test_positions_are_the_same_written_or_not(spark):
+    from saletrace.operators.ordering import with_position
+    from saletrace.plans.materialize import materialize
+
+    df = spark.range(0, 997).select((F.col("id") * 7919 % 997).alias("k"), (F.col("id") % 5).alias("g"))
+    order = (F.col("g").desc(), F.col("k"))
+    one = with_position(df, order).orderBy("pos").collect()
+    spread = with_position(df, order, lambda x: materialize(x, "ordered")).orderBy("pos").collect()
+    assert one == spread and [r["pos"] for r in spread] == list(range(1, 998))
+
+
+def test_catalog_profile_keeps_a_view_and_a_table_of_one_name(spark):
+    from saletrace.operators.profile import profile_catalog
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS profile_probe_db")
+    spark.createDataFrame([(1,), (2,)], "n int").write.mode("overwrite").saveAsTable(
+        "profile_probe_db.probe_b")
+    spark.createDataFrame([("x",)], "s string").createOrReplaceTempView("probe_b")
+    try:
+        got = [(r["table_schema"], r["column_name"], r["row_count"])
+               for r in profile_catalog(spark, tables=["probe_b"]).collect()]
+        assert got == [("", "s", 1), ("profile_probe_db", "n", 2)]
+        only = profile_catalog(spark, schema="profile_probe_db", tables=["probe_b"], counts=False)
+        assert [(r["table_schema"], r["pos"]) for r in only.collect()] == [("profile_probe_db", 1)]
+    finally:
+        spark.catalog.dropTempView("probe_b")
+        spark.sql("DROP DATABASE profile_probe_db CASCADE")

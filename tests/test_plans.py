@@ -1,11 +1,13 @@
 """Plan checks of §5: no nested-loop or cartesian join, no Python UDF node,
 column pruning at the scans, no repeated upstream plans in the match."""
 
+import contextlib
+
 import pytest
 
 import __spark_entry__ as entry
 from saletrace.plans.catalog import FixtureRun
-from saletrace.plans.checks import count_nodes, plan_problems, read_schemas
+from saletrace.plans.checks import count_nodes, physical_plan, plan_problems, read_schemas
 
 COMPOSITES = ["line_facts", "tiered_match", "snapshot_compare", "classify_lines",
               "line_status", "decom_rollup", "reversal_rollup", "account_rollup",
@@ -27,58 +29,89 @@ def test_lineitem_scan_is_pruned(spark, sf_small):
             assert unused not in s
 
 
-def test_match_reads_each_input_once(spark, sf_small):
-    """No branch of the match repeats the facts join."""
-    import re
+NO_PAIRS = ["tier_summary", "snapshot_compare", "snapshot_segments", "ranked_segments",
+            "run_compare", "classify_lines", "account_rollup", "period_change"]
 
-    from saletrace.plans.checks import physical_plan
 
-    df = FixtureRun(spark, sf_small).matched_plan()
-    # the facts join and key lookups ran once, into the materialised
-    # line-tier table; the match plan reads that table (pairs, unmatched)
-    # and the asset table (code-keyed and family-keyed), all pruned; no key
-    # is hot in the fixtures, so the pair join is not salted
-    text = physical_plan(df)
-    assert re.findall(r"FileScan parquet[^\n]*?/(lineitem|orders|part|events)\.parquet", text) == []
-    assert count_nodes(df, "FileScan") == 4
+@contextlib.contextmanager
+def large_inputs(spark):
+    """Plans as for inputs too big to broadcast, before any runtime change."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
-def test_filters_reach_the_scan(spark, sf_small):
-    """The family list and the close-date cut of the line facts reach the
-    parquet scans of part and orders."""
-    from saletrace.plans.checks import physical_plan
+@contextlib.contextmanager
+def jobs_of(spark):
+    """The number of jobs that run inside."""
+    tracker, seen = spark.sparkContext.statusTracker(), []
+    spark.sparkContext.setJobGroup("plan-test", "plan test")
+    before = set(tracker.getJobIdsForGroup("plan-test"))
+    try:
+        yield seen
+        seen += set(tracker.getJobIdsForGroup("plan-test")) - before
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-    text = physical_plan(entry.queries()["line_facts"](spark, sf_small))
-    assert "PushedFilters: [In(p_type," in text
-    assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in text
 
+@pytest.mark.parametrize("build", ["facts", "enriched", "matched", "summary", "rollup", "status"])
+def test_building_runs_no_job(spark, sf_small, build):
+    run = FixtureRun(spark, sf_small, write=False)
+    for df in run.fx.t.all().values():  # footers are read before
+        df.schema
+    with jobs_of(spark) as jobs:
+        getattr(run, build)()
+    assert jobs == []
 
-def test_product_broadcast_only_under_the_bound(spark, sf_small):
-    from saletrace.operators.facts import line_facts
-    from saletrace.plans.checks import physical_plan
-    from saletrace.sources.fixtures import FIXTURE_FACT_RULES, Fixtures
 
-    fx = Fixtures(spark, sf_small)
-    args = (fx.opportunity(), fx.line_item(), fx.quote_line(), fx.quote(), fx.product(),
-            fx.reversal(), FIXTURE_FACT_RULES)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        under = physical_plan(line_facts(*args))
-        over = physical_plan(line_facts(*args, product_broadcast_rows=10))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" in under
-    assert "BroadcastHashJoin" not in over
+def test_match_plan_at_scale(spark, sf_small):
+    """Nothing written in between: the key summaries, the best tiers and the
+    sliced pair join are all in the plan, without a one-task step."""
+    with large_inputs(spark):
+        df = FixtureRun(spark, sf_small, write=False).matched()
+        text = physical_plan(df)
+        assert plan_problems(df) == []
+    assert "SinglePartition" not in text
+    # what is broadcast is the constant class-to-family lookup
+    for below in text.split("BroadcastExchange ")[1:]:
+        assert "_lk_class" in "".join(below.splitlines()[1:3])
+    assert "partial_min(CASE WHEN (_k_kind" in text       # key summaries, combined before the shuffle
+    assert "partial_min(_row_tier" in text                # best tier of a line
+    assert "Window" not in text and "_k_salt" in text
 
 
-def test_salting_only_when_some_key_is_hot(spark, sf_small):
-    from saletrace.operators.matching import tiered_match
-    from saletrace.plans.checks import physical_plan
+@pytest.mark.parametrize("name", NO_PAIRS)
+def test_no_pair_join(spark, sf_small, name, monkeypatch):
+    """Queries that need no pairs never build them."""
+    from saletrace.plans import catalog
 
-    run = FixtureRun(spark, sf_small)
-    facts, assets, lk = run.facts(), run.enriched_table(), run.fx.class_family()
-    cold = physical_plan(tiered_match(facts, assets, lk, salt_buckets=4, hot_key_rows=10**9))
-    hot = physical_plan(tiered_match(facts, assets, lk, salt_buckets=4, hot_key_rows=0))
-    assert "xxhash64" not in cold
-    assert "xxhash64" in hot
+    def pairs(*args, **kwargs):
+        raise AssertionError("pairs built")
+    monkeypatch.setattr(catalog, "tiered_match", pairs)
+    catalog.QUERIES[name](spark, sf_small)
+
+
+def test_summary_joins_are_on_distinct_keys(spark, sf_small):
+    run = FixtureRun(spark, sf_small, write=False)
+    assert run.summary().count() <= run.facts().count()
+
+
+def test_profile_expands_no_row(spark, sf_small):
+    df = entry.queries()["profile_columns"](spark, sf_small)
+    assert count_nodes(df, "Expand") == 0
+    wide = [s for s in read_schemas(df) if s.count(":") > 1 and "array" not in s]
+    assert wide == []  # each column is read by itself
+
+
+def test_filters_reach_the_scan(spark, sf_small):
+    """The family list and the close-date cut of the line facts reach the
+    parquet scans of part and orders."""
+    text = physical_plan(entry.queries()["line_facts"](spark, sf_small))
+    assert "PushedFilters: [In(p_type," in text
+    assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in text

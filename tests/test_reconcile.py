@@ -9,9 +9,10 @@ def test_two_runs_compare_identical(spark, sf_small, tmp_path):
     out = str(tmp_path / "out")
     w1 = run_reconciliation(spark, inputs, rules, out, "r1")
     w2 = run_reconciliation(spark, inputs, rules, out, "r2")
-    assert set(w1) == {"matched", "line_classes", "line_status", "period_change"}
+    assert set(w1) == {"matched", "line_classes", "line_status", "account_rollup",
+                       "period_change"}
     assert w1["matched"].endswith("run_id=r1") and w2["matched"].endswith("run_id=r2")
-    assert spark.read.parquet(w1["matched"]).count() == 1647
+    assert spark.read.parquet(w1["matched"]).count() == 2033
     got = {(r["family"], r["segment"]): r["unique_oli_count"]
            for r in compare_runs(spark, out, "r1", "r2").collect()}
     total = got[("overall", "total_old")]
