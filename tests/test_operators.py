@@ -222,6 +222,22 @@ def test_not_in_null_rules(spark):
     assert exclude_not_in(left, empty, "k").count() == 3
 
 
+def test_read_by_name_or_path(spark, tmp_path):
+    from saletrace.sources.io import read_table, read_tables
+
+    df = spark.createDataFrame([(1,), (2,)], "n int")
+    df.write.parquet(str(tmp_path / "probe_t.parquet"))
+    spark.sql("CREATE DATABASE IF NOT EXISTS read_probe_db")
+    df.write.mode("overwrite").saveAsTable("read_probe_db.probe_t")
+    try:
+        assert read_table(spark, "read_probe_db.probe_t").count() == 2
+        assert read_table(spark, str(tmp_path / "probe_t.parquet")).count() == 2
+        for base in ("read_probe_db", str(tmp_path)):
+            assert read_tables(spark, base, ["probe_t"])["probe_t"].agg({"n": "sum"}).first()[0] == 3
+    finally:
+        spark.sql("DROP DATABASE read_probe_db CASCADE")
+
+
 def test_profile_counts(spark):
     a = spark.createDataFrame([(1, "x"), (1, None), (2, "y")], "n int, s string")
     got = {r["column_name"]: r for r in profile_columns({"a": a, "b": a}, ["a"]).collect()}
