@@ -28,7 +28,7 @@ are carried through, one result row each.  Other columns are left out.
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -38,11 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and_text
+from .common import id_and_text, slices
 
 LEAF_CHARS, SPREAD_CHARS = 4096, 65536
 #: words a Python worker remembers; beyond, words are encoded again
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 #: fixed pre-token pattern of byte-level BPE files
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _UNUSUAL = regex.compile(r"[^\t\n\r -~\xA1-\xAC\xAE-ſ–—‘-”€]")
@@ -60,15 +60,9 @@ class ByteBpe:
     """One byte-level BPE file; holds the worker's memory of words."""
 
     def __init__(self, path: str):
-        import tiktoken
-        from tokenizers import Tokenizer
-
+        self.path = path
         with open(path, encoding="utf-8") as f:
-            content = f.read()
-        self.exact = Tokenizer.from_str(content)
-        self.exact.no_truncation()
-        self.exact.no_padding()
-        spec = json.loads(content)
+            spec = json.load(f)
         to_byte = byte_chars()
         added = {t["id"]: t["content"] for t in spec["added_tokens"]}
         ranks = {bytes(to_byte[c] for c in token): i
@@ -81,10 +75,27 @@ class ByteBpe:
         self.lengths = np.array([len(t) for t in self.token_bytes])
         self.specials = list(added.values())
         self.reach = max([8, *(len(t.encode()) for t in self.specials)])
-        self.ranked = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks,
-                                        special_tokens={})
+        self.added = set(added)
         self.words: dict[str, bytes] = {}
 
+    @cached_property
+    def exact(self):
+        """The library's own tokenizer, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
+    @cached_property
+    def ranked(self):
+        import tiktoken
+
+        ranks = {t: i for i, t in enumerate(self.token_bytes) if t and i not in self.added}
+        return tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks,
+                                 special_tokens={})
+
     def plain(self, text: str) -> bool:
         return not _UNUSUAL.search(text) and not any(s in text for s in self.specials)
 
@@ -202,7 +213,7 @@ def encode_udf(path: str):
     @F.arrow_udf(_IDS)
     def encode(text: pa.Array) -> pa.Array:
         bpe = codec(path)
-        return _id_lists([bpe.encode(x or "") for x in text.to_pylist()])
+        return _id_lists([bpe.encode(x or "") for part in slices(text) for x in part])
     return encode
 
 
@@ -225,7 +236,8 @@ def _join_group(path: str):
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         bpe, pdf = codec(path), pdf.sort_values("pos")
         ids = bpe.tree([np.asarray(x, np.uint32) for x in pdf["ids"]])
-        return pd.DataFrame({"id": pdf["id"].iloc[:1], "ids": [ids.astype(np.int32)]})
+        return pd.DataFrame({"id": pdf["id"].iloc[:1], "copies": pdf["copies"].iloc[:1],
+                             "ids": [ids.astype(np.int32)]})
     return join
 
 
@@ -233,13 +245,20 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``id_col, ids`` for each row of ``docs``; ``path``: the tokenizer
     file, present on every executor."""
     rows = id_and_text(docs, id_col, text_col)
-    short = rows.filter(F.length("text") <= SPREAD_CHARS).select("id", encode_udf(path)("text").alias("ids"))
-    long = rows.filter(F.length("text") > SPREAD_CHARS).withColumn("row", F.monotonically_increasing_id())
-    pieces = long.select("id", "row", F.posexplode(_pieces_udf("text")).alias("pos", "piece"))
-    spread = pieces.repartition("row", "pos").select("id", "row", "pos",
-                                                     encode_udf(path)("piece").alias("ids"))
-    joined = spread.groupBy("id", "row").applyInPandas(_join_group(path), "id bigint, ids array<int>")
-    return short.union(joined).withColumnRenamed("id", id_col)
+    short = rows.filter(F.length("text") <= SPREAD_CHARS)
+    short = short.select("id", encode_udf(path)("text").alias("ids"))
+    # equal rows are encoded once: a text is then named by its id and digest,
+    # which a task that is run again finds the same
+    long = (rows.filter(F.length("text") > SPREAD_CHARS).groupBy("id", "text")
+            .agg(F.count(F.lit(1)).cast("int").alias("copies")))
+    pieces = long.select("id", "copies", F.sha2("text", 256).alias("name"),
+                         F.posexplode(_pieces_udf("text")).alias("pos", "piece"))
+    spread = pieces.repartition("id", "name", "pos").select(
+        "id", "copies", "name", "pos", encode_udf(path)("piece").alias("ids"))
+    joined = spread.groupBy("id", "name").applyInPandas(
+        _join_group(path), "id bigint, copies int, ids array<int>")
+    again = joined.select("id", "ids", F.explode(F.sequence(F.lit(1), "copies")))
+    return short.union(again.select("id", "ids")).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,13 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
 
+def slices(array: pa.Array, size: int = 512) -> Iterator[list]:
+    """The values of an Arrow array, ``size`` at a time: a worker holds the
+    Python objects of one slice, not of a whole batch."""
+    for at in range(0, len(array), size):
+        yield array.slice(at, size).to_pylist()
+
+
 def fold(column: Column, n: int) -> Column:
     """crc32 of a value's text, modulo ``n`` (null stays null)."""
     return F.crc32(column.cast("string").cast("binary")) % n

@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import slices
+
 SHINGLE, CONTAINMENT = 5, 0.8
 BLOCK_ITEMS = 50_000
 _MISS = 1 - CONTAINMENT
@@ -144,7 +146,8 @@ def hits_udf(items: list[tuple[int | None, str | None]]):
             cache[0] = SketchIndex(items)
         index = cache[0]
         return pa.array([[{"item_id": a, "n_shingles": b, "n_shared": c}
-                          for a, b, c in index.contained(x or "")] for x in text.to_pylist()],
+                          for a, b, c in index.contained(x or "")]
+                         for part in slices(text) for x in part],
                         pa.list_(pa.struct([("item_id", pa.int64()), ("n_shingles", pa.int64()),
                                             ("n_shared", pa.int64())])))
     return hits

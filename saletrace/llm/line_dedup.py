@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and_text, materialize, packed, unpacked
+from .common import id_and_text, materialize, packed, slices, unpacked
 
 MIN_WORDS, HOT_ROWS = 20, 1_000_000
 _WHITE = " \t\n\r\x0b\x0c"
@@ -51,7 +51,7 @@ def units_udf(min_words: int):
     def units(text: pa.Array) -> pa.Array:
         return pa.array([[{"line": n, "start": a, "end": b, "digest": d}
                           for n, a, b, d in line_units(x or "", min_words)]
-                         for x in text.to_pylist()],
+                         for part in slices(text) for x in part],
                         pa.list_(pa.struct([("line", pa.int32()), ("start", pa.int64()),
                                             ("end", pa.int64()), ("digest", pa.binary())])))
     return units

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, materialize, packed, unpacked
+from .common import fold, materialize, packed, slices, unpacked
 from .textstats import FIELDS, text_stats
 
 #: name -> (numerator, denominator); rejected when the share exceeds the cutoff
@@ -56,11 +56,15 @@ _STRUCT = T.StructType([T.StructField(f, T.LongType()) for f in FIELDS])
 
 @F.arrow_udf(_STRUCT)
 def stats_udf(text: pa.Array) -> pa.Array:
-    rows = [text_stats(x or "") for x in text.to_pylist()]
+    rows = [text_stats(x or "") for part in slices(text) for x in part]
     cols = zip(*rows) if rows else [[] for _ in FIELDS]
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], names=list(FIELDS))
 
 
+# so that no filter on the counts is pushed below and counts the text again
+stats_udf = stats_udf.asNondeterministic()
+
+
 def base_failed(stats: str = "s"):
     n, r = F.col(f"{stats}.n_words"), F.col(f"{stats}.n_repeat_words")
     return (n < MIN_WORDS) | (100 * r > MAX_REPEAT_PERCENT * n)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_and_text, materialize, packed, unpacked
+from .common import id_and_text, materialize, packed, slices, unpacked
 from .components import components
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
@@ -83,7 +83,7 @@ def fingerprint(text: str) -> int:
 
 @F.arrow_udf(T.LongType())
 def fingerprint_udf(text: pa.Array) -> pa.Array:
-    values = np.array([fingerprint(x or "") for x in text.to_pylist()], dtype=np.uint64)
+    values = np.array([fingerprint(x or "") for part in slices(text) for x in part], dtype=np.uint64)
     return pa.array(values.view(np.int64))
 
 

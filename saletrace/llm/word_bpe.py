@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import sys
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import regex
@@ -27,20 +27,16 @@ PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N
 _PLAIN = regex.compile(r"[!-~\xA1-įı-ſ]+")
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 _END = "</w>"
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 200_000
 
 
 class WordBpe:
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
+        self.path = path
         with open(path, encoding="utf-8") as f:
-            content = f.read()
-        self.exact = Tokenizer.from_str(content)
-        self.exact.no_truncation()
-        self.exact.no_padding()
-        spec = json.loads(content)
+            spec = json.load(f)
         to_byte = byte_chars()
         self.specials = [t["content"] for t in spec["added_tokens"]]
         ranks = {}
@@ -52,6 +48,16 @@ class WordBpe:
                                         special_tokens={})._core_bpe
         self.chunks: dict[str, bytes] = {}
 
+    @cached_property
+    def exact(self):
+        """The library's own tokenizer, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def chunk(self, text: str) -> bytes:
         if not _PLAIN.fullmatch(text) or "<" in text and any(s in text for s in self.specials):
             return self.library(text)

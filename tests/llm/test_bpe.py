@@ -47,6 +47,7 @@ def test_word_memory_is_bounded(monkeypatch):
 
 
 def test_operator(spark, make_docs, odd_rows):
+    odd_rows = odd_rows + [odd_rows[8]] * 3  # a long row, four times
     docs = make_docs(odd_rows, clash=True)
     out = bpe.decode(bpe.encode(docs, PATH), PATH).collect()
     exact = bpe.ByteBpe(PATH).exact
