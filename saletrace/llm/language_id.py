@@ -40,13 +40,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, id_and_text
+from .common import fold, id_and_text, slices
 
 BUCKETS, SAMPLE_DOCS = 1 << 16, 8000
 FOLDS, HELD_OUT = 4, 2
 SWITCH, CLIP, SCRIPT_SHARE = 8.0, 6.0, 0.02
 MAX_GRAM, GROUP = 4, 128
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 UNKNOWN = "und"
 
 #: first code point, script (fixed ranges of the Unicode blocks)
@@ -139,12 +139,13 @@ class WordModel:
             value = sums / n[:, None] * size[:, None]
             value -= value.max(1, keepdims=True)
             value = np.maximum(value, -CLIP)
-            for i, w in enumerate(real):
-                allowed = self.scripts.get(script_of(w))
-                if allowed:
-                    barred = np.ones(len(self.langs), bool)
-                    barred[allowed] = False
-                    value[i, barred] = -2 * CLIP
+            written = ["Latin" if w.isascii() else script_of(w) for w in real]
+            for script in set(written):
+                allowed = self.scripts.get(script, ())
+                barred = [k for k in range(len(self.langs)) if k not in allowed]
+                if allowed and barred:
+                    rows = np.flatnonzero([x == script for x in written])
+                    value[rows[:, None], barred] = -2 * CLIP
             scores[letters > 0] = value
         start = len(self.table)
         self.rows.update(zip(chunks, range(start, start + len(chunks))))
@@ -299,9 +300,8 @@ def label_udf(model: WordModel):
     def labelled(text: pa.Array) -> pa.Array:
         known = _held.setdefault(model.key, model)
         out = []
-        texts = text.to_pylist()
-        for at in range(0, len(texts), 512):
-            out += label([x or "" for x in texts[at:at + 512]], known)
+        for part in slices(text, 2048):
+            out += label([x or "" for x in part], known)
         return pa.StructArray.from_arrays(
             [pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out], pa.float64()),
              pa.array([[{"start": a, "end": b, "lang": x} for a, b, x in o[2]] for o in out],
