@@ -196,7 +196,9 @@ def read_tokens(manifest: DataFrame, only: DataFrame | None = None) -> DataFrame
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     schema = "id bigint, start bigint, ids binary"
     if only is None:
-        return placed.repartition("part").mapInArrow(_read_all, schema)
+        # a task for each shard: a number of partitions that AQE leaves alone
+        shards = max(1, manifest.count())
+        return placed.repartitionByRange(shards, "part").mapInArrow(_read_all, schema)
     wanted = placed.join(only.select(F.col("id").alias("want")).distinct(),
                          F.col("want").between(F.col("first"), F.col("last")))
     asked = wanted.groupBy("file", "before").agg(F.collect_set("want").alias("want"))
