@@ -38,6 +38,7 @@ from .common import materialize
 CURATED = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
            ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 SUPPORT, CONFIDENCE = 0.01, 0.9
+SPREAD = 256
 _BLOCK, _ALLOW = "verdict=block", "verdict=allow"
 
 
@@ -154,8 +155,11 @@ def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
         F.array_intersect("tokens", known))))
     sets = signed.filter(F.size("sign") > 0).select(F.col("sign").alias("tokens")).distinct()
     hits = match_rules(sets, mined).select(F.col("tokens").alias("sign"), "confidence")
-    # a set of rule tokens is one of few: at most 2 ** tokens of a URL per rule token
-    out = signed.join(hits, "sign", "left")
+    # many URLs share a set (and those a curated rule decides have none), so
+    # URLs are dealt over SPREAD parts of a set, and the few sets repeated
+    hits = hits.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    part = F.pmod(F.xxhash64("id", "host", "path"), F.lit(SPREAD)).cast("int")
+    out = signed.withColumn("part", part).join(hits, ["sign", "part"], "left")
     verdict = F.coalesce("verdict", F.when(F.col("confidence").isNotNull(), F.lit("block"))
                          .otherwise(F.lit("allow")))
     return out.select(F.col("id").alias(id_col), "host", "path", "rule",
