@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, materialize
+from .common import fold, materialize, slices
 from .textstats import text_stats
 
 SAMPLE = 20_000
@@ -58,7 +58,7 @@ N_FEATURES = 23
 
 @F.arrow_udf(T.ArrayType(T.FloatType()))
 def features_udf(text: pa.Array) -> pa.Array:
-    return pa.array([features(x or "") for x in text.to_pylist()], pa.list_(pa.float32()))
+    return pa.array([features(x or "") for part in slices(text) for x in part], pa.list_(pa.float32()))
 
 
 class PuNetwork:
@@ -139,11 +139,16 @@ def fit(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> PuNetwo
              .groupBy(F.col("doc_id").cast("bigint").alias("id"))
              .agg(F.min("quality").alias("lo"), F.max("quality").alias("hi")))
     train = measured.filter(fold(F.col("id"), FOLDS) != HELD_OUT).join(marks, "id", "left")
-    order = [F.xxhash64("id", F.lit("pu")), F.col("id")]
+    train = train.withColumn("h", F.pmod(F.xxhash64("id", F.lit("pu")), F.lit(1 << 40)))
 
     def take(rows: DataFrame) -> np.ndarray:
-        got = rows.orderBy(*order).limit(sample).select("x").collect()
-        return np.array([r.x for r in got], float).reshape(-1, N_FEATURES)
+        # by a threshold on the hash first, so that little over the sample
+        # leaves the executors, however many rows and tasks there are
+        total = max(1, rows.count())
+        some = rows.filter(F.col("h") < int((1 << 40) * min(1.0, 1.1 * sample / total)))
+        got = sorted(((r.h, r.id, r.x) for r in some.select("h", "id", "x").collect()),
+                     key=lambda r: (r[0], r[1] or 0))
+        return np.array([r[2] for r in got[:sample]], float).reshape(-1, N_FEATURES)
 
     pos, unl = take(train.filter("lo = 1 and hi = 1")), take(train.filter("lo is null"))
     if not len(pos) or not len(unl):
