@@ -16,10 +16,19 @@ from pyspark.sql import functions as F
 _shipped: set[str] = set()
 
 
+#: rows that a Python worker is handed at once; Spark's default of 10,000 long
+#: texts, and what an operator makes of them, would be held together
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package's modules to the executors' Python workers through
-    Spark (``addPyFile``), once per application."""
+    Spark (``addPyFile``), once per application, and bound the batches that
+    workers are handed (unless the session has set its own bound)."""
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     if sc.applicationId not in _shipped:
         _shipped.add(sc.applicationId)
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
