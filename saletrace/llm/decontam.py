@@ -28,6 +28,7 @@ Null ids are carried through.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -135,16 +136,26 @@ _HITS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()),
                                   T.StructField("n_shared", T.LongType())]))
 
 
+_indexes: dict[str, SketchIndex] = {}
+
+
+def block_index(key: str, items: list[tuple[int | None, str | None]]) -> SketchIndex:
+    """A block's index in this Python worker (whose ``hash`` it uses), kept
+    from task to task; the last few blocks are held."""
+    if key not in _indexes:
+        while len(_indexes) >= 4:
+            _indexes.pop(next(iter(_indexes)))
+        _indexes[key] = SketchIndex(items)
+    return _indexes[key]
+
+
 def hits_udf(items: list[tuple[int | None, str | None]]):
-    """Texts to the items of this block they contain.  The index is built
-    once in each Python worker, whose ``hash`` it uses."""
-    cache: dict[int, SketchIndex] = {}
+    """Texts to the items of this block they contain."""
+    key = hashlib.sha256(repr(items).encode("utf-8", "surrogatepass")).hexdigest()
 
     @F.arrow_udf(_HITS)
     def hits(text: pa.Array) -> pa.Array:
-        if 0 not in cache:
-            cache[0] = SketchIndex(items)
-        index = cache[0]
+        index = block_index(key, items)
         return pa.array([[{"item_id": a, "n_shingles": b, "n_shared": c}
                           for a, b, c in index.contained(x or "")]
                          for part in slices(text) for x in part],

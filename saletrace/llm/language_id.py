@@ -29,9 +29,9 @@ first in alphabetical order.  Repeated rows: one result row each.
 from __future__ import annotations
 
 import bisect
+import hashlib
 import math
 import re
-import zlib
 
 import numpy as np
 import pandas as pd
@@ -112,7 +112,8 @@ class WordModel:
         self.rows: dict[str, int] = {}
         self.table = np.zeros((1, len(langs)), np.float32)
         self.letters = np.zeros(1, np.int64)
-        self.key = zlib.crc32(self.logp.tobytes() + repr((langs, sorted(scripts.items()))).encode())
+        self.key = hashlib.sha256(
+            self.logp.tobytes() + repr((langs, sorted(scripts.items()))).encode()).hexdigest()
 
     def lookup(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Row numbers of each text's chunks in the table of scores."""
@@ -291,14 +292,19 @@ _RESULT = T.StructType([
         T.StructField("lang", T.StringType())])))])
 
 
-#: the models of this worker, with the words they have seen
-_held: dict[int, WordModel] = {}
+_held: dict[str, WordModel] = {}
+
+
+def remembered(model: WordModel) -> WordModel:
+    """This worker's own copy of a model, with the words it has seen in
+    earlier tasks."""
+    return _held.setdefault(model.key, model)
 
 
 def label_udf(model: WordModel):
     @F.arrow_udf(_RESULT)
     def labelled(text: pa.Array) -> pa.Array:
-        known = _held.setdefault(model.key, model)
+        known = remembered(model)
         out = []
         for part in slices(text, 2048):
             out += label([x or "" for x in part], known)
