@@ -1,7 +1,7 @@
 """Substring dedup by line hashing.
 
-A text is cut at newlines.  Each line of ``MIN_WORDS`` or more words is
-normalised (lower case, runs of white space as one space, none at the ends)
+A text is cut at newlines.  Each line of ``min_words`` or more words (by
+default ``MIN_WORDS``; 1 takes every line that is not blank) is normalised (lower case, runs of white space as one space, none at the ends)
 and digested to 128 bits.  Digests are grouped over the whole corpus; the
 occurrence of smallest rank (document id, then position) stays, and all
 others are removed, with their offsets in the original text reported.
@@ -12,7 +12,9 @@ share costs its counts, not its rows.  Lines are then joined to the digests
 that occur twice or more; the few digests of over ``HOT_ROWS`` lines (at most
 one per ``HOT_ROWS`` lines of the corpus) are broadcast instead of shuffled.
 
-Defined results.  Null or empty text, or only short lines: nothing removed.
+A repeat that covers only a part of its lines is not seen.
+
+Defined results.  Null or empty text, or only shorter lines: nothing removed.
 Null ids rank last.  Repeated rows: the first by row number keeps its lines.
 A line repeated within one document is removed there as well.
 """

@@ -69,6 +69,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.repeated_lines(read(spark, sf_dir, "documents"))
 
 
+def op4_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every repeated line to remove, however short, with its offsets."""
+    ship(spark)
+    return line_dedup.repeated_lines(read(spark, sf_dir, "documents"), min_words=1)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids as read back from the written files."""
     ship(spark)
@@ -117,10 +123,11 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bpe_encode_decode, op2_secret_scan, op3_quality_classifier, op4_line_dedup,
-    op5_token_files, op6_url_filter, op7_quality_rules, op8_language_id,
+    op4_all_lines, op5_token_files, op6_url_filter, op7_quality_rules, op8_language_id,
     op9_benchmark_decontamination, op10_simhash_near_dedup)}
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": line_dedup.repeated_lines_sql(),
+    "op4_all_lines": line_dedup.repeated_lines_sql(min_words=1),
     "op9_benchmark_decontamination": decontam.containment_sql(),
 }

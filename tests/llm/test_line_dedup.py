@@ -63,3 +63,17 @@ def test_equals_sql(spark, sf_small):
     got = line_dedup.repeated_lines(spark.read.parquet(f"{sf_small}/documents.parquet"), min_words=8)
     want = con.sql(line_dedup.repeated_lines_sql(min_words=8)).fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want) and want
+
+
+def test_short_lines_are_removed_too(spark, sf_small):
+    """The query over all lines equals its SQL, and brute force; repeats of
+    under 20 words are among its rows."""
+    from saletrace.llm import queries
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_small}/documents.parquet'")
+    got = sorted(map(tuple, queries.QUERIES["op4_all_lines"](spark, sf_small).collect()))
+    assert got == sorted(con.sql(queries.ORACLES["op4_all_lines"]).fetchall())
+    texts = con.sql("SELECT doc_id, text FROM documents").fetchall()
+    assert got == sorted(naive(texts, 1))
+    by_id = dict(texts)
+    assert any(len(by_id[i][a:b].split()) < 20 for i, _, a, b, _ in got)
