@@ -204,14 +204,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = id_and_text(docs, id_col, text_col)
     prints = materialize(rows.select("id", fingerprint_udf("text").alias("fp")), "fingerprints")
     groups = group_prints(prints)
-    ids = groups.filter("component_id is not null").select(
-        F.col("component_id").alias("_keep")).distinct()
-    kept = docs.join(ids, docs[id_col].cast("bigint") == ids["_keep"], "left_semi")
-    kept = kept.dropDuplicates([id_col])
+    fp = fingerprint_udf(F.coalesce(docs[text_col], F.lit("")))
+    firsts = groups.filter("component_id is not null").select(
+        F.col("component_id").alias("id"), "fp", "root")
+    # an id may stand on several texts: the row is that of the component's own
+    kept = packed(docs, id=docs[id_col].cast("bigint"), fp=fp).join(
+        firsts, ["id", "fp"]).dropDuplicates(["root"])
     bare = docs.filter(docs[id_col].isNull())
     loose = packed(bare, fp=fingerprint_udf(F.coalesce(bare[text_col], F.lit("")))).join(
         groups.filter("component_id is null").select("fp", "root"), "fp").dropDuplicates(["root"])
-    return kept.union(unpacked(loose, bare))
+    return unpacked(kept, docs).union(unpacked(loose, bare))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

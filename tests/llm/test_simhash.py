@@ -147,3 +147,12 @@ def test_plan_makes_no_pairs_of_copies(spark, make_docs):
     docs = make_docs([(i, "the same words in every one of these rows") for i in range(1000)])
     out = simhash.near_duplicates(docs)
     assert out.filter(F.col("component_id") != 0).count() == 0
+
+
+def test_keep_one_where_an_id_stands_on_several_texts(spark, make_docs, prose):
+    """Each component keeps a row, and it is the component's own."""
+    a, b, c = (prose(200, 900 + k) for k in range(3))
+    rows = [(1, a), (1, b), (2, b), (1, c), (3, c), (3, a), (1, a)]
+    assert len({naive_print(t) for t in (a, b, c)}) == 3
+    kept = simhash.keep_one(make_docs(rows, clash=True)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, a), (1, b), (1, c)])
