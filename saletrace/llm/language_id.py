@@ -2,8 +2,9 @@
 
 *Training.*  Character n-grams (1 to 4, over each word with its ends marked)
 are hashed to ``BUCKETS`` buckets and counted per language over a bounded
-sample of ``SAMPLE_DOCS`` training documents, by hash of the id; the counting
-runs on the executors, and only counts (at most buckets x languages) reach
+sample of about ``SAMPLE_DOCS`` training documents, by hash of the id, half of
+it dealt evenly to the languages, so that a rare one is learned too; the
+counting runs on the executors, and only counts (at most buckets x languages) reach
 the driver.  A language's scripts are those that hold ``SCRIPT_SHARE`` or
 more of its letters.
 
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 
 from .common import fold, id_and_text, slices
 
-BUCKETS, SAMPLE_DOCS = 1 << 16, 8000
+BUCKETS, SAMPLE_DOCS, LEAST_DOCS = 1 << 16, 8000, 20
 FOLDS, HELD_OUT = 4, 2
 SWITCH, CLIP, SCRIPT_SHARE = 8.0, 6.0, 0.02
 MAX_GRAM, GROUP = 4, 128
@@ -228,6 +229,15 @@ def _spans(text: str, chunks: list[str], path: np.ndarray, langs: list[str]):
     return [(places[a][0], places[b - 1][1], langs[path[a]]) for a, b in zip(cuts, cuts[1:])]
 
 
+def _rate(n: int, counts: dict[str, int], sample: int) -> float:
+    """The share sampled of a language's ``n`` rows.  Where not all rows fit,
+    half of the sample is dealt by rows, the other half evenly (``LEAST_DOCS``
+    at least) to the languages."""
+    total = sum(counts.values())
+    even = max(LEAST_DOCS, sample / 2 / len(counts))
+    return 1.0 if total <= sample else min(1.0, max(sample / 2 / total, even / n))
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         sample: int = SAMPLE_DOCS) -> WordModel | None:
     """A model from the training fold; None without training rows."""
@@ -235,12 +245,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                         docs[lang_col].alias("lang"))
     train = train.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()
                          & F.col("id").isNotNull() & (fold(F.col("id"), FOLDS) != HELD_OUT))
-    total = train.count()
-    if not total:
+    counts = {r.lang: r["count"] for r in train.groupBy("lang").count().collect()}
+    if not counts:
         return None
     scale = 1 << 30
-    chosen = train.filter(F.pmod(F.xxhash64("id", F.lit("lang")), F.lit(scale))
-                          < int(scale * min(1.0, sample / total)) + 1)
+    cut = F.create_map(*[F.lit(x) for lang, n in counts.items()
+                         for x in (lang, int(scale * _rate(n, counts, sample)) + 1)])
+    chosen = train.filter(F.pmod(F.xxhash64("id", F.lit("lang")), F.lit(scale)) < cut[F.col("lang")])
 
     def count(batches):
         grams: dict[str, np.ndarray] = {}

@@ -74,3 +74,17 @@ def test_held_out_accuracy(spark, sf_small):
     # the labels of held-out rows are never read
     lost = docs.withColumn("lang", F.when(lid.fold(F.col("doc_id"), 4) != 2, F.col("lang")))
     assert np.array_equal(lid.fit(lost).logp, model.logp)
+
+
+def test_rare_language_is_learned(spark, make_docs):
+    """Few rows among many, more rows than the sample takes."""
+    rows = [(k, "the house and the garden of the man", "en") for k in range(6000)]
+    rows += [(10_000 + k, "das haus und der garten von dem mann", "de") for k in range(40)]
+    docs = make_docs(rows)
+    model = lid.fit(docs, sample=30)
+    assert model.langs == ["de", "en"]
+    counts = {"en": 5_000_000, "de": 3_000_000, "rare": 30, "few": 3000}
+    rates = {x: lid._rate(n, counts, 8000) for x, n in counts.items()}
+    assert rates["rare"] == 1 and 990 <= rates["few"] * 3000 <= 1010
+    assert sum(rates[x] * n for x, n in counts.items()) <= 8000
+    assert lid._rate(5, {"en": 7000, "de": 5}, 8000) == 1
