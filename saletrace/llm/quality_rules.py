@@ -2,14 +2,16 @@
 
 Two fixed rules (too few words, too much repetition) are joined by cutoffs on
 the shares in ``METRICS`` that are selected so that, per stratum (language),
-at most ``alpha`` of the good documents are rejected:
+they reject at most ``alpha`` of the good documents that pass the fixed rules.
+The bound is on the cutoffs alone: good documents that the fixed rules reject
+come on top, and are not bounded.
 
 1. *Propose*: the labelled good documents of one fold give, per stratum, a
    ladder of cutoffs, from the largest value seen times a margin (strictest
    about rejecting) down to lower quantiles.  A rung fixes the cutoffs of all
    metrics at once.
 2. *Certify*: on the other fold, a rung's false rejections k of n good
-   documents give an exact (Clopper-Pearson) upper bound.  The rungs are
+   documents (of those that pass the fixed rules) give an exact (Clopper-Pearson) upper bound.  The rungs are
    tested in order, and the first whose bound exceeds ``alpha`` ends the
    ladder (fixed-sequence testing); the confidence ``delta`` is divided by
    the number of strata (Bonferroni), so all selected rungs hold together
