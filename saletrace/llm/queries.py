@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    conversation_repair,
     decontam,
     language_id,
     line_dedup,
@@ -121,10 +122,16 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every conversation."""
+    ship(spark)
+    return conversation_repair.repaired(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bpe_encode_decode, op2_secret_scan, op3_quality_classifier, op4_line_dedup,
     op4_all_lines, op5_token_files, op6_url_filter, op7_quality_rules, op8_language_id,
-    op9_benchmark_decontamination, op10_simhash_near_dedup)}
+    op9_benchmark_decontamination, op10_simhash_near_dedup, op11_conversation_repair)}
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": line_dedup.repeated_lines_sql(),
