@@ -15,6 +15,7 @@ from . import (
     decontam,
     language_id,
     line_dedup,
+    prefix_trie,
     pu_quality,
     quality_rules,
     secret_scan,
@@ -128,13 +129,21 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repaired(read(spark, sf_dir, "conversations"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    ship(spark)
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bpe_encode_decode, op2_secret_scan, op3_quality_classifier, op4_line_dedup,
     op4_all_lines, op5_token_files, op6_url_filter, op7_quality_rules, op8_language_id,
-    op9_benchmark_decontamination, op10_simhash_near_dedup, op11_conversation_repair)}
+    op9_benchmark_decontamination, op10_simhash_near_dedup, op11_conversation_repair,
+    op12_prefix_trie)}
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": line_dedup.repeated_lines_sql(),
     "op4_all_lines": line_dedup.repeated_lines_sql(min_words=1),
     "op9_benchmark_decontamination": decontam.containment_sql(),
+    "op12_prefix_trie": prefix_trie.trie_sql(),
 }
