@@ -21,6 +21,7 @@ from . import (
     secret_scan,
     simhash,
     token_files,
+    token_group_join,
     url_rules,
 )
 from .common import read, ship
@@ -135,15 +136,22 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(read(spark, sf_dir, "conversations"))
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of linked texts of every document."""
+    ship(spark)
+    return token_group_join.linked_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bpe_encode_decode, op2_secret_scan, op3_quality_classifier, op4_line_dedup,
     op4_all_lines, op5_token_files, op6_url_filter, op7_quality_rules, op8_language_id,
     op9_benchmark_decontamination, op10_simhash_near_dedup, op11_conversation_repair,
-    op12_prefix_trie)}
+    op12_prefix_trie, op13_ngram_jaccard_join)}
 
 ORACLES: dict[str, str] = {
     "op4_line_dedup": line_dedup.repeated_lines_sql(),
     "op4_all_lines": line_dedup.repeated_lines_sql(min_words=1),
     "op9_benchmark_decontamination": decontam.containment_sql(),
     "op12_prefix_trie": prefix_trie.trie_sql(),
+    "op13_ngram_jaccard_join": token_group_join.links_sql(),
 }
