@@ -67,9 +67,9 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every repeated line to remove, with its offsets."""
+    """Every repeated line or run of sentences to remove, with its offsets."""
     ship(spark)
-    return line_dedup.repeated_lines(read(spark, sf_dir, "documents"))
+    return line_dedup.repeated_passages(read(spark, sf_dir, "documents"))
 
 
 def op4_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op12_prefix_trie, op13_ngram_jaccard_join)}
 
 ORACLES: dict[str, str] = {
-    "op4_line_dedup": line_dedup.repeated_lines_sql(),
+    "op4_line_dedup": line_dedup.repeated_passages_sql(),
     "op4_all_lines": line_dedup.repeated_lines_sql(min_words=1),
     "op9_benchmark_decontamination": decontam.containment_sql(),
     "op12_prefix_trie": prefix_trie.trie_sql(),

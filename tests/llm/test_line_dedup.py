@@ -33,7 +33,7 @@ def test_equals_brute_force(spark, make_docs, prose, odd_rows, monkeypatch):
     rows = rows_of(prose) + odd_rows + [(None, prose(25, 1)), (39, rows_of(prose)[39][1])]
     docs = make_docs(rows, clash=True)
     for least, hot in ((5, 1_000_000), (5, 8), (20, 1_000_000)):
-        monkeypatch.setattr(line_dedup, "HOT_ROWS", hot)  # some lines broadcast, or none
+        monkeypatch.setattr(line_dedup, "HOT_ROWS", hot)  # some digests sliced, or none
         got = line_dedup.repeated_lines(docs, min_words=least).collect()
         assert sorted(map(tuple, got), key=repr) == sorted(naive(rows, least), key=repr)
 
@@ -77,3 +77,77 @@ def test_short_lines_are_removed_too(spark, sf_small):
     assert got == sorted(naive(texts, 1))
     by_id = dict(texts)
     assert any(len(by_id[i][a:b].split()) < 20 for i, _, a, b, _ in got)
+
+
+def naive_passages(rows, min_words):
+    """Spans to remove, from units cut character by character."""
+    units = []
+    for n, (i, t) in enumerate(rows):
+        t, sentences, start, line = t or "", [], 0, 0
+        for at, c in enumerate(t):
+            ends = c == "\n" or (c in ".!?" and t[at + 1:at + 2] not in (".", "!", "?"))
+            if ends or at == len(t) - 1:
+                stop = at if c == "\n" else at + 1
+                words = tuple(t[start:stop].lower().encode().split())
+                if words:
+                    sentences.append((line, start, stop, words))
+                start, line = at + 1, line + (c == "\n")
+        for k in range(len(sentences)):
+            words = ()
+            for m in range(k, len(sentences)):
+                words += sentences[m][3]
+                if len(words) >= min_words:
+                    units.append((i, n, *sentences[k][:2], sentences[m][2], True, words))
+                    break
+        at = 0
+        for k, body in enumerate(t.split("\n")):
+            words = tuple(body.lower().encode().split())
+            if len(words) >= min_words:
+                units.append((i, n, k, at, at + len(body), False, words))
+            at += len(body) + 1
+    units.sort(key=lambda u: (u[0] is None, u[0] or 0, u[1], u[3]))
+    first, gone = {}, {}
+    for i, n, line, a, b, run, words in units:
+        key = (run, words)
+        if key in first and (not run or first[key][1] != n):
+            gone.setdefault(n, []).append((a, -b, (first[key][0] is not None, first[key][0] or 0),
+                                           run, line, i, first[key][0]))
+        first.setdefault(key, (i, n))
+    out = []
+    for spans in gone.values():
+        reached = -1
+        for a, b, _, _, line, i, f in sorted(spans):
+            if a < reached:
+                out[-1][3] = max(out[-1][3], -b)
+            else:
+                out.append([i, line, a, -b, f])
+            reached = max(reached, -b)
+    return sorted(map(tuple, out), key=repr)
+
+
+def test_passages_equal_brute_force(make_docs, prose, odd_rows, monkeypatch):
+    passage = ". ".join(prose(n, 90 + n) for n in (4, 7, 9, 6, 8)) + "! "
+    rows = []
+    for k in range(30):
+        host = prose(30, k).split(" ")
+        at = k % 29
+        rows.append((k, " ".join(host[:at]) + " " + (passage.upper() if k % 4 == 1 else passage)
+                     + " ".join(host[at:]) + (".\nNo. No! No.\n" + prose(25, 500 + k % 5)) * (k % 3)))
+    rows += odd_rows
+    for least, hot in ((20, 1_000_000), (5, 8)):
+        monkeypatch.setattr(line_dedup, "HOT_ROWS", hot)
+        got = line_dedup.repeated_passages(make_docs(rows, clash=True), min_words=least).collect()
+        assert sorted(map(tuple, got), key=repr) == naive_passages(rows, least)
+
+
+def test_passages_inside_lines_are_found(make_docs, prose):
+    """A passage of 60 words in the middle of a line of each of two texts."""
+    passage = " ".join(prose(10, 700 + n) + "." for n in range(6))
+    rows = [(k, f"{prose(40, k)} {passage} {prose(40, 50 + k)}") for k in range(2)] + [(2, prose(90, 9))]
+    got = line_dedup.repeated_passages(make_docs(rows)).collect()
+    assert [(r.doc_id, r.first_id) for r in got] == [(1, 0)]
+    assert len(rows[1][1][got[0].start:got[0].end].split()) >= 50
+
+
+def test_passages_of_an_empty_table(make_docs):
+    assert line_dedup.repeated_passages(make_docs([])).collect() == []
