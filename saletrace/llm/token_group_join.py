@@ -10,8 +10,9 @@ whole sequence as one.  Two documents link when ``100 * |x & y| >= 85 * |x | y|`
 so under any one order of all tokens two linked sets share one of their first
 ``n - ceil(0.85 n) + 1``.  The order takes frequent tokens last: tokens that
 repeat within blocks of ``BLOCK_TOKENS`` tokens are counted over all documents,
-and at most ``HEAVY`` of the most frequent are weighed by their count.  The
-order decides what is compared, never what links.
+in a table of 2 to the ``WEIGHT_BITS`` ranges of hashes whose size does not
+depend on the data, and a token's weight is the logarithm of its range's count.
+The order decides what is compared, never what links.
 
 *Groups.*  Of the classes that share a token, the smallest is the token's
 leader.  Each class is compared with the leader it shares most tokens with;
@@ -22,11 +23,15 @@ are the groups of similar documents.
 class queries the groups it shares a row with, those of its own component
 aside, and of two components the smaller one asks.
 
-*Bound, then open.*  A group is brought together with its queries and the union
-of its members' whole token sets.  A query with fewer than ``ceil(0.85 n)``
-tokens in the union links with no member.  Only groups that pass are opened,
-and members compared one by one; all members of a group are of one component,
-so the first link is enough.
+*Bound, then open.*  A set's histogram counts its tokens per range of hashes,
+two to four to a range: the sum of the lesser counts bounds the common tokens of
+two sets, and the greatest counts of a group's members bound those with its
+union.  Questions that cannot reach the threshold end here, on half a byte per
+token.  For the others the whole sets are made, and a group is brought together
+with its queries and the union of its members' tokens.  A query with fewer than
+``ceil(0.85 n)`` tokens in the union links with no member.  Only groups that
+pass are opened, and members compared one by one; all members of a group are of
+one component, so the first link is enough.
 
 So no pair within a group of copies is ever made, and what is compared between
 groups is bounded by shared rare tokens.  Groups with many queries are dealt to
@@ -57,12 +62,12 @@ from .common import id_and_text, materialize
 from .components import components
 
 SHINGLE, PERCENT = 4, 85
-BLOCK_TOKENS, HEAVY, LEAST_HEAVY = 1 << 22, 1 << 20, 16
-GROUP, QUERIES = 64, 2000
+BLOCK_TOKENS, WEIGHT_BITS, WEIGHT_BLOCK = 1 << 22, 24, 1 << 12
+GROUP, QUERIES = 64, 256
 #: bits of the map of ids whose sets are wanted (8 MB); more ids only make it
 #: less selective
 MAP_BITS = 26
-_SLICE_BYTES = 1 << 23
+_SLICE_BYTES = 1 << 22
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -157,44 +162,62 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-def frequent_tokens(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """At most ``HEAVY`` tokens, sorted, and their weights (the logarithm of
-    the count).  Counts cover all documents; a token's count misses the blocks
-    it is in once."""
-    counts = rows.select("text").mapInArrow(_repeats, "token bigint, n bigint").groupBy("token").agg(
-        F.sum("n").alias("n")).where(F.col("n") >= LEAST_HEAVY)
-    counts = materialize(counts.select("token", F.floor(F.log2("n")).cast("int").alias("weight")),
-                         "frequent-tokens")
-    sizes = {r.weight: r.n for r in counts.groupBy("weight").agg(F.count(F.lit(1)).alias("n"))
-             .collect()}
-    least, total = 64, 0
-    for weight in sorted(sizes, reverse=True):
-        total += sizes[weight]
-        if total > HEAVY:
-            break
-        least = weight
-    got = counts.where(F.col("weight") >= least).toPandas()
-    token = got["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(token)
-    return token[order], got["weight"].to_numpy(np.uint8)[order]
+def token_weights(rows: DataFrame) -> np.ndarray:
+    """A byte per range of hashes (the top ``WEIGHT_BITS`` bits): the rounded
+    logarithm of how often its repeated tokens were counted, 0 for none.  The
+    counts cover all documents, and are packed on the executors."""
+    shift, size = 64 - WEIGHT_BITS, WEIGHT_BLOCK
+
+    def pack(table: pa.Table) -> pa.Table:
+        out = np.zeros(size, np.uint8)
+        at = table["range"].to_numpy().astype(np.int64) % size
+        out[at] = np.round(np.log2(table["n"].to_numpy())).astype(np.uint8)
+        return pa.table({"block": table["block"][:1], "packed": pa.array([out.tobytes()])})
+
+    counts = (rows.select("text").mapInArrow(_repeats, "token bigint, n bigint")
+              .groupBy(F.shiftrightunsigned("token", shift).alias("range"))
+              .agg(F.sum("n").alias("n")).withColumn("block", F.expr(f"range DIV {size}")))
+    weights = np.zeros(1 << WEIGHT_BITS, np.uint8)
+    for r in counts.groupBy("block").applyInArrow(pack, "block bigint, packed binary").collect():
+        weights[r.block * size:(r.block + 1) * size] = np.frombuffer(r.packed, np.uint8)
+    return weights
 
 
 # ---- classes and their first tokens --------------------------------------------------
 
-def first_tokens(tokens: np.ndarray, heavy: np.ndarray, weight: np.ndarray) -> np.ndarray:
+def first_tokens(tokens: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """The first ``n - ceil(0.85 n) + 1`` tokens, rare ones first."""
     n = len(tokens)
     if not n:
         return tokens
-    if len(heavy):
-        at = np.minimum(np.searchsorted(heavy, tokens), len(heavy) - 1)
-        w = np.where(heavy[at] == tokens, weight[at], 0)
-        tokens = tokens[np.argsort(w, kind="stable")]
-    return tokens[:n - needed(n) + 1]
+    w = weights[(tokens >> np.uint64(65 - len(weights).bit_length())).astype(np.int64)]
+    return tokens[np.argsort(w, kind="stable")[:n - needed(n) + 1]]
+
+
+def histogram(tokens: np.ndarray) -> bytes:
+    """Counts per range of hashes, a byte each; ranges are the top bits, a
+    power of two of them.  Empty if a count does not fit (no bound then)."""
+    bits = max(0, len(tokens).bit_length() - 2)
+    counts = (np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+              if bits else np.array([len(tokens)]))
+    return b"" if counts.max(initial=0) > 255 else counts.astype(np.uint8).tobytes()
+
+
+def _folded(h: np.ndarray, size: int) -> np.ndarray:
+    return h.reshape(size, -1).sum(1) if len(h) > size else h
+
+
+def most_common(a: np.ndarray, b: np.ndarray, least: int) -> int:
+    """An upper bound of the common tokens, from two histograms (``least`` is
+    returned where one is missing)."""
+    if not len(a) or not len(b):
+        return least
+    size = min(len(a), len(b))
+    return int(np.minimum(_folded(a, size), _folded(b, size)).sum())
 
 
 _PRINT = T.StructType([T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
-                       T.StructField("n", T.LongType()),
+                       T.StructField("n", T.LongType()), T.StructField("hist", T.BinaryType()),
                        T.StructField("first", T.ArrayType(T.LongType()))])
 
 
@@ -204,19 +227,19 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
 
 
-def _print_udf(frequent):
+def _print_udf(weights):
     @F.arrow_udf(_PRINT)
     def prints(text: pa.Array) -> pa.Array:
-        heavy, weight = frequent.value
-        digests, sizes, firsts = [], [], []
+        digests, sizes, firsts, hists = [], [], [], []
         for tokens in _sets(text):
             digests.append(set_digest(tokens))
+            hists.append(histogram(tokens))
             sizes.append(len(tokens))
-            firsts.append(first_tokens(tokens, heavy, weight))
+            firsts.append(first_tokens(tokens, weights.value))
         d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
         return pa.StructArray.from_arrays(
-            [pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(sizes, pa.int64()), _lists(firsts)],
-            names=["d1", "d2", "n", "first"])
+            [pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(sizes, pa.int64()),
+             pa.array(hists, pa.binary()), _lists(firsts)], names=["d1", "d2", "n", "hist", "first"])
     return prints
 
 
@@ -242,19 +265,18 @@ def whole_sets(rows: DataFrame, active: DataFrame) -> DataFrame:
     texts of the ids that stand for them."""
     wanted = _id_map(rows.sparkSession, active.select("id"))
 
-    @F.arrow_udf(T.BooleanType())
-    def maybe(h: pa.Array) -> pa.Array:
+    @F.arrow_udf(_WHOLE)
+    def sets(h: pa.Array, text: pa.Array) -> pa.Array:
         at = h.to_numpy(zero_copy_only=False).astype(np.int64) & ((1 << MAP_BITS) - 1)
         word = wanted.value[at >> 6] >> (at & 63).astype(np.uint64)
-        return pa.array((word & np.uint64(1)).astype(bool))
-
-    @F.arrow_udf(_WHOLE)
-    def sets(text: pa.Array) -> pa.Array:
-        got = list(_sets(text))
+        asked = (word & np.uint64(1)).astype(bool)
+        got = list(_sets(text.filter(pa.array(asked))))
+        place = np.where(asked, np.cumsum(asked) - 1, len(got))
         d = np.frombuffer(b"".join(map(set_digest, got)), np.int64).reshape(-1, 2)
-        return pa.StructArray.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), _lists(got)],
+        made = pa.StructArray.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), _lists(got)],
                                           names=["d1", "d2", "tokens"])
-    some = rows.where(maybe(F.xxhash64("id"))).select("id", sets("text").alias("s"))
+        return made.take(pa.array(place, mask=~asked))
+    some = rows.select("id", sets(F.xxhash64("id"), "text").alias("s")).where("s is not null")
     some = some.select(F.col("id").alias("sid"), "s.*")
     named = active.select("cls", "id", F.col("d1").alias("c1"), F.col("d2").alias("c2"))
     same = (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & F.col("id").eqNullSafe(
@@ -265,7 +287,63 @@ def whole_sets(rows: DataFrame, active: DataFrame) -> DataFrame:
 
 # ---- bound and open ----------------------------------------------------------------
 
-_OPEN = ("gc", "gs", "slice")
+_GROUP_KEY = ("gc", "gs", "slice")
+
+
+def _bring_together(asked: DataFrame, members: DataFrame, payload: DataFrame,
+                    columns: tuple[str, ...]) -> DataFrame:
+    """Members and askers of each group in one partition, members (``asks`` 0)
+    first, with the ``columns`` of ``payload`` by class.  A group asked by over
+    ``QUERIES`` classes is dealt to slices, its members repeated in each."""
+    load = asked.groupBy("gc", "gs").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("k"))
+    load = materialize(load, "group-loads")
+    inside = members.join(load, ["gc", "gs"]).select(
+        "gc", "gs", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("slice"),
+        F.lit(0).alias("asks"), "cls")
+    # a group of one slice needs no lookup: only crowded ones are joined
+    crowded = load.where("k > 1").select(F.col("gc").alias("lc"), F.col("gs").alias("ls"), "k")
+    asking = sliced_join(asked, crowded, [("gc", "lc"), ("gs", "ls")], "left", HOT_ROWS).select(
+        "gc", "gs", F.pmod(F.xxhash64("q"), F.coalesce("k", F.lit(1))).cast("int").alias("slice"),
+        F.lit(1).alias("asks"), F.col("q").alias("cls"))
+    rows = inside.unionByName(asking).join(payload, "cls").select(*_GROUP_KEY, "asks", "cls", *columns)
+    return rows.repartition(*_GROUP_KEY).sortWithinPartitions(*_GROUP_KEY, "asks")
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The questions that histograms leave open."""
+    now, members, whole = None, [], None
+    for batch in batches:
+        keys = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
+        asks, cls, sizes = (batch.column(i).to_pylist() for i in (3, 4, 5))
+        left: list[tuple[int, int, int]] = []
+        for i, key in enumerate(keys):
+            hist = np.frombuffer(batch.column(6)[i].as_py(), np.uint8).astype(np.int64)
+            if key != now:
+                now, members, whole = key, [], None
+            if not asks[i]:
+                members.append((sizes[i], hist))
+                continue
+            if whole is None:
+                least = min(len(h) for _, h in members)
+                whole = (np.max([_folded(h, least) for _, h in members], axis=0) if least
+                         else np.zeros(0, np.int64))
+            n = sizes[i]
+            if most_common(whole, hist, n) < needed(n):
+                continue
+            for m, theirs in members:
+                both = -(-PERCENT * (n + m) // (100 + PERCENT))
+                if min(n, m) >= both and most_common(theirs, hist, both) >= both:
+                    left.append((key[0], key[1], cls[i]))
+                    break
+        if left:
+            yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in left], pa.int64())
+                                              for j in range(3)], names=["gc", "gs", "q"])
+
+
+def open_questions(asked: DataFrame, members: DataFrame, hists: DataFrame) -> DataFrame:
+    """The rows ``gc, gs, q`` of ``asked`` that may hold a link, by the bound."""
+    rows = _bring_together(asked, members, hists, ("n", "hist"))
+    return materialize(rows.mapInArrow(_ask, "gc bigint, gs bigint, q bigint"), "open-questions")
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,19 +390,15 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 def open_groups(asked: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
     """``asked``: ``gc, gs, q``, a class and a group it asks; ``members``: ``gc,
     gs, cls``.  One verified link ``u, v`` at most per row of ``asked``."""
-    load = asked.groupBy("gc", "gs").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("k"))
-    load = materialize(load, "group-loads")
-    inside = members.join(load, ["gc", "gs"]).select(
-        "gc", "gs", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("slice"),
-        F.lit(0).alias("asks"), "cls")
-    # a group of one slice needs no lookup: only crowded ones are joined
-    crowded = load.where("k > 1").select(F.col("gc").alias("lc"), F.col("gs").alias("ls"), "k")
-    asking = sliced_join(asked, crowded, [("gc", "lc"), ("gs", "ls")], "left", HOT_ROWS).select(
-        "gc", "gs", F.pmod(F.xxhash64("q"), F.coalesce("k", F.lit(1))).cast("int").alias("slice"),
-        F.lit(1).alias("asks"), F.col("q").alias("cls"))
-    rows = inside.unionByName(asking).join(sets, "cls").select(*_OPEN, "asks", "cls", "tokens")
-    return rows.repartition(*_OPEN).sortWithinPartitions(*_OPEN, "asks").mapInArrow(
-        _open, "u bigint, v bigint")
+    rows = _bring_together(asked, members, sets, ("tokens",))
+    return rows.mapInArrow(_open, "u bigint, v bigint")
+
+
+def _concerned(asked: DataFrame, members: DataFrame) -> DataFrame:
+    """``cls`` of the askers and of the members they ask."""
+    groups = asked.select("gc", "gs").distinct()
+    return (asked.select(F.col("q").alias("cls"))
+            .union(members.join(groups, ["gc", "gs"]).select("cls")).distinct())
 
 
 # ---- the join -----------------------------------------------------------------------
@@ -341,8 +415,8 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Per row of ``docs``: its id, ``n_shingles`` and ``component_id``."""
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
-    frequent = spark.sparkContext.broadcast(frequent_tokens(rows))
-    prints = rows.select("id", _print_udf(frequent)("text").alias("p")).select("id", "p.*")
+    weights = spark.sparkContext.broadcast(token_weights(rows))
+    prints = rows.select("id", _print_udf(weights)("text").alias("p")).select("id", "p.*")
     prints = materialize(prints.withColumn("rid", F.monotonically_increasing_id()), "set-prints")
 
     # the row that stands for a class: the smallest id, nulls last
@@ -356,8 +430,7 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                                           ).where("m > 1").select("token", "lead")
     shared = materialize(tokens.join(leaders, "token"), "shared-tokens")
     ids = materialize(shared.select("cls").distinct(), "active-classes")
-    active = classes.join(ids, "cls").select("cls", "id", "d1", "d2")
-    sets = whole_sets(rows, active)
+    hists = prints.select(F.col("rid").alias("cls"), "n", "hist")
 
     # each class and the leader it shares most tokens with
     votes = shared.where("cls != lead").groupBy("cls", "lead").agg(F.count(F.lit(1)).alias("votes"))
@@ -366,13 +439,15 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     led = materialize(best.select((-F.col("b.g")).alias("gc"), zero.alias("gs"),
                                   F.col("cls").alias("q")), "led-classes")
     leads = led.select("gc", "gs", F.col("gc").alias("cls")).distinct()
+    led = open_questions(led, leads, hists)
+    named = classes.select("cls", "id", "d1", "d2")
+    sets = whole_sets(rows, named.join(_concerned(led, leads), "cls"))
     comp = materialize(_rooted(ids, open_groups(led, leads, sets)), "first-components")
 
     # the matrix: groups of similar classes, by shared tokens
     size = comp.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    n_of = prints.select(F.col("rid").alias("cls"), "n")
     placed = (sliced_join(comp, size.withColumnRenamed("comp", "sc"), [("comp", "sc")], "inner",
-                          hot_rows).join(n_of, "cls")
+                          hot_rows).join(hists.select("cls", "n"), "cls")
               .select("cls", "comp", "size", "n",
                       F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / GROUP)).alias("gs")))
     placed = materialize(placed, "placed-classes")
@@ -388,6 +463,9 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     asked = materialize(asks.where(smaller & fits).select("gc", "gs", F.col("cls").alias("q"))
                         .distinct(), "asked-groups")
     members = placed.select(F.col("comp").alias("gc"), "gs", "cls")
+    asked = open_questions(asked, members, hists)
+    more = _concerned(asked, members).join(sets.select("cls"), "cls", "left_anti")
+    sets = sets.unionByName(whole_sets(rows, named.join(more, "cls")))
     links = open_groups(asked, members, sets)
     of = comp.select(F.col("cls").alias("o"), F.col("comp").alias("oc"))
     links = (links.join(of, F.col("u") == F.col("o")).select(F.col("oc").alias("u"), "v")
@@ -396,10 +474,10 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     final = (comp.join(joined, F.col("comp") == F.col("node"), "left")
              .select(F.col("cls").alias("fc"), F.coalesce("root", "comp").alias("root")))
 
-    named = materialize(classes.join(final, F.col("cls") == F.col("fc"), "left").select(
+    rooted = materialize(classes.join(final, F.col("cls") == F.col("fc"), "left").select(
         "d1", "d2", "least", F.coalesce("root", "cls").alias("root")), "rooted-classes")
-    least = named.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
-    whole = sliced_join(named.select("d1", "d2", "root"), least, [("root", "r")], "inner", hot_rows)
+    least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component_id"))
+    whole = sliced_join(rooted.select("d1", "d2", "root"), least, [("root", "r")], "inner", hot_rows)
     whole = materialize(whole.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"),
                                      "component_id"), "named-classes")
     facts = prints.select("id", "n", "d1", "d2")

@@ -79,13 +79,15 @@ def test_equals_all_pairs(make_docs, odd_rows):
 def test_small_groups_slices_and_heavy_tokens(make_docs, monkeypatch):
     monkeypatch.setattr(tg, "GROUP", 2)
     monkeypatch.setattr(tg, "QUERIES", 3)
-    monkeypatch.setattr(tg, "LEAST_HEAVY", 2)
+    monkeypatch.setattr(tg, "BLOCK_TOKENS", 500)
     check(make_docs, corpus(2), hot_rows=5)
 
 
 def test_order_by_weight_does_not_change_links(make_docs, monkeypatch):
-    """No token counted as frequent, and a bit map with all ids colliding."""
-    monkeypatch.setattr(tg, "LEAST_HEAVY", 10 ** 9)
+    """Few ranges, so weights are arbitrary, and a bit map that selects nearly
+    all ids."""
+    monkeypatch.setattr(tg, "WEIGHT_BITS", 3)
+    monkeypatch.setattr(tg, "WEIGHT_BLOCK", 2)
     monkeypatch.setattr(tg, "MAP_BITS", 7)
     check(make_docs, corpus(3))
 
@@ -106,17 +108,31 @@ def test_a_family_of_copies_makes_no_pairs(make_docs):
 def test_first_tokens_always_meet():
     """Two sets over the threshold share a first token under any order."""
     r = np.random.default_rng(3)
-    heavy = np.sort(r.integers(0, 2 ** 63, 50, dtype=np.uint64))
-    weight = r.integers(1, 5, 50).astype(np.uint8)
+    weights = r.integers(0, 5, 1 << tg.WEIGHT_BITS).astype(np.uint8)
+    heavy = r.integers(0, 2 ** 64, 50, dtype=np.uint64)
     for _ in range(500):
         n = int(r.integers(1, 60))
-        pool = np.unique(np.concatenate([heavy, r.integers(0, 2 ** 63, 40, dtype=np.uint64)]))
+        pool = np.unique(np.concatenate([heavy, r.integers(0, 2 ** 64, 40, dtype=np.uint64)]))
         x = np.sort(r.choice(pool, min(n, len(pool)), replace=False))
         y = np.unique(np.concatenate([x[r.random(len(x)) < 0.95],
                                       r.choice(pool, int(len(x) * 0.08))]))
         both = len(np.intersect1d(x, y))
         if both and 100 * both >= 85 * (len(x) + len(y) - both):
-            assert set(tg.first_tokens(x, heavy, weight)) & set(tg.first_tokens(y, heavy, weight))
+            assert set(tg.first_tokens(x, weights)) & set(tg.first_tokens(y, weights))
+
+
+def test_histograms_bound_the_common_tokens():
+    r = np.random.default_rng(8)
+    for _ in range(300):
+        x = np.unique(r.integers(0, 2 ** 64, int(r.integers(1, 400)), dtype=np.uint64))
+        y = np.unique(np.concatenate([x[r.random(len(x)) < r.random()],
+                                      r.integers(0, 2 ** 64, int(r.integers(0, 300)), dtype=np.uint64)]))
+        a, b = (np.frombuffer(tg.histogram(t), np.uint8).astype(np.int64) for t in (x, y))
+        if len(y):
+            assert tg.most_common(a, b, 0) >= len(np.intersect1d(x, y))
+            assert a.sum() == len(x) and tg.most_common(a, a, 0) == len(x)
+    crowded = np.arange(400, dtype=np.uint64)  # all in one range: no bound
+    assert tg.histogram(crowded) == b"" and tg.most_common(np.zeros(0), a, 17) == 17
 
 
 def test_empty_table(make_docs):
