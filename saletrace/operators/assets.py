@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saletrace.functions.hosts import dotted_prefix, first_label
+from saletrace.operators.skew import sliced_join
 
 # canonical asset columns and their types, in output order
 ASSET_SCHEMA: tuple[tuple[str, str], ...] = (
@@ -88,7 +89,7 @@ def host_keys(decom_host: DataFrame, app_col: str = "app_hostname",
 
 def enrich_assets(assets: DataFrame, master_account: DataFrame, deployment: DataFrame,
                   decom_keys: DataFrame | None = None,
-                  dedupe_decom: bool = False) -> DataFrame:
+                  dedupe_decom: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Attach account id, deployment link and decommission key (C2).
 
     Three left joins, as the original: ``master_account(source_account_id,
@@ -98,7 +99,10 @@ def enrich_assets(assets: DataFrame, master_account: DataFrame, deployment: Data
     that is kept unless ``dedupe_decom`` (one row per key).
 
     Rows without the join key are dropped from the right sides before their
-    shuffles.  Small sides are broadcast by Spark from their measured size.
+    shuffles, and assets without it are spread.  With ``hot_rows``, account ids
+    and resource keys of over that many assets are found by a sketch and sliced
+    (``operators.skew``), which reads the assets' keys once more.  Small sides
+    are broadcast by Spark from their measured size.
     """
     acct = master_account.select(
         F.col("source_account_id").alias("_m_src"), F.col("account_id"))
@@ -106,8 +110,7 @@ def enrich_assets(assets: DataFrame, master_account: DataFrame, deployment: Data
         F.col("asset_id").alias("deployment_asset_id"),
         F.col("id").alias("deployment_id"),
         F.col("product_code").alias("deployment_code"))
-    out = (assets
-           .join(acct, F.col("source_account_id") == F.col("_m_src"), "left")
+    out = (sliced_join(assets, acct, [("source_account_id", "_m_src")], "left", hot_rows)
            .join(dep, F.col("asset_id") == F.col("deployment_asset_id"), "left"))
     if decom_keys is None:
         out = out.withColumn("decom_resource", F.lit(None).cast("string"))
@@ -116,5 +119,5 @@ def enrich_assets(assets: DataFrame, master_account: DataFrame, deployment: Data
         keys = keys.where(F.col("decom_resource").isNotNull())
         if dedupe_decom:
             keys = keys.distinct()
-        out = out.join(keys, F.col("resource_key") == F.col("decom_resource"), "left")
+        out = sliced_join(out, keys, [("resource_key", "decom_resource")], "left", hot_rows)
     return out.select(*ASSET_COLUMNS, *ENRICH_COLUMNS)

@@ -31,6 +31,17 @@ def linked_ids(reversal: DataFrame, link_type: str, marker: str) -> DataFrame:
             .withColumn(f"_{marker}", F.lit(True)))
 
 
+def reversal_marks(reversal: DataFrame, link_types: tuple[str, ...]) -> DataFrame:
+    """``(_linked, _marks)``: each id with a link of one of ``link_types``, and
+    an array saying for each type whether it has one.  One column, so that the
+    lookups by either type read the same shuffled table."""
+    return (reversal.where(F.col("link_type").isin(list(link_types)) & F.col("linked_id").isNotNull())
+            .groupBy(F.col("linked_id").alias("_linked"))
+            .agg(*[F.max(F.col("link_type") == t).alias(f"_m{i}") for i, t in enumerate(link_types)])
+            .select("_linked", F.array(*[F.col(f"_m{i}") for i in range(len(link_types))])
+                    .alias("_marks")))
+
+
 def line_facts(opportunity: DataFrame, line_item: DataFrame, quote_line: DataFrame,
                quote: DataFrame, product: DataFrame, reversal: DataFrame,
                rules: FactRules) -> DataFrame:
@@ -47,7 +58,8 @@ def line_facts(opportunity: DataFrame, line_item: DataFrame, quote_line: DataFra
     The original writes left joins whose WHERE rejects NULLs on the right,
     so they are inner joins; they are written as such, filters first, and
     ordered so the two reversal lookups reuse the partitioning of the join
-    before them (quote-line id, then opportunity id).
+    before them (quote-line id, then opportunity id).  The reversals are read
+    once for both.
 
     Whether the filtered product dimension is broadcast to the line items is
     Spark's choice by its measured size; nothing runs while this is built.
@@ -77,15 +89,19 @@ def line_facts(opportunity: DataFrame, line_item: DataFrame, quote_line: DataFra
         F.col("quote_line_id").alias("_li_ql"), F.col("product_id").alias("_li_prod"),
         "quantity", "acv", F.col("enabled").alias("enabled_ol"))
 
+    marks = reversal_marks(reversal, (rules.quote_line_link, rules.opportunity_link))
+
+    def marked(by: str) -> DataFrame:
+        return marks.select(F.col("_linked").alias(f"_{by}_linked"), F.col("_marks").alias(f"_{by}_marks"))
+
     facts = (li
              .join(prod, F.col("_li_prod") == F.col("_p_id"))
              .join(ql, F.col("_li_ql") == F.col("qli_id"))
-             .join(linked_ids(reversal, rules.quote_line_link, "rq"),
-                   F.col("qli_id") == F.col("_rq_id"), "left")
+             .join(marked("q"), F.col("qli_id") == F.col("_q_linked"), "left")
              .join(opp, F.col("_li_opp") == F.col("opp_id"))
-             .join(linked_ids(reversal, rules.opportunity_link, "ro"),
-                   F.col("opp_id") == F.col("_ro_id"), "left"))
-    reversed_ = F.col("_rq").isNotNull() | F.col("_ro").isNotNull()
+             .join(marked("o"), F.col("opp_id") == F.col("_o_linked"), "left"))
+    reversed_ = (F.coalesce(F.col("_q_marks")[0], F.lit(False))
+                 | F.coalesce(F.col("_o_marks")[1], F.lit(False)))
     return facts.select(
         "opp_id", "oli_id", "enabled_ol", "enabled_ql", "qli_id", "quantity", "acv",
         "transaction_type", "opp_type", "account_id", "close_date", "product_code",

@@ -1,9 +1,13 @@
 """Tiered match (C5): every line item against its candidate assets.
 
-Contract (the original four-tier cascade): a line id takes the best tier
-for which it has at least one candidate asset, and keeps *all* pairs of
-that tier; a line id without any candidate gets one ``no_match`` row per
-fact row.
+The tiers are data.  A :class:`Tier` names the key expressions of either side,
+which must be equal, a predicate on the asset, a predicate on the line, and
+whether one asset key goes through a lookup (asset class to families).  A
+line id takes the best tier for which it has at least one candidate asset, and
+keeps *all* pairs of that tier; a line id without any gets one row per fact
+row with the label of no match.  Exclusion is per line id, not per row.
+
+The original's cascade is :func:`default_tiers`:
 
 1. ``deployment_id_product_code_acct``: asset has a deployment, same
    account, deployment product code = base product code of the line;
@@ -12,34 +16,32 @@ fact row.
 3. ``account_family``: same account, (class, family) in the lookup;
 4. ``no_match``.
 
-Exclusion is per line id, not per row.
-
-Plan, instead of the literal cascade (each tier re-reading facts and
-assets, and a NULL-aware anti join per earlier tier):
-
-* every asset row is keyed twice: by (account, 1, deployment code) when it
-  has a deployment, and by (account, 2, family) for each family the lookup
-  gives its class (a broadcast constant relation);
-* ``key_summaries`` aggregates the distinct keys, with map-side partial
-  aggregation, so a hot account shrinks to one row per key before any
-  shuffle: the best tier a key gives, its asset rows, and whether any of its
-  assets is live or decommissioned, once over all its assets and once over
-  those with a deployment;
-* each fact row looks up its two keys (left joins) and gets its own best
-  tier; the line's best tier is the minimum over its rows, a partially
-  aggregated ``min`` per line id joined back (a window would hold all rows
-  of a hot line id in one task);
+Plan, instead of the literal cascade (each tier re-reading facts and assets,
+and a NULL-aware anti join per earlier tier):
+
+* tiers with the same key expressions are one *kind* (the last two above);
+* every asset row is expanded once into its keys, an array with one entry per
+  kind (and per looked-up value); an entry says for which tiers it counts;
+* ``key_summaries`` groups the entries by key values, with map-side partial
+  aggregation, so a hot account shrinks to one row per key before any shuffle.
+  One array per key holds, for every tier, its asset rows and whether any is
+  live or decommissioned.  All kinds read the same wide table, whose shuffle
+  Spark reuses: the assets are read once whatever the number of tiers;
+* each fact row looks up one key per kind (left joins, NULL keys spread) and
+  gets its own best tier; the line's best tier is the minimum over its rows, a
+  partially aggregated ``min`` per line id joined back (a window would hold all
+  rows of a hot line id in one task);
 * ``match_summary`` stops there: which rows match, in which tier, with how
   many assets and of which state.  Counts, classes, comparisons and rollups
   need no more, so they never build a pair;
 * ``tiered_match`` goes on to the pairs, **only for the winning tier**, in a
-  single inner join on (account, kind, value); pairs of losing tiers are
-  never built, and the pair set is never shuffled again.
+  single inner join on the key values; pairs of losing tiers are never built,
+  and the pair set is never shuffled again.
 
-The assets are read twice (key summaries and pair side) and the annotated
-facts twice (pairs and unmatched lines), so callers pass
-``materialize_with`` (``plans.materialize.materialize``).  Building either
-runs no job besides the writes that ``materialize_with`` does.
+The annotated facts are read twice (the minimum and its join), and for pairs
+the expanded assets too, so callers pass ``materialize_with``
+(``plans.materialize.materialize``).  Building a plan runs no job besides the
+writes that it does.
 
 Line ids must not be NULL; the original's ``NOT IN`` would empty every
 later tier after one NULL id.  NULL ids are grouped together here.
@@ -47,13 +49,15 @@ later tier after one NULL id.  NULL ids are grouped together here.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saletrace.operators.assets import ASSET_SCHEMA
 from saletrace.operators.facts import FACT_COLUMNS
+from saletrace.operators.skew import sliced_join
 from saletrace.params import TIER_LABELS, ClassifyRules
 
 # asset side of a matched row: (output name, canonical enriched-asset column, type)
@@ -81,29 +85,116 @@ MATCHED_COLUMNS = (
     "enabled_ol", "enabled_ql", "transaction_type", "opp_type", "close_date", "quantity", "acv",
     "reversal_opp",
 ) + tuple(n for n, _, _ in PAIR_ASSET_COLUMNS) + ("match_type",)
+#: stands for an asset key that the class→family lookup gives
+LOOKED_UP = "<family of the class>"
+
+
+@dataclass(frozen=True)
+class Tier:
+    """One match rule.  ``line`` and ``asset`` are SQL expressions over the
+    fact columns and over the asset columns of ``PAIR_ASSET_COLUMNS``, equal
+    pair by pair (compared as strings; NULL equals nothing).  One asset key
+    may be ``LOOKED_UP``: each family that the lookup gives the asset's
+    class.  ``asset_where`` and ``line_where`` restrict one side."""
+
+    label: str
+    line: tuple[str, ...]
+    asset: tuple[str, ...]
+    asset_where: str | None = None
+    line_where: str | None = None
+
+
+def default_tiers() -> tuple[Tier, ...]:
+    """The original's three matching tiers, best first."""
+    account, linked = "asset_account_id", "deployment_asset_id IS NOT NULL"
+    return (
+        Tier(TIER_LABELS[0], ("account_id", "base_product_code"), (account, "deployment_code"), linked),
+        Tier(TIER_LABELS[1], ("account_id", "family"), (account, LOOKED_UP), linked),
+        Tier(TIER_LABELS[2], ("account_id", "family"), (account, LOOKED_UP)),
+    )
+
+
+@dataclass(frozen=True)
+class _Plan:
+    """Tiers compiled: their kinds (distinct keys), and each tier's kind."""
+
+    tiers: tuple[Tier, ...]
+    kinds: tuple[tuple[tuple[str, ...], tuple[str, ...]], ...]
+    width: int
+
+    def kind(self, tier: Tier) -> int:
+        return self.kinds.index((tier.line, tier.asset))
+
+    def columns(self, prefix: str) -> list[str]:
+        return [f"{prefix}{i}" for i in range(self.width)]
+
+
+def _compile(tiers: Sequence[Tier]) -> _Plan:
+    if not tiers:
+        raise ValueError("no tier")
+    for t in tiers:
+        if len(t.line) != len(t.asset) or not t.line:
+            raise ValueError(f"tier {t.label!r}: as many line keys as asset keys, and at least one")
+        if t.asset.count(LOOKED_UP) > 1:
+            raise ValueError(f"tier {t.label!r}: one looked-up key at most")
+    if len({t.label for t in tiers}) < len(tiers):
+        raise ValueError("two tiers of one label")
+    kinds = tuple(dict.fromkeys((t.line, t.asset) for t in tiers))
+    return _Plan(tuple(tiers), kinds, max(len(t.line) for t in tiers))
 
 
 def _asset_side(assets: DataFrame) -> DataFrame:
     return assets.select(*[F.col(src).alias(out) for out, src, _ in PAIR_ASSET_COLUMNS])
 
 
-def keyed_assets(assets: DataFrame, class_family: DataFrame) -> DataFrame:
-    """Asset rows with their match keys ``(_k_acct, _k_kind, _k_val)``:
-    kind 1 = deployment code (assets with a deployment only), kind 2 = a
-    family the lookup maps the asset class to."""
-    a = _asset_side(assets).where(F.col("asset_account_id").isNotNull())
-    lk = class_family.select(F.col("class_name").alias("_lk_class"),
-                             F.col("family").alias("_lk_family"))
-    by_code = (a.where(F.col("deployment_asset_id").isNotNull()
-                       & F.col("deployment_code").isNotNull())
-               .withColumn("_k_kind", F.lit(1))
-               .withColumn("_k_val", F.col("deployment_code")))
-    by_family = (a.join(lk, F.col("class_name") == F.col("_lk_class"))
-                 .drop("_lk_class")
-                 .withColumn("_k_kind", F.lit(2))
-                 .withColumnRenamed("_lk_family", "_k_val"))
-    return (by_code.unionByName(by_family)
-            .withColumn("_k_acct", F.col("asset_account_id")))
+def _padded(keys: list[Column], width: int) -> list[Column]:
+    """Keys as strings, ``width`` of them (shorter ones end in empty strings)."""
+    return [k.cast("string") for k in keys] + [F.lit("")] * (width - len(keys))
+
+
+def _entry(asset_keys: tuple[str, ...], counts: Column, names: list[str]
+           ) -> Callable[[Column], Column]:
+    """The key entry of an asset, given the looked-up value (if any)."""
+    def entry(value: Column) -> Column:
+        keys = _padded([value if e == LOOKED_UP else F.expr(e) for e in asset_keys], len(names))
+        return F.struct(*[k.alias(n) for k, n in zip(keys, names)], counts.alias("_for"))
+    return entry
+
+
+def keyed_assets(assets: DataFrame, class_family: DataFrame,
+                 tiers: Sequence[Tier] | None = None) -> DataFrame:
+    """A row per asset and match key: the asset columns, the key ``_k0...`` and
+    ``_for``, an array of one boolean per tier (does the key count for it)."""
+    plan = _compile(tiers or default_tiers())
+    a = _asset_side(assets)
+    if any(LOOKED_UP in asset for _, asset in plan.kinds):
+        # one row per class: the join adds no rows
+        families = class_family.groupBy(F.col("class_name").alias("_lk_class")).agg(
+            F.collect_list("family").alias("_families"))
+        a = a.join(F.broadcast(families), F.col("class_name") == F.col("_lk_class"), "left")
+    names = plan.columns("_k")
+    entries = []
+    for kind in plan.kinds:
+        counts = F.array(*[
+            (F.coalesce(F.expr(t.asset_where), F.lit(False)) if t.asset_where else F.lit(True))
+            if (t.line, t.asset) == kind else F.lit(False) for t in plan.tiers])
+
+        entry = _entry(kind[1], counts, names)
+        if LOOKED_UP in kind[1]:
+            entries.append(F.transform(F.coalesce("_families", F.array().cast("array<string>")), entry))
+        else:
+            entries.append(F.array(entry(F.lit(None))))
+    some = F.filter(F.concat(*entries), lambda e: F.exists(e["_for"], lambda x: x) & _all_known(
+        [e[n] for n in names]))
+    return (a.withColumn("_key", F.explode(some))
+            .select(*[n for n, _, _ in PAIR_ASSET_COLUMNS], "_key.*"))
+
+
+def _all_known(columns: list[Column]) -> Column:
+    out = columns[0].isNotNull()
+    for c in columns[1:]:
+        out = out & c.isNotNull()
+    return out
 
 
 def is_live(rules: ClassifyRules) -> Column:
@@ -113,46 +204,62 @@ def is_live(rules: ClassifyRules) -> Column:
             & F.col("used_for").isin(list(rules.live_uses)))
 
 
-def key_summaries(keyed: DataFrame, rules: ClassifyRules = ClassifyRules()) -> DataFrame:
-    """Distinct keys ``(_k_acct, _k_kind, _k_val)`` with the best tier each
-    gives (``_k_tier``) and, over all its assets and over those with a
-    deployment (``_dep``): the asset rows (``_rows``), and whether any is live
-    (``_live``) or has a decommission key (``_gone``)."""
-    has_dep = F.col("deployment_asset_id").isNotNull()
-    tier = F.when(F.col("_k_kind") == 1, F.lit(1)).when(has_dep, F.lit(2)).otherwise(F.lit(3))
+def key_summaries(keyed: DataFrame, rules: ClassifyRules = ClassifyRules(),
+                  tiers: Sequence[Tier] | None = None) -> DataFrame:
+    """Distinct keys ``_k0...`` with ``_stats``, an array of one struct per
+    tier: the asset rows it gives (``n``), and whether any of them is live
+    (``live``) or has a decommission key (``gone``)."""
+    plan = _compile(tiers or default_tiers())
     live = F.coalesce(is_live(rules), F.lit(False))
     gone = F.col("decom_resource").isNotNull()
-    return keyed.groupBy("_k_acct", "_k_kind", "_k_val").agg(
-        F.min(tier).alias("_k_tier"), F.count(F.lit(1)).alias("_rows"),
-        F.max(live).alias("_live"), F.max(gone).alias("_gone"),
-        F.count(F.when(has_dep, F.lit(1))).alias("_rows_dep"),
-        F.max(live & has_dep).alias("_live_dep"), F.max(gone & has_dep).alias("_gone_dep"))
-
-
-def best_tiers(facts: DataFrame, keys: DataFrame, id_col: str = "oli_id") -> DataFrame:
+    rows = keyed.select(*plan.columns("_k"), "_for", live.alias("_live"), gone.alias("_gone"))
+    sums, stats = [], []
+    for i in range(len(plan.tiers)):
+        counts = F.col("_for")[i]
+        sums += [F.count(F.when(counts, F.lit(1))).alias(f"_n{i}"),
+                 F.max(counts & F.col("_live")).alias(f"_l{i}"),
+                 F.max(counts & F.col("_gone")).alias(f"_g{i}")]
+        stats.append(F.struct(F.col(f"_n{i}").alias("n"), F.col(f"_l{i}").alias("live"),
+                              F.col(f"_g{i}").alias("gone")))
+    return rows.groupBy(*plan.columns("_k")).agg(*sums).select(
+        *plan.columns("_k"), F.array(*stats).alias("_stats"))
+
+
+def best_tiers(facts: DataFrame, keys: DataFrame, id_col: str = "oli_id",
+               tiers: Sequence[Tier] | None = None, hot_rows: int | None = None,
+               materialize_with: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Fact rows with ``_row_tier`` (this row's best tier), ``_best`` (the
-    line's best tier over all its rows), 1..4, and ``_n, _any_live,
-    _any_gone``: how many assets the row's own best tier gives, and of which
-    state.  ``keys``: ``key_summaries``."""
-    def side(kind: int, prefix: str) -> DataFrame:
-        return keys.where(F.col("_k_kind") == kind).select(
-            F.col("_k_acct").alias(f"{prefix}_acct"), F.col("_k_val").alias(f"{prefix}_val"),
-            *[F.col(c).alias(prefix + c) for c in keys.columns if c not in
-              ("_k_acct", "_k_kind", "_k_val")])
-
-    f = (facts
-         .join(side(1, "_c"), (F.col("account_id") == F.col("_c_acct"))
-               & (F.col("base_product_code") == F.col("_c_val")), "left")
-         .join(side(2, "_f"), (F.col("account_id") == F.col("_f_acct"))
-               & (F.col("family") == F.col("_f_val")), "left"))
-    row_tier = F.coalesce(F.col("_c_k_tier"), F.col("_f_k_tier"), F.lit(4))
-
-    def of_tier(name: str) -> Column:
-        return (F.when(row_tier == 1, F.col(f"_c{name}")).when(row_tier == 2, F.col(f"_f{name}_dep"))
-                .when(row_tier == 3, F.col(f"_f{name}")))
-
-    f = f.select(*FACT_COLUMNS, row_tier.alias("_row_tier"), of_tier("_rows").alias("_n"),
-                 of_tier("_live").alias("_any_live"), of_tier("_gone").alias("_any_gone"))
+    line's best tier over all its rows), from 1, one past the last for none,
+    and ``_n, _any_live, _any_gone``: how many assets the row's own best tier
+    gives, and of which state.  ``keys``: ``key_summaries``.
+
+    Rows with a NULL key are spread in the lookups; with ``hot_rows``, keys
+    of over that many facts are sliced as well (``operators.skew``)."""
+    plan = _compile(tiers or default_tiers())
+    f = facts
+    for i, (line, _) in enumerate(plan.kinds):
+        own = [f"_q{i}_{j}" for j in range(plan.width)]
+        keyed = _padded([F.expr(e) for e in line], plan.width)
+        f = f.select(*f.columns, *[k.alias(n) for k, n in zip(keyed, own)])
+        side = keys.select(*[F.col(k).alias(f"_r{i}_{j}") for j, k in enumerate(plan.columns("_k"))],
+                           F.col("_stats").alias(f"_stats{i}"))
+        f = sliced_join(f, side, list(zip(own, [f"_r{i}_{j}" for j in range(plan.width)])), "left",
+                        hot_rows).drop(*own, *[f"_r{i}_{j}" for j in range(plan.width)])
+    none = len(plan.tiers) + 1
+    row_tier, facts_of = F.lit(none), {}
+    for name in ("n", "live", "gone"):
+        facts_of[name] = F.lit(None)
+    for at in range(len(plan.tiers), 0, -1):
+        t = plan.tiers[at - 1]
+        stat = F.col(f"_stats{plan.kind(t)}")[at - 1]
+        hit = F.coalesce(stat["n"] > 0, F.lit(False))
+        if t.line_where:
+            hit = hit & F.coalesce(F.expr(t.line_where), F.lit(False))
+        row_tier = F.when(hit, F.lit(at)).otherwise(row_tier)
+        facts_of = {n: F.when(hit, stat[n]).otherwise(c) for n, c in facts_of.items()}
+    f = f.select(*FACT_COLUMNS, row_tier.alias("_row_tier"), facts_of["n"].alias("_n"),
+                 facts_of["live"].alias("_any_live"), facts_of["gone"].alias("_any_gone"))
+    f = (materialize_with or (lambda df: df))(f)
     # the line's best tier: a partially aggregated min per line id joined
     # back (not a window, which would hold every row of a line in one task)
     best = (f.groupBy(F.col(id_col).alias("_b_id"))
@@ -161,26 +268,30 @@ def best_tiers(facts: DataFrame, keys: DataFrame, id_col: str = "oli_id") -> Dat
             .drop("_b_id"))
 
 
-def _tier_label() -> Column:
-    return F.element_at(F.array(*[F.lit(t) for t in TIER_LABELS]), F.col("_best"))
+def _tier_label(tiers: Sequence[Tier], no_match: str) -> Column:
+    return F.element_at(F.array(*[F.lit(t.label) for t in tiers], F.lit(no_match)), F.col("_best"))
 
 
 def match_summary(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
-                  id_col: str = "oli_id", rules: ClassifyRules = ClassifyRules()) -> DataFrame:
+                  id_col: str = "oli_id", rules: ClassifyRules = ClassifyRules(),
+                  tiers: Sequence[Tier] | None = None, no_match: str = TIER_LABELS[-1],
+                  materialize_with: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The fact rows that have a row in the match, with ``match_type``,
     ``n_rows`` (how many they have there: pairs, or one if unmatched),
     ``any_live`` and ``any_decom`` (over the assets they are paired with).
     The match itself, without its pairs: every join is on a distinct key, so
     the result has at most a row per fact."""
-    f = best_tiers(facts, key_summaries(keyed_assets(assets, class_family), rules), id_col)
+    tiers = tuple(tiers or default_tiers())
+    f = best_tiers(facts, key_summaries(keyed_assets(assets, class_family, tiers), rules, tiers),
+                   id_col, tiers, materialize_with=materialize_with)
     return (f.where(F.col("_row_tier") == F.col("_best"))
-            .select(*FACT_COLUMNS, _tier_label().alias("match_type"),
+            .select(*FACT_COLUMNS, _tier_label(tiers, no_match).alias("match_type"),
                     F.coalesce("_n", F.lit(1)).cast("bigint").alias("n_rows"),
                     F.coalesce("_any_live", F.lit(False)).alias("any_live"),
                     F.coalesce("_any_gone", F.lit(False)).alias("any_decom")))
 
 
-def _salted(probe: DataFrame, keyed: DataFrame, keys: DataFrame,
+def _salted(probe: DataFrame, keyed: DataFrame, width: int,
             hot_rows: int) -> tuple[DataFrame, DataFrame]:
     """Slice the keys of the pair join that have over ``hot_rows`` rows on
     either side.
@@ -191,14 +302,20 @@ def _salted(probe: DataFrame, keyed: DataFrame, keys: DataFrame,
     counted rows; there are at most (rows of both sides / ``hot_rows``) hot
     keys.
     """
-    probes = probe.groupBy(F.col("account_id").alias("_q_acct"), F.col("_p_kind").alias("_q_kind"),
-                           F.col("_p_val").alias("_q_val")).agg(F.count(F.lit(1)).alias("_q_rows"))
+    def counted(df: DataFrame, prefix: str, name: str, count: str) -> DataFrame:
+        return df.groupBy(*[F.col(f"{prefix}{i}").alias(f"{name}{i}") for i in range(width)]).agg(
+            F.count(F.lit(1)).alias(count))
+
+    def on(a: str, b: str) -> Column:
+        out = F.col(f"{a}0") == F.col(f"{b}0")
+        for i in range(1, width):
+            out = out & (F.col(f"{a}{i}") == F.col(f"{b}{i}"))
+        return out
+
     larger = F.greatest("_rows", "_q_rows")
-    hot = (keys.join(probes, (F.col("_k_acct") == F.col("_q_acct"))
-                     & (F.col("_k_kind") == F.col("_q_kind")) & (F.col("_k_val") == F.col("_q_val")))
+    hot = (counted(keyed, "_k", "_h", "_rows").join(counted(probe, "_p", "_x", "_q_rows"), on("_h", "_x"))
            .where(larger > hot_rows)
-           .select(F.col("_k_acct").alias("_h_acct"), F.col("_k_kind").alias("_h_kind"),
-                   F.col("_k_val").alias("_h_val"),
+           .select(*[f"_h{i}" for i in range(width)],
                    F.ceil(larger / hot_rows).cast("int").alias("_slices"),
                    (F.col("_rows") >= F.col("_q_rows")).alias("_deal_assets")))
 
@@ -207,57 +324,60 @@ def _salted(probe: DataFrame, keyed: DataFrame, keys: DataFrame,
         dealt = F.array(F.pmod(F.xxhash64(by), F.col("_slices")).cast("int"))
         return F.explode(F.when(F.col("_slices").isNull(), one).when(deals, dealt).otherwise(all_))
 
-    drop = ("_h_acct", "_h_kind", "_h_val", "_slices", "_deal_assets")
-    k_on = ((F.col("_k_acct") == F.col("_h_acct")) & (F.col("_k_kind") == F.col("_h_kind"))
-            & (F.col("_k_val") == F.col("_h_val")))
-    p_on = ((F.col("account_id") == F.col("_h_acct")) & (F.col("_p_kind") == F.col("_h_kind"))
-            & (F.col("_p_val") == F.col("_h_val")))
-    return (probe.join(hot, p_on, "left")
+    drop = (*[f"_h{i}" for i in range(width)], "_slices", "_deal_assets")
+    return (probe.join(hot, on("_p", "_h"), "left")
             .withColumn("_p_salt", slices(~F.col("_deal_assets"), "oli_id")).drop(*drop),
-            keyed.join(hot, k_on, "left")
+            keyed.join(hot, on("_k", "_h"), "left")
             .withColumn("_k_salt", slices(F.col("_deal_assets"), "asset_id")).drop(*drop))
 
 
 def tiered_match(facts: DataFrame, assets: DataFrame, class_family: DataFrame,
                  id_col: str = "oli_id",
                  materialize_with: Callable[[DataFrame], DataFrame] | None = None,
-                 hot_key_rows: int | None = None) -> DataFrame:
+                 hot_key_rows: int | None = None, tiers: Sequence[Tier] | None = None,
+                 no_match: str = TIER_LABELS[-1]) -> DataFrame:
     """All pairs of each line's best tier, else one ``no_match`` row (C5).
 
     ``facts``: ``line_facts`` output.  ``assets``: ``enrich_assets`` output.
-    ``class_family(class_name, family)``: the lookup.  Output: the 15 fact
-    columns, the 15 asset columns of ``PAIR_ASSET_COLUMNS`` and
-    ``match_type``.
-
-    ``materialize_with`` is applied to the key summaries and to the annotated
-    facts, each read by two branches.  With ``hot_key_rows``, a key with more
-    rows than that on either side is sliced (see ``_salted``), independent of
-    AQE's skew handling; the result is the same.
+    ``class_family(class_name, family)``: the lookup.  ``tiers``: the match
+    rules, best first (``default_tiers``).  Output: the 15 fact columns, the
+    15 asset columns of ``PAIR_ASSET_COLUMNS`` and ``match_type``.
+
+    ``materialize_with`` is applied to the expanded assets and to the
+    annotated facts, each read more than once.  With ``hot_key_rows``, a key with
+    more rows than that on either side is sliced (see ``_salted``), independent
+    of AQE's skew handling; the result is the same.
     """
+    tiers = tuple(tiers or default_tiers())
+    plan = _compile(tiers)
     keep = materialize_with or (lambda df: df)
-    keyed = keyed_assets(assets, class_family)
-    keys = keep(key_summaries(keyed))
-    f = keep(best_tiers(facts, keys, id_col))
-    best = F.col("_best")
+    keyed = keep(keyed_assets(assets, class_family, tiers))
+    f = keep(best_tiers(facts, key_summaries(keyed, tiers=tiers), id_col, tiers,
+                        materialize_with=materialize_with))
+    best, none = F.col("_best"), len(tiers) + 1
+
+    def probe_key(j: int) -> Column:
+        out = F.lit(None).cast("string")
+        for at, t in enumerate(tiers, 1):
+            out = F.when(best == at, _padded([F.expr(e) for e in t.line], plan.width)[j]).otherwise(out)
+        return out
+
     # rows whose own tier is not the line's best produce nothing (another
     # row of the same line matched better)
-    probe = (f.where((best < 4) & (F.col("_row_tier") == best))
-             .withColumn("_p_kind", F.when(best == 1, F.lit(1)).otherwise(F.lit(2)))
-             .withColumn("_p_val", F.when(best == 1, F.col("base_product_code"))
-                         .otherwise(F.col("family"))))
-    cond = ((F.col("account_id") == F.col("_k_acct"))
-            & (F.col("_p_kind") == F.col("_k_kind"))
-            & (F.col("_p_val") == F.col("_k_val"))
-            & ((best != 2) | F.col("deployment_asset_id").isNotNull()))
+    probe = f.where((best < none) & (F.col("_row_tier") == best)).select(
+        *FACT_COLUMNS, "_best", *[probe_key(j).alias(f"_p{j}") for j in range(plan.width)])
+    cond = F.element_at(F.col("_for"), best)
+    for j in range(plan.width):
+        cond = cond & (F.col(f"_p{j}") == F.col(f"_k{j}"))
     if hot_key_rows is not None:
-        probe, keyed = _salted(probe, keyed, keys, hot_key_rows)
+        probe, keyed = _salted(probe, keyed, plan.width, hot_key_rows)
         cond = cond & (F.col("_p_salt") == F.col("_k_salt"))
     pairs = (probe.join(keyed, cond)
              .select(*[F.col(c) for c in FACT_COLUMNS],
                      *[F.col(n) for n, _, _ in PAIR_ASSET_COLUMNS],
-                     _tier_label().alias("match_type")))
+                     _tier_label(tiers, no_match).alias("match_type")))
     nulls = [F.lit(None).cast(t).alias(n) for n, _, t in PAIR_ASSET_COLUMNS]
-    unmatched = (f.where(best == 4)
+    unmatched = (f.where(best == none)
                  .select(*[F.col(c) for c in FACT_COLUMNS], *nulls,
-                         F.lit(TIER_LABELS[3]).alias("match_type")))
+                         F.lit(no_match).alias("match_type")))
     return pairs.unionByName(unmatched).select(*MATCHED_COLUMNS)

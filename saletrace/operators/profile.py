@@ -3,8 +3,8 @@ position and row / non-null / distinct counts.
 
 The original lists ``information_schema.columns`` (catalog, schema, table,
 column, data type) through a warehouse client.  Here the names and types
-come from each DataFrame's schema and the counts from one grouped aggregation
-per column; nothing is collected.
+come from each DataFrame's schema and the counts from one pass over each table
+and one shuffle for all of them; nothing is collected.
 """
 
 from __future__ import annotations
@@ -12,62 +12,53 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from saletrace.sources.io import constant_relation
 
 
-#: types whose values are compared by a digest: long, or not orderable
-_DIGESTED = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
+COUNTS = ("row_count", "non_null_count", "distinct_count")
 LISTING = ("table_catalog string, table_schema string, table_name string, column_name string, "
            "data_type string, ordinal_position int")
 
 
-def _value_key(column: Column, kind: T.DataType) -> Column:
-    """What stands for a value when distinct ones are counted: itself, or its
-    SHA-256 where values may be long."""
-    if not isinstance(kind, _DIGESTED):
-        return column
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        return F.unhex(F.sha2(column.cast("binary"), 256))
-    text = F.to_json(F.struct(column.alias("v")))
-    return F.when(column.isNotNull(), F.unhex(F.sha2(text, 256)))
+def _cells(df: DataFrame, number: int) -> DataFrame:
+    """``t, o, known, h1, h2``: a narrow row per value, with its 128-bit hash
+    (two of 64 bits); the values themselves are not carried."""
+    cells = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        # a map has no hash of its own
+        v = F.to_json(F.struct(c.alias("v"))) if "map<" in f.dataType.simpleString() else c
+        cells.append(F.struct(F.lit(i + 1).alias("o"), c.isNotNull().alias("known"),
+                              F.xxhash64(F.lit(1), v).alias("h1"), F.xxhash64(v, F.lit(2)).alias("h2")))
+    return (df.select(F.explode(F.array(*cells)).alias("c"))
+            .select(F.lit(number).alias("t"), "c.*"))
+
+
+def _counts(tables: Sequence[DataFrame], exact: bool) -> DataFrame:
+    """``t, o`` and the three counts, of all tables together: every table is
+    scanned once, and equal values are counted before the one shuffle."""
+    cells = reduce(DataFrame.unionByName, [_cells(df, i) for i, df in enumerate(tables)])
+    known = F.col("known")
+    if not exact:
+        return cells.groupBy("t", "o").agg(
+            F.count(F.lit(1)).alias("row_count"), F.count(F.when(known, F.lit(1))).alias("non_null_count"),
+            F.approx_count_distinct(F.when(known, F.col("h1"))).alias("distinct_count"))
+    values = cells.groupBy("t", "o", "known", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    return values.groupBy("t", "o").agg(
+        F.sum("n").alias("row_count"), F.sum(F.when(known, F.col("n"))).alias("non_null_count"),
+        F.count(F.when(known, F.lit(1))).alias("distinct_count"))
 
 
 def profile_table(name: str, df: DataFrame, exact: bool = True, catalog: str = "",
                   schema: str = "") -> DataFrame:
     """One row per column of ``df``: ``(table_catalog, table_schema,
     table_name, column_name, data_type, ordinal_position, row_count,
-    non_null_count, distinct_count)``.
-
-    Each column is read by itself and grouped by its value (a 32-byte digest
-    of texts and vectors), with map-side partial aggregation; the group sizes
-    give all three counts.  No row is expanded and no text is shuffled.
-    ``exact=False`` counts distinct values by HyperLogLog, without grouping.
-    """
-    parts = []
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        if exact:
-            groups = (df.select(_value_key(c, f.dataType).alias("k"), c.isNotNull().alias("known"))
-                      .groupBy("k", "known").agg(F.count(F.lit(1)).alias("n")))
-            one = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
-                             F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0))
-                             .alias("non_null_count"),
-                             F.count(F.when(F.col("known"), F.lit(1))).alias("distinct_count"))
-        else:
-            one = df.agg(F.count(F.lit(1)).alias("row_count"), F.count(c).alias("non_null_count"),
-                         F.approx_count_distinct(_value_key(c, f.dataType)).alias("distinct_count"))
-        parts.append(one.select(
-            F.lit(catalog).alias("table_catalog"), F.lit(schema).alias("table_schema"),
-            F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.lit(i + 1).alias("ordinal_position"),
-            *[F.col(x).cast("bigint").alias(x)
-              for x in ("row_count", "non_null_count", "distinct_count")]))
-    return reduce(DataFrame.unionByName, parts)
+    non_null_count, distinct_count)``.  Distinct values are told apart by a
+    128-bit hash; ``exact=False`` estimates their number by HyperLogLog."""
+    return _profiles([(catalog, schema, name, df)], exact, False, True)
 
 
 def column_listing(name: str, df: DataFrame, catalog: str = "", schema: str = "") -> DataFrame:
@@ -82,9 +73,18 @@ def _profiles(tables: Sequence[tuple[str, str, str, DataFrame]], exact: bool, so
               counts: bool) -> DataFrame:
     if not tables:
         raise ValueError("no table to profile")
-    out = reduce(DataFrame.unionByName, [
-        profile_table(n, df, exact, c, s) if counts else column_listing(n, df, c, s)
-        for c, s, n, df in sorted(tables, key=lambda t: t[:3])])
+    tables = sorted(tables, key=lambda t: t[:3])
+    spark = tables[0][3].sparkSession
+    listing = [(c, s, n, f.name, f.dataType.simpleString(), i + 1, at)
+               for at, (c, s, n, df) in enumerate(tables) for i, f in enumerate(df.schema.fields)]
+    out = constant_relation(spark, listing, LISTING + ", _t int")
+    if counts:
+        found = _counts([df for *_, df in tables if df.columns], exact).select(
+            F.col("t").alias("_at"), F.col("o").alias("_o"), *COUNTS)
+        out = out.join(found, (F.col("_t") == F.col("_at")) & (F.col("ordinal_position") == F.col("_o")),
+                       "left").select(*out.columns, *[
+                           F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in COUNTS])
+    out = out.drop("_t")
     if not sort:
         return out
     # one row per column of a table: few, whatever the tables hold

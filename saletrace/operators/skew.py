@@ -9,11 +9,12 @@ many slices as bring each under ``hot_rows``; the right rows of that key are
 repeated once per slice, so every pair of rows still meets exactly once.
 
 NULL keys match nothing.  They would all hash to one task of an outer join,
-so they are dealt over ``NULL_SLICES`` slices.
+so they are dealt over ``NULL_SLICES`` slices; that needs no sketch.
 
 Which key counts as frequent changes the plan only, never the rows.  The
 sketch tracks ``TRACKED`` keys; a key it misses is not sliced.  Rows that are
-equal in every column go to the same slice.
+equal in every column go to the same slice.  The sketch reads the left side's
+keys once more: give it a table that is written, or scanned cheaply.
 """
 
 from __future__ import annotations
@@ -27,10 +28,6 @@ MAX_HOT, TRACKED, NULL_SLICES = 256, 10_000, 4096
 HOT_ROWS = 1_000_000
 
 
-def _hash(columns: Sequence[Column]) -> Column:
-    return F.xxhash64(*columns)
-
-
 def _any_null(columns: Sequence[Column]) -> Column:
     out = columns[0].isNull()
     for c in columns[1:]:
@@ -42,7 +39,7 @@ def hot_slices(df: DataFrame, keys: Sequence[str], hot_rows: int) -> Column:
     """A scalar subquery: the map from the hash of a frequent key of ``df``
     to its number of slices (empty where no key has over ``hot_rows`` rows)."""
     known = df.where(~_any_null([F.col(k) for k in keys]))
-    top = known.select(_hash([F.col(k) for k in keys]).alias("_h")).agg(
+    top = known.select(F.xxhash64(*keys).alias("_h")).agg(
         F.expr(f"approx_top_k(_h, {MAX_HOT}, {TRACKED})").alias("_top"))
     hot = F.filter("_top", lambda x: x["count"] > hot_rows)
     return top.select(F.map_from_entries(F.transform(hot, lambda x: F.struct(
@@ -50,30 +47,35 @@ def hot_slices(df: DataFrame, keys: Sequence[str], hot_rows: int) -> Column:
 
 
 def sliced_join(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]],
-                how: str = "left", hot_rows: int = HOT_ROWS) -> DataFrame:
+                how: str = "left", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """``left.join(right, l1 = r1 AND l2 = r2 ..., how)`` for ``how`` "left"
     or "inner"; ``on`` names the column pairs.  All columns of both sides are
     returned, so their names must differ.  Right rows with a NULL key are
-    dropped first (they match nothing)."""
+    dropped first (they match nothing).  ``hot_rows`` None spreads NULL keys
+    only."""
     if how not in ("left", "inner"):
         raise ValueError(f"how={how!r}: left or inner")
     ls, rs = [l for l, _ in on], [r for _, r in on]
     lcols, rcols = [F.col(c) for c in ls], [F.col(c) for c in rs]
-    hot = hot_slices(left, ls, hot_rows)
-    dealt = F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(left)], F.lit(1))
-    n_left = F.coalesce(F.try_element_at("_hot", _hash(lcols)), F.lit(1))
-    a = left.withColumn("_hot", hot).withColumn("_slice", F.when(
-        _any_null(lcols), F.pmod(dealt, F.lit(NULL_SLICES))).otherwise(F.pmod(dealt, n_left))
-        .cast("int")).drop("_hot")
-    n_right = F.coalesce(F.try_element_at("_hot", _hash(rcols)), F.lit(1))
-    b = (right.where(~_any_null(rcols)).withColumn("_hot", hot)
-         .withColumn("_copy", F.explode(F.sequence(F.lit(0), n_right - 1))).drop("_hot"))
+    # a map column cannot be hashed
+    whole = [F.col(f"`{f.name}`") for f in left.schema.fields
+             if "map<" not in f.dataType.simpleString()]
+    dealt, null_slice = F.xxhash64(*whole, F.lit(1)), F.lit(NULL_SLICES)
+    if hot_rows is None:
+        one = F.pmod(F.xxhash64(*lcols), F.lit(1))  # zero, but no constant to the optimizer
+        a = left.withColumn("_slice", F.when(_any_null(lcols), F.pmod(dealt, null_slice) + 1)
+                            .otherwise(one))
+        b = right.where(~_any_null(rcols)).withColumn("_copy", F.pmod(F.xxhash64(*rcols), F.lit(1)))
+    else:
+        hot = hot_slices(left, ls, hot_rows)
+        n_left = F.coalesce(F.try_element_at("_hot", F.xxhash64(*lcols)), F.lit(1))
+        a = left.withColumn("_hot", hot).withColumn(
+            "_slice", F.when(_any_null(lcols), F.pmod(dealt, null_slice))
+            .otherwise(F.pmod(dealt, n_left)).cast("int")).drop("_hot")
+        n_right = F.coalesce(F.try_element_at("_hot", F.xxhash64(*rcols)), F.lit(1))
+        b = (right.where(~_any_null(rcols)).withColumn("_hot", hot)
+             .withColumn("_copy", F.explode(F.sequence(F.lit(0), n_right - 1))).drop("_hot"))
     cond = a["_slice"] == b["_copy"]
     for l, r in on:
         cond = cond & (a[l] == b[r])
     return a.join(b, cond, how).drop("_slice", "_copy")
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    """Columns whose values can be hashed (a map cannot)."""
-    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]

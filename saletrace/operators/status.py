@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saletrace.functions.logic import decision_list, flag01, is_true
+from saletrace.operators.skew import sliced_join
 from saletrace.params import DECOM_SOURCE_LABELS, STATUS_LABELS, StatusRules
 
 
@@ -84,28 +85,22 @@ def status_rules(r: StatusRules) -> list[tuple[Column, str]]:
 
 
 def line_status(line_asset: DataFrame, decom: DataFrame, reversals: DataFrame,
-                rules: StatusRules = StatusRules()) -> DataFrame:
+                rules: StatusRules = StatusRules(), hot_rows: int | None = None) -> DataFrame:
     """One row per input row (C8): identifiers, booking context, the
     17-label status, decommission and reversal columns, anomaly flags.
 
     ``decom`` is ``decom_rollup`` output (unique per asset) and
     ``reversals`` is ``reversal_rollup`` output (unique per line), so the
     two left joins keep the row count.  Lines without an asset cannot have a
-    decommission: their NULL key is replaced by a spread of keys that match
-    nothing, so they do not meet in one task.
+    decommission: their NULL keys are spread, and with ``hot_rows`` assets and
+    lines of over that many rows are sliced (``operators.skew``).
     """
     as_of = F.lit(rules.as_of).cast("date") if rules.as_of else F.current_date()
-    d = decom.select(F.col("asset_id").alias("_d_asset"), F.lit(0).alias("_d_spread"),
-                     "decom_date", "decom_count")
+    d = decom.select(F.col("asset_id").alias("_d_asset"), "decom_date", "decom_count")
     rv = reversals.select(F.col("oli_id").alias("_r_oli"), "incident_number",
                           "incident_count", "processed_as")
-    # 0 where there is an asset; any other number never matches
-    spread = F.when(F.col("asset_id").isNotNull(), F.lit(0)).otherwise(
-        1 + F.pmod(F.xxhash64("oli_id"), F.lit(1 << 20)).cast("int"))
-    j = (line_asset.withColumn("_spread", spread)
-         .join(d, (F.coalesce("asset_id", F.lit("")) == F.col("_d_asset"))
-               & (F.col("_spread") == F.col("_d_spread")), "left")
-         .join(rv, F.col("oli_id") == F.col("_r_oli"), "left"))
+    j = sliced_join(sliced_join(line_asset, d, [("asset_id", "_d_asset")], "left", hot_rows),
+                    rv, [("oli_id", "_r_oli")], "left", hot_rows)
 
     booked = is_true(F.col("oli_enabled"))
     st = F.col("install_status")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from saletrace.functions.hosts import dotted_prefix, first_label
 from saletrace.functions.logic import is_true, ordinal, sorted_join
 from saletrace.operators.assets import enrich_assets, host_keys, unify_sources
+from saletrace.operators.chunks import joined_chunks
 from saletrace.operators.classify import classify_summary
 from saletrace.operators.compare import compare_cuts, compare_snapshots, rank_segments, segments
 from saletrace.operators.exclusion import exclude_not_in
@@ -27,7 +28,7 @@ from saletrace.plans.materialize import materialize, new_folder, run_folder
 from saletrace.session import checkpoint_dir
 from saletrace.sources.fixtures import (
     FIXTURE_CLASSIFY_RULES, FIXTURE_FACT_RULES, FIXTURE_PERIOD_RULES,
-    FIXTURE_STATUS_RULES, NEW_RUN_FROM, OLD_RUN_BEFORE, RUN_DOUBLED_AS, RUN_DOUBLED_UNDER,
+    FIXTURE_STATUS_RULES, FIXTURE_TIERS, NEW_RUN_FROM, OLD_RUN_BEFORE, RUN_DOUBLED_AS, RUN_DOUBLED_UNDER,
     RUN_MOVED_OVER, RUN_MOVED_TO, Fixtures)
 from saletrace.sources.io import read_snapshot, write_snapshot
 
@@ -35,6 +36,8 @@ from saletrace.sources.io import read_snapshot, write_snapshot
 # a match key with more rows than this on either side is sliced in the pair
 # join (no effect below)
 HOT_KEY_ROWS = 1_000_000
+# values in a piece of a rollup list
+ROLLUP_CHUNK = 1000
 
 
 class FixtureRun:
@@ -46,7 +49,6 @@ class FixtureRun:
         self.fx = Fixtures(spark, sf_dir)
         self.keep = (lambda df, name: materialize(df, name)) if write else (lambda df, name: df)
         self.writes = write and bool(checkpoint_dir(spark))
-        self._assets = None
         self._summary = None
 
     def assets(self) -> DataFrame:
@@ -59,26 +61,23 @@ class FixtureRun:
         return enrich_assets(self.assets(), self.fx.master_account(), self.fx.deployment(),
                              self.keys())
 
-    def enriched_table(self) -> DataFrame:
-        if self._assets is None:
-            self._assets = self.keep(self.enriched(), "enriched_assets")
-        return self._assets
-
     def facts(self) -> DataFrame:
         fx = self.fx
         return line_facts(fx.opportunity(), fx.line_item(), fx.quote_line(), fx.quote(),
                           fx.product(), fx.reversal(), FIXTURE_FACT_RULES)
 
-    def matched(self) -> DataFrame:
+    def matched(self, tiers=None) -> DataFrame:
         """The pairs: only for the match itself."""
-        return tiered_match(self.facts(), self.enriched_table(), self.fx.class_family(),
+        return tiered_match(self.facts(), self.enriched(), self.fx.class_family(),
                             materialize_with=lambda df: self.keep(df, "match_step"),
-                            hot_key_rows=HOT_KEY_ROWS)
+                            hot_key_rows=HOT_KEY_ROWS, tiers=tiers)
 
     def summary_plan(self) -> DataFrame:
-        # the assets are read once here: no need to write them first
+        # each source is read once: the key lookups share one shuffled summary,
+        # and the annotated facts are written before their minimum is joined
         return match_summary(self.facts(), self.enriched(), self.fx.class_family(),
-                             rules=FIXTURE_CLASSIFY_RULES)
+                             rules=FIXTURE_CLASSIFY_RULES,
+                             materialize_with=lambda df: self.keep(df, "match_step"))
 
     def summary(self) -> DataFrame:
         """The matched lines without their pairs, for all that reads it twice."""
@@ -132,6 +131,12 @@ def q_tiered_match(spark: SparkSession, sf: str) -> DataFrame:
     return FixtureRun(spark, sf).matched()
 
 
+def q_tiered_match_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The match under other rules: five tiers with keys of one and two parts,
+    predicates on either side, and the lookup."""
+    return FixtureRun(spark, sf).matched(FIXTURE_TIERS)
+
+
 def q_tier_summary(spark: SparkSession, sf: str) -> DataFrame:
     return (FixtureRun(spark, sf).summary_plan().groupBy("match_type")
             .agg(F.sum("n_rows").alias("n"), F.countDistinct("oli_id").alias("n_lines")))
@@ -164,7 +169,8 @@ def q_run_compare(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs, written as snapshots and read back, compared.  They differ in
     lines (cut by close date) and in families: the new run moves large lines
     to another family and lists small ones under a second one as well."""
-    m = FixtureRun(spark, sf).summary_plan().select("oli_id", "family", "close_date", "quantity")
+    p = FixtureRun(spark, sf)
+    m = p.keep(p.summary_plan().select("oli_id", "family", "close_date", "quantity"), "run_lines")
     old = m.where(F.col("close_date") < F.lit(OLD_RUN_BEFORE).cast("date"))
     new = m.where(F.col("close_date") >= F.lit(NEW_RUN_FROM).cast("date"))
     moved = new.withColumn("family", F.when(F.col("quantity") > RUN_MOVED_OVER, RUN_MOVED_TO)
@@ -205,6 +211,33 @@ def q_account_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return FixtureRun(spark, sf).rollup()
 
 
+def q_account_rollup_strings(spark: SparkSession, sf: str) -> DataFrame:
+    """The original's form: one row per account and family, its lists as
+    strings."""
+    p = FixtureRun(spark, sf)
+    m = p.summary()
+    return account_rollup(m, classify_summary(m, FIXTURE_CLASSIFY_RULES), p.fx.family_short())
+
+
+def q_rollup_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same lists in numbered pieces of at most ``ROLLUP_CHUNK`` values:
+    no list is built in one task."""
+    p = FixtureRun(spark, sf)
+    return joined_chunks(p.rollup(), ["account_id", "family", "list"], "value",
+                         chunk_rows=ROLLUP_CHUNK,
+                         materialize_with=(lambda x: p.keep(x, "ordered")) if p.writes else None)
+
+
+def q_period_change_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """The report with the account's id lists on every row, as the original
+    prints it."""
+    p = FixtureRun(spark, sf)
+    m = p.summary()
+    lists = account_rollup(m, classify_summary(m, FIXTURE_CLASSIFY_RULES), p.fx.family_short())
+    return period_change(p.fx.arr_quarter(), lists,
+                         replace(FIXTURE_PERIOD_RULES, sort=False, attach_lists=True))
+
+
 def q_period_change(spark: SparkSession, sf: str) -> DataFrame:
     """The report's rows in report order, numbered; the id lists are the long
     rollup's, joined on (account_id, family) by who reads them."""
@@ -302,6 +335,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "asset_links": q_asset_links,
     "line_facts": q_line_facts,
     "tiered_match": q_tiered_match,
+    "tiered_match_rules": q_tiered_match_rules,
     "tier_summary": q_tier_summary,
     "snapshot_compare": q_snapshot_compare,
     "snapshot_segments": q_snapshot_segments,
@@ -313,7 +347,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_status": q_line_status,
     "status_summary": q_status_summary,
     "account_rollup": q_account_rollup,
+    "account_rollup_strings": q_account_rollup_strings,
+    "rollup_chunks": q_rollup_chunks,
     "period_change": q_period_change,
+    "period_change_lists": q_period_change_lists,
     "period_rejects": q_period_rejects,
     "membership_flag": q_membership_flag,
     "null_safe_exclusion": q_null_safe_exclusion,

@@ -12,7 +12,7 @@ of two runs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +20,7 @@ from saletrace.operators.assets import AssetSource, enrich_assets, host_keys, un
 from saletrace.operators.classify import classify_lines
 from saletrace.operators.compare import compare_snapshots
 from saletrace.operators.facts import line_facts
-from saletrace.operators.matching import tiered_match
+from saletrace.operators.matching import Tier, default_tiers, tiered_match
 from saletrace.operators.period import period_change
 from saletrace.operators.rollups import account_rollup
 from saletrace.operators.status import decom_rollup, line_status, reversal_rollup
@@ -57,6 +57,7 @@ class Rules:
     classify: ClassifyRules = ClassifyRules()
     status: StatusRules = StatusRules()
     period: PeriodRules = PeriodRules()
+    tiers: tuple[Tier, ...] = field(default_factory=default_tiers)
 
 
 def run_reconciliation(spark: SparkSession, inputs: Inputs, rules: Rules, out_dir: str,
@@ -77,7 +78,7 @@ def run_reconciliation(spark: SparkSession, inputs: Inputs, rules: Rules, out_di
                        inputs.product, inputs.reversal, rules.facts)
     matched = tiered_match(facts, assets, class_family,
                            materialize_with=lambda df: materialize(df, "match_step"),
-                           hot_key_rows=hot_key_rows)
+                           hot_key_rows=hot_key_rows, tiers=rules.tiers)
     written["matched"] = write_snapshot(matched, f"{out}/matched", run_id)
     matched = read_snapshot(spark, f"{out}/matched", run_id)
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from saletrace.operators.assets import AssetSource
+from saletrace.operators.matching import LOOKED_UP, Tier
 from saletrace.params import ClassifyRules, FactRules, Lookups, PeriodRules, StatusRules
 from saletrace.sources.io import lookup, read_tables
 
@@ -42,6 +43,18 @@ FIXTURE_STATUS_RULES = StatusRules(as_of="2024-03-01")
 FIXTURE_PERIOD_RULES = PeriodRules(from_period="2001 | Q1", to_period="2001 | Q2",
                                    base_year=2001)
 FIXTURE_LOOKUPS = Lookups(class_family=FIXTURE_CLASS_FAMILY, family_short=FIXTURE_FAMILY_SHORT)
+# five match rules of another deployment
+FIXTURE_TIERS = (
+    Tier("code_enabled", ("account_id", "base_product_code"), ("asset_account_id", "deployment_code"),
+         asset_where="deployment_asset_id IS NOT NULL AND asset_enabled", line_where="enabled_ol"),
+    Tier("code", ("account_id", "base_product_code"), ("asset_account_id", "deployment_code"),
+         asset_where="deployment_asset_id IS NOT NULL"),
+    Tier("family_active", ("account_id", "family"), ("asset_account_id", LOOKED_UP),
+         asset_where="install_status = '1'"),
+    Tier("family", ("account_id", "family"), ("asset_account_id", LOOKED_UP)),
+    Tier("account_error", ("account_id",), ("asset_account_id",),
+         asset_where="class_name = 'error'", line_where="quantity < 0"),
+)
 # run comparison: the old run holds lines closed before, the new run from; in
 # the new run lines over this quantity have another family, and those under
 # the other one have a second family as well
