@@ -5,7 +5,7 @@ from collections import Counter
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from helpers import assets_df, facts_df
+from helpers import d, assets_df, facts_df
 from saletrace.params import TIER_LABELS
 from saletrace.operators.matching import tiered_match
 
@@ -171,3 +171,38 @@ def test_hot_probe_side_is_dealt(spark):
              for i in range(40)]
     assets = [{"asset_id": f"V{j}", "account_id": "HOT", "class_name": "c2"} for j in range(3)]
     assert run_salted(spark, facts, assets, hot=10) == brute_cascade(facts, assets)
+
+
+def test_callers_tiers(spark):
+    """Rules of one and three keys, with predicates on both sides; ranks follow
+    the order given, and wrong rules are refused."""
+    import pytest
+
+    from saletrace.operators.matching import LOOKED_UP, Tier, match_summary
+    f = facts_df(spark, [
+        {"opp_id": "O1", "oli_id": "L1", "account_id": "A", "family": "F", "quantity": 5.0,
+         "close_date": d("2024-01-02")},
+        {"opp_id": "O1", "oli_id": "L2", "account_id": "A", "family": "F", "quantity": -5.0},
+        {"opp_id": "O1", "oli_id": "L3", "account_id": "B", "family": "G", "quantity": 1.0},
+        {"opp_id": "O1", "oli_id": "L4", "account_id": None, "family": "F", "quantity": -1.0}])
+    a = assets_df(spark, [
+        {"asset_id": "V1", "account_id": "A", "class_name": "c", "start_date": d("2024-05-01")},
+        {"asset_id": "V2", "account_id": "A", "class_name": "c", "start_date": d("2020-05-01")},
+        {"asset_id": "V3", "account_id": "B", "class_name": "x"}])
+    lk = spark.createDataFrame([("c", "F"), ("c", "H")], "class_name string, family string")
+    tiers = (Tier("same_year", ("account_id", "family", "year(close_date)"),
+                  ("asset_account_id", LOOKED_UP, "year(start_date)"), line_where="quantity > 0"),
+             Tier("anything", ("account_id",), ("asset_account_id",), asset_where="class_name = 'c'"))
+    got = sorted((r.oli_id, r.asset_id, r.match_type)
+                 for r in tiered_match(f, a, lk, tiers=tiers, no_match="none").collect())
+    assert got == sorted([("L1", "V1", "same_year"), ("L2", "V1", "anything"),
+                          ("L2", "V2", "anything"), ("L3", None, "none"), ("L4", None, "none")],
+                         key=lambda x: (x[0], x[1] or ""))
+    summary = {r.oli_id: (r.match_type, r.n_rows)
+               for r in match_summary(f, a, lk, tiers=tiers, no_match="none").collect()}
+    assert summary == {"L1": ("same_year", 1), "L2": ("anything", 2), "L3": ("none", 1),
+                       "L4": ("none", 1)}
+    for bad in ((), (Tier("t", ("a",), ("b", "c")),), (Tier("t", ("a",), ("b",)),) * 2,
+                (Tier("t", ("a", "b"), (LOOKED_UP, LOOKED_UP)),)):
+        with pytest.raises(ValueError):
+            tiered_match(f, a, lk, tiers=bad or [Tier("t", (), ())])
