@@ -34,6 +34,8 @@ import hashlib
 import math
 import re
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -160,14 +162,28 @@ class WordModel:
             self.__init__(self.langs, self.logp, self.scripts)
 
 
+#: cells (words x texts) of one padded group; a longer text goes alone
+CELLS = 1 << 18
+
+
+def _alike(scores: list[np.ndarray]) -> Iterator[list[int]]:
+    """Texts of like length, padded to the longest of at most ``CELLS``."""
+    part: list[int] = []
+    for i in sorted(range(len(scores)), key=lambda i: len(scores[i])):
+        if not len(scores[i]):
+            continue
+        if part and (len(part) == GROUP or len(scores[i]) * (len(part) + 1) > CELLS):
+            yield part
+            part = []
+        part.append(i)
+    if part:
+        yield part
+
+
 def viterbi(scores: list[np.ndarray], penalty: float = SWITCH) -> list[np.ndarray]:
     """The best path of each text's word scores (words x languages)."""
-    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(scores)
-    order = sorted(range(len(scores)), key=lambda i: len(scores[i]))
-    for at in range(0, len(order), GROUP):
-        part = [i for i in order[at:at + GROUP] if len(scores[i])]
-        if not part:
-            continue
+    out: list[np.ndarray] = [np.zeros(0, np.int16)] * len(scores)
+    for part in _alike(scores):
         n, k = len(part), scores[part[0]].shape[1]
         sizes = np.array([len(scores[i]) for i in part])
         longest = sizes.max()
@@ -175,7 +191,7 @@ def viterbi(scores: list[np.ndarray], penalty: float = SWITCH) -> list[np.ndarra
         for j, i in enumerate(part):
             s[:sizes[j], j] = scores[i]
         value = np.zeros((n, k), np.float32)
-        source = np.zeros((longest, n), np.int8)      # best language before each position
+        source = np.zeros((longest, n), np.int16)     # best language before each position
         stay = np.ones((longest, n, k), bool)
         rows = np.arange(n)
         for t in range(longest):
@@ -184,7 +200,7 @@ def viterbi(scores: list[np.ndarray], penalty: float = SWITCH) -> list[np.ndarra
             source[t], stay[t] = best, value >= jump
             value = np.maximum(value, jump) + s[t]
         state = value.argmax(1)
-        path = np.zeros((longest, n), np.int8)
+        path = np.zeros((longest, n), np.int16)
         for t in range(longest - 1, -1, -1):
             path[t] = state
             state = np.where(stay[t, rows, state], state, source[t])

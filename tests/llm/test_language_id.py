@@ -88,3 +88,28 @@ def test_rare_language_is_learned(spark, make_docs):
     assert rates["rare"] == 1 and 990 <= rates["few"] * 3000 <= 1010
     assert sum(rates[x] * n for x, n in counts.items()) <= 8000
     assert lid._rate(5, {"en": 7000, "de": 5}, 8000) == 1
+
+
+def test_many_languages_and_a_long_text_among_short_ones():
+    """150 languages; a text of 300,000 words is not padded with 127 others."""
+    import tracemalloc
+
+    import numpy as np
+
+    from saletrace.llm import language_id
+    r = np.random.default_rng(1)
+    scores = []
+    for n in (0, 1, 7, 40):
+        s = r.normal(0, 0.1, (n, 150)).astype(np.float32)
+        s[:, 140] += 50
+        scores.append(s)
+    paths = language_id.viterbi(scores)
+    assert [set(p.tolist()) for p in paths] == [set(), {140}, {140}, {140}]
+    scores = [r.normal(size=(n, 4)).astype(np.float32) for n in [300_000] + [20] * 127]
+    tracemalloc.start()
+    paths = language_id.viterbi(scores)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [len(p) for p in paths] == [len(s) for s in scores] and peak < 60_000_000
+    alone = language_id.viterbi([scores[5]])
+    assert (paths[5] == alone[0]).all()
