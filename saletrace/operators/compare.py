@@ -91,6 +91,28 @@ def _compare_tagged(both: DataFrame, group: str, count_col: str) -> DataFrame:
     per_key = both.groupBy("_k").agg(
         F.collect_set(F.when(F.col("_old"), F.col("_g"))).alias("_go"),
         F.collect_set(F.when(~F.col("_old"), F.col("_g"))).alias("_gn"))
+    return summed_report(counted(contributions(per_key)), group, count_col)
+
+
+def grouped_sides(run: DataFrame, key: str, group: str) -> DataFrame:
+    """``_k, _go``: the set of groups of each key of one run."""
+    return (run.groupBy(F.col(key).alias("_k"))
+            .agg(F.collect_set(F.struct(F.col(group).alias("g"))).alias("_go")))
+
+
+def joined_sides(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``_k, _go, _gn`` of two runs from ``grouped_sides``, by a full outer
+    join on the key (NULL keys stay apart)."""
+    none = F.array().cast(old.schema["_go"].dataType)
+    n = new.select(F.col("_k").alias("_nk"), F.col("_go").alias("_gn"))
+    return (old.join(n, F.col("_k") == F.col("_nk"), "full_outer")
+            .select(F.coalesce("_k", "_nk").alias("_k"), F.coalesce("_go", none).alias("_go"),
+                    F.coalesce("_gn", none).alias("_gn")))
+
+
+def contributions(per_key: DataFrame, *carry: str) -> DataFrame:
+    """The rows ``c: struct<grp, seg, ov, n>`` each key of ``_k, _go, _gn``
+    adds to the report, with the columns ``carry``."""
     go, gn = F.col("_go"), F.col("_gn")
     known = F.col("_k").isNotNull()
     has_o, has_n = F.size(go) > 0, F.size(gn) > 0
@@ -110,12 +132,19 @@ def _compare_tagged(both: DataFrame, group: str, count_col: str) -> DataFrame:
               _emit(gn, "total_new", F.lit(True), weight=one_if_known),
               _emit(mark, "total_old", known & has_o, True),
               _emit(mark, "total_new", known & has_n, True)]
-    contrib = per_key.select(F.explode(F.concat(*parts)).alias("c"))
-    counts = (contrib.groupBy(F.col("c.grp").alias("grp"), F.col("c.seg").alias("seg"),
-                              F.col("c.ov").alias("ov"))
-              .agg(F.sum("c.n").cast("bigint").alias("n")))
+    return per_key.select(*carry, F.explode(F.concat(*parts)).alias("c"))
+
+
+def counted(contrib: DataFrame, *carry: str) -> DataFrame:
+    return (contrib.groupBy(*carry, F.col("c.grp").alias("grp"), F.col("c.seg").alias("seg"),
+                            F.col("c.ov").alias("ov"))
+            .agg(F.sum("c.n").cast("bigint").alias("n")))
+
+
+def summed_report(counts: DataFrame, group: str, count_col: str) -> DataFrame:
+    """The report from partial counts ``grp, seg, ov, n``."""
     # an empty run still reports its overall total, 0, as a global count does
-    zeros = constant_relation(both.sparkSession,
+    zeros = constant_relation(counts.sparkSession,
                               [(None, "total_old", True, 0), (None, "total_new", True, 0)],
                               "grp string, seg string, ov boolean, n bigint")
     out = counts.unionByName(zeros).groupBy("grp", "seg", "ov").agg(F.sum("n").alias("n"))

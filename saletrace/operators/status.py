@@ -23,6 +23,23 @@ def decom_rollup(events: DataFrame, rules: StatusRules = StatusRules()) -> DataF
                  F.count(F.lit(1)).alias("decom_count")))
 
 
+def merge_decoms(stored: DataFrame, batch: DataFrame,
+                 rules: StatusRules = StatusRules()) -> DataFrame:
+    """The rollup of all events so far from the ``stored`` one and a ``batch``
+    of new events (C9a): least date and count are partial states that merge, so
+    only the batch is aggregated.  A stored table bucketed by ``asset_id``
+    (``sources.versions``) is not shuffled."""
+    fresh = decom_rollup(batch, rules).select(
+        F.col("asset_id").alias("_id"), F.col("decom_date").alias("_date"),
+        F.col("decom_count").alias("_count"))
+    zero = F.lit(0).cast("bigint")
+    return (stored.join(fresh, F.col("asset_id") == F.col("_id"), "full_outer")
+            .select(F.coalesce("asset_id", "_id").alias("asset_id"),
+                    F.least("decom_date", "_date").alias("decom_date"),
+                    (F.coalesce("decom_count", zero) + F.coalesce("_count", zero))
+                    .alias("decom_count")))
+
+
 def reversal_rollup(lines: DataFrame, rebook: DataFrame, quote: DataFrame,
                     rules: StatusRules = StatusRules()) -> DataFrame:
     """``(oli_id, incident_count, incident_number, processed_as)`` (C9b).

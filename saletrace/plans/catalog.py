@@ -16,6 +16,7 @@ from saletrace.operators.assets import enrich_assets, host_keys, unify_sources
 from saletrace.operators.chunks import joined_chunks
 from saletrace.operators.classify import classify_summary
 from saletrace.operators.compare import compare_cuts, compare_snapshots, rank_segments, segments
+from saletrace.operators.disjunctive import Alternative, disjunctive_join
 from saletrace.operators.exclusion import exclude_not_in
 from saletrace.operators.facts import base_product_codes, line_facts, linked_ids
 from saletrace.operators.matching import match_summary, tiered_match
@@ -23,14 +24,16 @@ from saletrace.operators.ordering import with_position
 from saletrace.operators.period import period_change, period_rejects
 from saletrace.operators.profile import profile_columns
 from saletrace.operators.rollups import account_rollup
-from saletrace.operators.status import decom_rollup, line_status, reversal_rollup
+from saletrace.operators.status import decom_rollup, line_status, merge_decoms, reversal_rollup
 from saletrace.plans.materialize import materialize, new_folder, run_folder
+from saletrace.plans.runs import compare_changed, compare_versions, write_run
 from saletrace.session import checkpoint_dir
 from saletrace.sources.fixtures import (
     FIXTURE_CLASSIFY_RULES, FIXTURE_FACT_RULES, FIXTURE_PERIOD_RULES,
     FIXTURE_STATUS_RULES, FIXTURE_TIERS, NEW_RUN_FROM, OLD_RUN_BEFORE, RUN_DOUBLED_AS, RUN_DOUBLED_UNDER,
     RUN_MOVED_OVER, RUN_MOVED_TO, Fixtures)
 from saletrace.sources.io import read_snapshot, write_snapshot
+from saletrace.sources.versions import read_version, write_version
 
 
 # a match key with more rows than this on either side is sliced in the pair
@@ -38,6 +41,9 @@ from saletrace.sources.io import read_snapshot, write_snapshot
 HOT_KEY_ROWS = 1_000_000
 # values in a piece of a rollup list
 ROLLUP_CHUNK = 1000
+# buckets of a written run
+RUN_BUCKETS = 32
+RUN_CORRECTED_DAY = "1998-02-11"
 
 
 class FixtureRun:
@@ -165,11 +171,10 @@ def q_ranked_segments(spark: SparkSession, sf: str) -> DataFrame:
     return rank_segments(_cuts(FixtureRun(spark, sf)))
 
 
-def q_run_compare(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs, written as snapshots and read back, compared.  They differ in
-    lines (cut by close date) and in families: the new run moves large lines
-    to another family and lists small ones under a second one as well."""
-    p = FixtureRun(spark, sf)
+def _two_runs(p: FixtureRun) -> tuple[DataFrame, DataFrame]:
+    """Two runs ``oli_id, family``.  They differ in lines (cut by close date)
+    and in families: the new run moves large lines to another family and lists
+    small ones under a second one as well."""
     m = p.keep(p.summary_plan().select("oli_id", "family", "close_date", "quantity"), "run_lines")
     old = m.where(F.col("close_date") < F.lit(OLD_RUN_BEFORE).cast("date"))
     new = m.where(F.col("close_date") >= F.lit(NEW_RUN_FROM).cast("date"))
@@ -177,12 +182,38 @@ def q_run_compare(spark: SparkSession, sf: str) -> DataFrame:
                            .otherwise(F.col("family")))
     second = (new.where(F.col("quantity") < RUN_DOUBLED_UNDER)
               .withColumn("family", F.lit(RUN_DOUBLED_AS)))
+    return old.select("oli_id", "family"), moved.unionByName(second).select("oli_id", "family")
+
+
+def q_run_compare(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs, written as snapshots and read back, compared."""
     folder = new_folder(spark, run_folder(spark), "runs")
-    for run, df in (("old", old), ("new", moved.unionByName(second))):
-        write_snapshot(df.select("oli_id", "family"), folder, run)
+    for run, df in zip(("old", "new"), _two_runs(FixtureRun(spark, sf))):
+        write_snapshot(df, folder, run)
     return compare_snapshots(read_snapshot(spark, folder, "old"), read_snapshot(spark, folder, "new"))
 
 
+def q_run_compare_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same two runs as bucketed versions, joined bucket by bucket."""
+    folder = new_folder(spark, run_folder(spark), "runs")
+    for run, df in zip(("old", "new"), _two_runs(FixtureRun(spark, sf))):
+        write_run(df, folder, run, buckets=RUN_BUCKETS)
+    return compare_versions(spark, folder, "old", "new")
+
+
+def q_run_compare_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """A run and its late correction (the lines closed on one day move to
+    another family): only buckets that the correction touched are read."""
+    p = FixtureRun(spark, sf)
+    m = p.keep(p.summary_plan().select("oli_id", "family", "close_date"), "run_lines")
+    folder = new_folder(spark, run_folder(spark), "runs")
+    late = F.col("close_date") == F.lit(RUN_CORRECTED_DAY).cast("date")
+    fixed = m.withColumn("family", F.when(late, RUN_MOVED_TO).otherwise(F.col("family")))
+    write_run(m, folder, "old", buckets=RUN_BUCKETS)
+    write_run(fixed, folder, "new", buckets=RUN_BUCKETS)
+    return compare_changed(spark, folder, "old", "new")
+
+
 def q_classify_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The line classes in the order of their ids, numbered."""
     p = FixtureRun(spark, sf)
@@ -193,6 +224,39 @@ def q_decom_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return decom_rollup(Fixtures(spark, sf).decom_event(), FIXTURE_STATUS_RULES)
 
 
+def q_decom_rollup_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The rollup kept as a version, and brought up to date by three batches of
+    events; the stored table is neither shuffled nor aggregated again."""
+    events = Fixtures(spark, sf).decom_event()
+    folder = new_folder(spark, run_folder(spark), "decoms")
+    part = F.pmod(F.coalesce(F.dayofyear("decommissioned_at"), F.lit(0)), F.lit(3))
+    write_version(decom_rollup(events.where(part == 0), FIXTURE_STATUS_RULES), folder, "decoms",
+                  "asset_id", RUN_BUCKETS)
+    for n in (1, 2):
+        merged = merge_decoms(read_version(spark, folder, "decoms"), events.where(part == n),
+                              FIXTURE_STATUS_RULES)
+        write_version(merged, folder, "decoms", "asset_id", RUN_BUCKETS)
+    return read_version(spark, folder, "decoms")
+
+
+def q_reversal_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums over all (line, incident) pairs of an ``OR`` with an ``EXISTS``: a
+    line meets an incident of its opportunity, one through a quote of its
+    opportunity, or one that is numbered after its opportunity."""
+    fx = Fixtures(spark, sf)
+    lines = fx.line_asset().select("oli_id", "opp_id", "quantity", F.concat(
+        F.lit("INC"), F.expr("substring(opp_id, 2)")).alias("named"))
+    quote = fx.quote().select(F.col("id").alias("quote_id"), "opportunity_id")
+    pairs = disjunctive_join(lines, fx.reverse_rebook(), [
+        Alternative([("opp_id", "linked_id")],
+                    right="link_type = 'Opportunity' AND booking_type = 'Reversal'"),
+        Alternative([("opp_id", "opportunity_id")], right="link_type = 'Quote'", through=quote,
+                    to=[("quote_id", "linked_id")]),
+        Alternative([("named", "incident_number")])])
+    return pairs.groupBy("booking_type", "processed_as").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.sum("quantity").alias("quantity"))
+
+
 def q_reversal_rollup(spark: SparkSession, sf: str) -> DataFrame:
     fx = Fixtures(spark, sf)
     return reversal_rollup(fx.line_asset(), fx.reverse_rebook(), fx.quote(), FIXTURE_STATUS_RULES)
@@ -341,8 +405,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_segments": q_snapshot_segments,
     "ranked_segments": q_ranked_segments,
     "run_compare": q_run_compare,
+    "run_compare_versions": q_run_compare_versions,
+    "run_compare_changed": q_run_compare_changed,
     "classify_lines": q_classify_lines,
     "decom_rollup": q_decom_rollup,
+    "decom_rollup_merged": q_decom_rollup_merged,
+    "reversal_pairs": q_reversal_pairs,
     "reversal_rollup": q_reversal_rollup,
     "line_status": q_line_status,
     "status_summary": q_status_summary,
