@@ -14,8 +14,16 @@ in a table of 2 to the ``WEIGHT_BITS`` ranges of hashes whose size does not
 depend on the data, and a token's weight is the logarithm of its range's count.
 The order decides what is compared, never what links.
 
-*Groups.*  Of the classes that share a token, the smallest is the token's
-leader.  Each class is compared with the leader it shares most tokens with;
+*Positions.*  A set of ``n`` with ``i`` tokens before its first common one has
+at most ``n - i`` common tokens, so it links only to sets of up to ``partner_cap``
+tokens.  Of two linked sets the smaller one then has a cap of its own size or
+more: it is *early* in that token.  Two late ones never meet, and a token
+without an early class is dropped.
+
+*Groups.*  Of the classes that share a token, the one in which it stands
+earliest for its size is the token's leader: in a family of near copies the one
+with the fewest tokens of its own.  Each class is compared with the leader it
+shares most tokens with;
 what links is a component, and components, cut in pieces of ``GROUP`` classes,
 are the groups of similar documents.
 
@@ -76,6 +84,12 @@ def needed(n):
     return (PERCENT * n + 99) // 100
 
 
+def partner_cap(n, i):
+    """The most tokens of a set that links to one of ``n`` tokens, if their
+    first common token has ``i`` others before it in the latter (columns)."""
+    return F.floor(((100 + PERCENT) * (n - i) - PERCENT * n) / PERCENT)
+
+
 # ---- token sets ------------------------------------------------------------------
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -425,9 +439,15 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                .select(F.col("s.rid").alias("cls"), F.col("s.id").alias("id"), "d1", "d2", "least"))
     classes = materialize(classes, "set-classes")
     tokens = (prints.select("rid", "n", "first").join(classes.select("cls"), F.col("rid") == F.col("cls"))
-              .select("cls", F.explode("first").alias("token")).repartition("token"))
-    leaders = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("cls").alias("lead")
-                                          ).where("m > 1").select("token", "lead")
+              .select("cls", "n", F.posexplode("first").alias("i", "token"))
+              .select("cls", "token", (F.col("i") / F.col("n")).alias("at"),
+                      partner_cap(F.col("n"), F.col("i")).alias("cap"),
+                      (partner_cap(F.col("n"), F.col("i")) >= F.col("n")).alias("early"))
+              .repartition("token"))
+    leaders = (tokens.groupBy("token")
+               .agg(F.count(F.lit(1)).alias("m"), F.max("early").alias("met"),
+                    F.min(F.struct("at", "cls")).alias("l"))
+               .where("m > 1 and met").select("token", F.col("l.cls").alias("lead")))
     shared = materialize(tokens.join(leaders, "token"), "shared-tokens")
     ids = materialize(shared.select("cls").distinct(), "active-classes")
     hists = prints.select(F.col("rid").alias("cls"), "n", "hist")
@@ -451,17 +471,27 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
               .select("cls", "comp", "size", "n",
                       F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / GROUP)).alias("gs")))
     placed = materialize(placed, "placed-classes")
-    cells = materialize(shared.select("token", "cls").join(placed, "cls"), "token-cells")
+    cells = materialize(shared.select("token", "cls", "cap", "early").join(placed, "cls"),
+                        "token-cells")
     mixed = cells.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where(
         "a != b").select("token")
     cells = materialize(cells.join(mixed, "token"), "mixed-cells")
     matrix = cells.groupBy(F.col("token").alias("t"), F.col("comp").alias("gc"), "gs").agg(
-        F.max("size").alias("gsize"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    asks = sliced_join(cells.drop("gs"), matrix, [("token", "t")], "inner", hot_rows)
+        F.max("size").alias("gsize"), F.min("n").alias("lo"), F.max("n").alias("hi"),
+        F.max("cap").alias("gcap"), F.max("early").alias("gearly"))
     smaller = F.struct("size", "comp") < F.struct(F.col("gsize"), F.col("gc"))
-    fits = (100 * F.col("hi") >= PERCENT * F.col("n")) & (PERCENT * F.col("lo") <= 100 * F.col("n"))
-    asked = materialize(asks.where(smaller & fits).select("gc", "gs", F.col("cls").alias("q"))
-                        .distinct(), "asked-groups")
+    fits = ((100 * F.col("hi") >= PERCENT * F.col("n")) & (PERCENT * F.col("lo") <= 100 * F.col("n"))
+            & (F.col("lo") <= F.col("cap")) & (F.col("n") <= F.col("gcap")))
+
+    def asking(some: DataFrame, rows: DataFrame) -> DataFrame:
+        met = sliced_join(some.drop("gs", "early"), rows.drop("gearly"), [("token", "t")], "inner",
+                          hot_rows)
+        return met.where(smaller & fits).select("gc", "gs", F.col("cls").alias("q"))
+
+    # late askers meet groups with an early member only
+    asked = asking(cells.where("early"), matrix).union(
+        asking(cells.where("not early"), matrix.where("gearly")))
+    asked = materialize(asked.distinct(), "asked-groups")
     members = placed.select(F.col("comp").alias("gc"), "gs", "cls")
     asked = open_questions(asked, members, hists)
     more = _concerned(asked, members).join(sets.select("cls"), "cls", "left_anti")
