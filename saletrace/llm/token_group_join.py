@@ -76,6 +76,7 @@ GROUP, QUERIES = 64, 256
 #: less selective
 MAP_BITS = 26
 _SLICE_BYTES = 1 << 22
+_PLACES = 1 << 31
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -440,14 +441,17 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = materialize(classes, "set-classes")
     tokens = (prints.select("rid", "n", "first").join(classes.select("cls"), F.col("rid") == F.col("cls"))
               .select("cls", "n", F.posexplode("first").alias("i", "token"))
-              .select("cls", "token", (F.col("i") / F.col("n")).alias("at"),
-                      partner_cap(F.col("n"), F.col("i")).alias("cap"),
-                      (partner_cap(F.col("n"), F.col("i")) >= F.col("n")).alias("early"))
+              # one number for both, as all tokens of all first lists are shuffled
+              .select("cls", "token", (F.col("n") * _PLACES + F.col("i")).alias("place"))
               .repartition("token"))
+    n, i = F.shiftright("place", 31), F.col("place").bitwiseAND(_PLACES - 1)
+    cap = partner_cap(n, i)
+    # earliest for its size; ties go to the same class in every token
+    earliest = F.floor(i * 1000 / n) * (1 << 40) + F.xxhash64("cls").bitwiseAND((1 << 40) - 1)
     leaders = (tokens.groupBy("token")
-               .agg(F.count(F.lit(1)).alias("m"), F.max("early").alias("met"),
-                    F.min(F.struct("at", "cls")).alias("l"))
-               .where("m > 1 and met").select("token", F.col("l.cls").alias("lead")))
+               .agg(F.count(F.lit(1)).alias("m"), F.max(cap >= n).alias("met"),
+                    F.min_by("cls", earliest).alias("lead"))
+               .where("m > 1 and met").select("token", "lead"))
     shared = materialize(tokens.join(leaders, "token"), "shared-tokens")
     ids = materialize(shared.select("cls").distinct(), "active-classes")
     hists = prints.select(F.col("rid").alias("cls"), "n", "hist")
@@ -471,8 +475,8 @@ def linked_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
               .select("cls", "comp", "size", "n",
                       F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / GROUP)).alias("gs")))
     placed = materialize(placed, "placed-classes")
-    cells = materialize(shared.select("token", "cls", "cap", "early").join(placed, "cls"),
-                        "token-cells")
+    placements = shared.select("token", "cls", cap.alias("cap"), (cap >= n).alias("early"))
+    cells = materialize(placements.join(placed, "cls"), "token-cells")
     mixed = cells.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where(
         "a != b").select("token")
     cells = materialize(cells.join(mixed, "token"), "mixed-cells")
