@@ -159,10 +159,13 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size, seen = [], 0, set()
 
     def counted() -> pa.RecordBatch:
-        token, n = np.unique(np.concatenate(held), return_counts=True)
-        twice = n > 1
-        return pa.RecordBatch.from_arrays([pa.array(token[twice].view(np.int64)),
-                                           pa.array(n[twice].astype(np.int64))], ["token", "n"])
+        block = np.concatenate(held)
+        held.clear()
+        block.sort()
+        # all but the first of each run; only these few are copied
+        token, n = np.unique(block[1:][block[1:] == block[:-1]], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)),
+                                           pa.array(n.astype(np.int64) + 1)], ["token", "n"])
     for batch in batches:
         for tokens in _sets(batch.column(0)):
             digest = set_digest(tokens)
@@ -172,7 +175,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size += len(tokens)
             if size > BLOCK_TOKENS:
                 yield counted()
-                held, size, seen = [], 0, set()
+                size, seen = 0, set()
     if held:
         yield counted()
 
