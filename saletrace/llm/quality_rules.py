@@ -6,23 +6,32 @@ they reject at most ``alpha`` of the good documents that pass the fixed rules.
 The bound is on the cutoffs alone: good documents that the fixed rules reject
 come on top, and are not bounded.
 
-1. *Propose*: the labelled good documents of one fold give, per stratum, a
-   ladder of cutoffs, from the largest value seen times a margin (strictest
-   about rejecting) down to lower quantiles.  A rung fixes the cutoffs of all
-   metrics at once.
-2. *Certify*: on the other fold, a rung's false rejections k of n good
-   documents (of those that pass the fixed rules) give an exact (Clopper-Pearson) upper bound.  The rungs are
-   tested in order, and the first whose bound exceeds ``alpha`` ends the
-   ladder (fixed-sequence testing); the confidence ``delta`` is divided by
-   the number of strata (Bonferroni), so all selected rungs hold together
-   with probability ``1 - delta``.
-
-A stratum without enough labels to certify its first rung keeps the fixed
-rules only.  All labels are used; nothing is sampled.
-
-Defined results.  Null or empty text: no words, so the base rule fails.  Null
-language: a stratum of its own.  Conflicting labels of one id: that id is not
-used.  Repeated rows: one result row each.  No labels: base rules alone.
+1. *Ladder*: ``RUNGS`` sets of cutoffs, fixed in advance, from ``LOOSE`` to
+   ``STRICT`` in equal ratios.  No document shapes them, so every label is
+   held out.  A rung fixes the cutoffs of all metrics at once, and rejects
+   whatever a looser one does.
+2. *Certify*: a rung's false rejections k of a stratum's n good documents (of
+   those that pass the fixed rules) give an exact (Clopper-Pearson) upper
+   bound.  Rungs are tested from the loosest on, and the first whose bound
+   exceeds ``alpha`` ends the ladder (fixed-sequence testing).  The error
+   level ``delta`` is divided by the number of strata that could be certified
+   at all; a stratum at the end of its ladder hands its level to those still
+   open, in equal parts (a sequentially rejective graph, Bretz et al. 2009).
+   All selected rungs hold together with probability ``1 - delta``.
+
+With no false rejection a rung needs ``log(level) / log(1 - alpha)`` good
+labelled documents: 299 at alpha 0.01 and level 0.05, 436 at a quarter of
+that.  A stratum whose labels cannot certify its first rung keeps the fixed
+rules only.  All labels are used; nothing is sampled.  The driver is handed
+one row of counts per stratum with at least as many labels as level ``delta``
+needs.
+
+Defined results.  Null or empty text: no words, so the base rule fails.  Very
+long text: counted whole.  Null language: a stratum of its own, apart from
+the empty string's.  Conflicting labels of one id: that id is not used.
+Repeated rows: one result row each.  A share equal to its cutoff passes.  No
+labels: base rules alone.  No documents: no rows.  Further columns, whatever
+their names, are not looked at; ``keep_good`` returns them unchanged.
 """
 
 from __future__ import annotations
@@ -30,13 +39,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, materialize, packed, slices, unpacked
+from .common import materialize, packed, slices, unpacked
 from .textstats import FIELDS, text_stats
 
 #: name -> (numerator, denominator); rejected when the share exceeds the cutoff
@@ -50,8 +58,15 @@ METRICS = {
     "exclaim_share": ("n_exclaim", "word_chars"),
     "digit_share": ("n_digits", "word_chars"),
 }
-#: The ladder, most cautious first: (quantile of the good documents, factor).
-LADDER = ((1.0, 1.5), (1.0, 1.1), (0.9995, 1.0), (0.999, 1.0), (0.998, 1.0), (0.995, 1.0))
+#: Cutoffs of the first and the last rung, by metric: round figures set by
+#: hand, from "mostly symbols, or mostly one word" to the usual limits.
+LOOSE = {"symbols_per_char": 0.5, "dup_line_share": 0.9, "repeat_word_share": 0.3,
+         "adjacent_share": 0.5, "top_word_share": 0.5, "upper_share": 0.9,
+         "exclaim_share": 0.5, "digit_share": 0.6}
+STRICT = {"symbols_per_char": 0.1, "dup_line_share": 0.5, "repeat_word_share": 0.3,
+          "adjacent_share": 0.1, "top_word_share": 0.2, "upper_share": 0.3,
+          "exclaim_share": 0.1, "digit_share": 0.3}
+RUNGS = 6
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 _STRUCT = T.StructType([T.StructField(f, T.LongType()) for f in FIELDS])
 
@@ -108,57 +123,62 @@ def _clean_labels(labels: DataFrame) -> DataFrame:
             .filter("lo = hi").select("id", F.col("lo").alias("quality")))
 
 
+def ladder() -> list[list[float]]:
+    """The cutoffs of each rung, in the order of ``METRICS``."""
+    return [[LOOSE[m] * (STRICT[m] / LOOSE[m]) ** (j / (RUNGS - 1)) for m in METRICS]
+            for j in range(RUNGS)]
+
+
+def certify(counts: dict[str | None, tuple[int, list[int]]], alpha: float,
+            delta: float) -> dict[str | None, tuple[int, float, float]]:
+    """``counts``: per stratum, n and the false rejections of each rung.
+    Returns, per stratum with one, the last certified rung, its bound and the
+    level it was tested at."""
+    names = sorted(counts, key=lambda s: (s is not None, s or ""))
+    level = {s: delta / len(names) for s in names}
+    passed, best = dict.fromkeys(names, 0), {}
+    still_open, moved = list(names), True
+    while moved:
+        moved = False
+        for s in list(still_open):
+            n, wrong = counts[s]
+            while passed[s] < len(wrong):
+                bound = binomial_upper(wrong[passed[s]], n, level[s])
+                if bound > alpha:
+                    break
+                best[s] = (passed[s], bound, level[s])
+                passed[s] += 1
+            if passed[s] == len(wrong):
+                still_open.remove(s)
+                for other in still_open:
+                    level[other] += level[s] / len(still_open)
+                moved = True
+    return best
+
+
 def fit_thresholds(measured: DataFrame, labels: DataFrame, alpha: float = 0.01,
                    delta: float = 0.05) -> DataFrame:
-    """``(stratum, cutoffs array<double>, bound)`` for each stratum with a
-    certified rung.  ``measured``: ``id, stratum, s`` (the statistics)."""
+    """``(stratum, cutoffs array<double>, bound, rung, level)`` for each
+    stratum with a certified rung.  ``measured``: ``id, stratum, s`` (the
+    statistics)."""
+    rungs = ladder()
     good = (measured.join(_clean_labels(labels).filter("quality = 1"), "id")
-            .filter(~base_failed())
-            .select("stratum", metric_array().alias("m"), fold(F.col("id"), 2).alias("f")))
-    good = materialize(good, "good")
-    names = list(METRICS)
-    quantiles = sorted({q for q, _ in LADDER if q < 1})
-    proposed = good.filter("f = 0").groupBy("stratum").agg(
-        *[F.max(F.col("m")[i]).alias(f"max{i}") for i in range(len(names))],
-        *[F.percentile_approx(F.col("m")[i], quantiles, 100_000).alias(f"q{i}")
-          for i in range(len(names))])
-    rungs = F.array(*[F.array(*[
-        (F.col(f"max{i}") if q == 1 else F.col(f"q{i}")[quantiles.index(q)]) * f + F.lit(1e-9)
-        for i in range(len(names))]) for q, f in LADDER])
-    ladder = proposed.select("stratum", rungs.alias("rungs"))
-    # each good document of the other fold, against every rung of its stratum
-    rejects = [F.sum(F.exists(F.arrays_zip(F.col("m"), F.col("rungs")[j].alias("c")),
+            .filter(~base_failed()).select("stratum", metric_array().alias("m")))
+    rejects = [F.sum(F.exists(F.arrays_zip(F.col("m"), F.array(*map(F.lit, rung)).alias("c")),
                               lambda x: x["m"] > x["c"]).cast("bigint")).alias(f"k{j}")
-               for j in range(len(LADDER))]
-    counted = (good.filter("f = 1").join(ladder, "stratum").groupBy("stratum")
-               .agg(F.count(F.lit(1)).alias("n"), F.first("rungs").alias("rungs"), *rejects))
-
-    strata = max(1, good.select("stratum").distinct().count())
-
-    def certify(batches):
-        for pdf in batches:
-            out = {"stratum": [], "cutoffs": [], "bound": [], "rung": []}
-            for r in pdf.to_dict("records"):
-                best, bound = None, None
-                for j in range(len(LADDER)):
-                    ub = binomial_upper(int(r[f"k{j}"]), int(r["n"]), delta / strata)
-                    if ub > alpha:
-                        break
-                    best, bound = j, ub
-                if best is not None:
-                    out["stratum"].append(r["stratum"])
-                    out["cutoffs"].append(list(r["rungs"][best]))
-                    out["bound"].append(bound)
-                    out["rung"].append(best)
-            if out["rung"]:
-                yield pd.DataFrame(out)
-
-    return materialize(counted.mapInPandas(
-        certify, "stratum string, cutoffs array<double>, bound double, rung bigint"), "cutoffs")
+               for j, rung in enumerate(rungs)]
+    fewest = math.ceil(math.log(delta) / math.log1p(-alpha))
+    rows = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *rejects).filter(
+        F.col("n") >= fewest).collect()
+    best = certify({r.stratum: (r.n, [r[f"k{j}"] for j in range(RUNGS)]) for r in rows},
+                   alpha, delta) if rows else {}
+    return measured.sparkSession.createDataFrame(
+        [(s, rungs[j], bound, j, level) for s, (j, bound, level) in best.items()],
+        "stratum string, cutoffs array<double>, bound double, rung int, level double")
 
 
 def stratum(docs: DataFrame, lang_col: str | None):
-    return F.coalesce(docs[lang_col].cast("string"), F.lit("")) if lang_col else F.lit("")
+    return docs[lang_col].cast("string") if lang_col else F.lit("")
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -174,7 +194,7 @@ def judge(measured: DataFrame, thresholds: DataFrame) -> DataFrame:
     ``s``.  One row per stratum is joined on; skew in the strata is no matter
     where that side is broadcast, and split by AQE where it is not."""
     cut = thresholds.select(F.col("stratum").alias("_stratum"), F.col("cutoffs").alias("_cut"))
-    joined = measured.join(cut, measured["stratum"] == cut["_stratum"], "left")
+    joined = measured.join(cut, measured["stratum"].eqNullSafe(cut["_stratum"]), "left")
     beyond = F.coalesce(F.exists(F.arrays_zip(metric_array().alias("m"), F.col("_cut").alias("c")),
                                  lambda x: x["m"] > x["c"]), F.lit(False))
     return (joined.withColumn("base_failed", base_failed())

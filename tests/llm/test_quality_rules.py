@@ -67,15 +67,63 @@ def test_risk_is_controlled(spark, make_docs, prose):
     kept = {r.id: r.kept for r in q.judge(measured, q.fit_thresholds(measured, labels, 0.02)).collect()}
     assert sum(not kept[i] for i, *_ in good) <= 0.02 * len(good)
     assert not any(kept[i] for i, *_ in junk)
-    # the certified rung, by brute force on the same folds
+    # the certified rungs, by brute force on all labels: each one up to the
+    # last holds at the level it was tested at
     stats = {r.id: (r.stratum, r.m) for r in
              measured.filter(~q.base_failed()).select("id", "stratum", q.metric_array().alias("m"))
              .collect()}
-    folds = {r.id: r.f for r in measured.select("id", q.fold(F.col("id"), 2).alias("f")).collect()}
     for name, row in cut.items():
-        own = [i for i, _, x in good if x == name and i in stats and folds[i] == 1]
+        own = [i for i, _, x in good if x == name and i in stats]
         wrong = sum(any(a > b for a, b in zip(stats[i][1], row.cutoffs)) for i in own)
-        assert q.binomial_upper(wrong, len(own), 0.05 / 2) == pytest.approx(row.bound)
+        assert q.binomial_upper(wrong, len(own), row.level) == pytest.approx(row.bound)
+        assert list(row.cutoffs) == q.ladder()[row.rung] and row.level >= 0.05 / 2
+
+
+def test_ladder_is_nested():
+    rungs = q.ladder()
+    assert rungs[0] == [q.LOOSE[m] for m in q.METRICS]
+    assert rungs[-1] == pytest.approx([q.STRICT[m] for m in q.METRICS])
+    assert all(a >= b for x, y in zip(rungs, rungs[1:]) for a, b in zip(x, y))
+
+
+def test_levels_are_handed_on():
+    """311 documents cannot be certified at a quarter of the level, but can at
+    the whole of it, which three finished strata hand over."""
+    done, small = (500, [0] * 6), (311, [0] * 6)
+    best = q.certify({"a": done, "b": done, None: done, "d": small}, 0.01, 0.05)
+    assert {s: j for s, (j, *_) in best.items()} == {"a": 5, "b": 5, None: 5, "d": 5}
+    assert best["d"][2] == pytest.approx(0.05)
+    best = q.certify({"a": done, "b": (500, [0, 0, 9, 9, 9, 9]), "c": done, "d": small}, 0.01, 0.05)
+    assert {s: j for s, (j, *_) in best.items()} == {"a": 5, "b": 1, "c": 5}
+    assert q.certify({"d": (298, [0] * 6)}, 0.01, 0.05) == {}
+
+
+def test_family_error_is_bounded():
+    """Strata whose last rung rejects just over ``alpha``: it may be certified
+    in any of them in at most ``delta`` of the trials."""
+    r = random.Random(3)
+    alpha, delta, trials, wrong = 0.02, 0.1, 400, 0
+    for _ in range(trials):
+        counts = {}
+        for s in "abc":
+            late = sum(r.random() < alpha * 1.001 for _ in range(400))
+            counts[s] = (400, [0, late])
+        wrong += any(j == 1 for j, *_ in q.certify(counts, alpha, delta).values())
+    assert wrong <= trials * (delta + 3 * math.sqrt(delta * (1 - delta) / trials))
+
+
+def test_null_language_is_its_own_stratum(spark, prose):
+    rows = [(i, prose(60 + i % 9, i), None if i % 2 else "") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, *_ in rows], "doc_id bigint, quality int")
+    measured = q.measure(docs)
+    cut = q.fit_thresholds(measured, labels)
+    assert {r.stratum for r in cut.collect()} <= {None, ""} and cut.count() == 2
+    assert q.judge(measured, cut).count() == 800
+    # levels of one stratum say nothing about the other
+    only = q.judge(measured, cut.filter("stratum is null").withColumn(
+        "cutoffs", F.expr("transform(cutoffs, x -> -1D)")))
+    assert {(r.stratum, r.kept) for r in only.collect()} == {(None, False), ("", True)}
 
 
 def test_operator_on_odd_rows(spark, make_docs, odd_rows):
