@@ -6,9 +6,15 @@ begin; the longest that fits decides.
 *Mining.*  URLs that a curated rule decides are the labelled ones.  Each
 becomes a set of tokens (domain labels, path segments, file ending, query
 keys, scheme) plus its verdict, and Spark's FP-growth finds the frequent
-combinations.  A combination implies ``block`` if its confidence reaches
-``CONFIDENCE`` at ``SUPPORT``; one whose subset already does so with at least
-the same confidence is pruned.
+combinations: those in a share ``SUPPORT`` of the labelled URLs, and in
+``LEAST`` of them.  A combination implies ``block`` if the lower bound (Wilson
+score, one-sided 95 %) of its confidence reaches ``CONFIDENCE``; one whose
+subset already does so with at least the same confidence is pruned.
+
+*Tokens alike.*  Tokens that stand in the very same labelled URLs say the same
+thing, and a score of them would make a million combinations.  One of them is
+mined for all; a rule then asks for any token of the class.  Nothing is lost:
+that is the set of rules which name one token of each class.
 
 *Matching.*  Each mined rule is indexed under its rarest token.  Every other
 URL looks up its tokens in that inverted index (a join) and the rules found
@@ -20,8 +26,11 @@ Support is a share of the labelled URLs, so the frequent tokens number at
 most tokens per URL / ``SUPPORT``, at any size of the input.
 
 Defined results.  Null URL, or one without ``://``: host and path empty, no
-rule, allowed.  Null ids and repeated rows are carried through.  No labelled
-URLs: no mined rules.
+rule, allowed.  Null ids and repeated rows are carried through.  Very long
+URL: split whole.  Ties: of two curated rules that fit, the longer one
+decides, and no two of one length fit the same URL; equally rare tokens of a
+mined rule are ordered by name.  Fewer than ``LEAST`` labelled URLs: no mined
+rules.  No pages: no rows.  Further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -37,7 +46,9 @@ from .common import materialize
 #: fixed curated rules: verdict, host, path
 CURATED = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
            ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-SUPPORT, CONFIDENCE = 0.01, 0.9
+SUPPORT, CONFIDENCE, LEAST = 0.01, 0.9, 20
+#: one-sided 95 % of the normal distribution
+Z = 1.6448536269514722
 SPREAD = 256
 _BLOCK, _ALLOW = "verdict=block", "verdict=allow"
 
@@ -91,31 +102,59 @@ def judged_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                          F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
 
 
-def mine_rules(labelled: DataFrame, support: float = SUPPORT,
-               confidence: float = CONFIDENCE) -> DataFrame:
+def lower_bound(confidence: Column, n: Column) -> Column:
+    """Wilson score lower bound of a share ``confidence`` of ``n`` cases."""
+    spread = F.sqrt(confidence * (1 - confidence) / n + Z * Z / (4 * n * n))
+    return (confidence + Z * Z / (2 * n) - Z * spread) / (1 + Z * Z / n)
+
+
+def curated_tokens(rules: Sequence[tuple[str, str, str]]) -> list[list[str]]:
+    """The tokens that each blocking curated rule spells."""
+    return [[f"host:{x}" for x in host.split(".") if x] + [f"path:{x}" for x in path.split("/") if x]
+            for verdict, host, path in rules if verdict == "block"]
+
+
+def mine_rules(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE,
+               least: int = LEAST, curated: Sequence[tuple[str, str, str]] = CURATED) -> DataFrame:
     """``labelled``: ``tokens, verdict``.  Returns the pruned rules that imply
-    ``block``: ``tokens`` (sorted), ``anchor`` (the rarest), ``confidence,
-    support``."""
+    ``block``: ``tokens`` (sorted, one of each class), ``alike`` (the tokens of
+    each one's class), ``anchor`` (the rarest), ``confidence, support, bound``
+    and ``repeats`` (whether one curated rule spells a token of each class)."""
     spark = labelled.sparkSession
-    empty = "tokens array<string>, anchor string, confidence double, support double"
+    empty = ("tokens array<string>, alike array<array<string>>, anchor string, confidence double, "
+             "support double, bound double, repeats boolean")
     baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("verdict="), "verdict")))
                               .alias("items"))
     # tokens under the support can be in no rule; dropping them first keeps
     # page numbers and the like out of the pattern trees
     total = baskets.count()
-    if not total:
+    if total < max(least, 1):
         return spark.createDataFrame([], empty)
-    counts = materialize(baskets.select(F.explode("items").alias("token")).groupBy("token").count()
+    support = max(support, least / total)
+    # 31 bits of a basket, so that sums of them stay within a long
+    marks = [F.pmod(F.xxhash64("items", F.lit(seed)), F.lit(1 << 31)).alias(f"h{seed}")
+             for seed in (1, 2)]
+    counts = materialize(baskets.select(F.explode("items").alias("token"), *marks)
+                         .groupBy("token").agg(F.count(F.lit(1)).alias("count"),
+                                               F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
                          .filter(F.col("count") >= support * total), "frequent-tokens")
-    frequent = [r.token for r in counts.select("token").collect()]
-    known = F.array(*[F.lit(t) for t in sorted(frequent)])
+    classes: dict[tuple, list[str]] = {}
+    for r in counts.collect():
+        own = r.token if r.token in (_BLOCK, _ALLOW) else None
+        classes.setdefault((own, r["count"], r.h1, r.h2), []).append(r.token)
+    members = {min(c): sorted(c) for c in classes.values()}
+    if not members:
+        return spark.createDataFrame([], empty)
+    known = F.array(*[F.lit(t) for t in sorted(members)])
     trimmed = baskets.select(F.array_intersect("items", known).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(trimmed)
+    cases = F.round(F.col("support") * total / F.col("confidence"))
     found = materialize(model.associationRules
                         .filter((F.size("consequent") == 1) & (F.col("consequent")[0] == _BLOCK)
                                 & ~F.array_contains("antecedent", _ALLOW))
-                        .select(F.sort_array("antecedent").alias("tokens"), "confidence", "support"),
-                        "mined-rules")
+                        .select(F.sort_array("antecedent").alias("tokens"), "confidence", "support",
+                                lower_bound(F.col("confidence"), cases).alias("bound"))
+                        .filter(F.col("bound") >= confidence), "mined-rules")
     # prune by a more general rule: compared through each rule's tokens
     general = found.select(F.col("tokens").alias("g"), F.col("confidence").alias("c"),
                            F.col("tokens")[0].alias("first"))
@@ -127,8 +166,15 @@ def mine_rules(labelled: DataFrame, support: float = SUPPORT,
     rarest = (pruned.select("tokens", F.explode("tokens").alias("token")).join(counts, "token")
               .groupBy("tokens").agg(F.min(F.struct("count", "token")).alias("m"))
               .select("tokens", F.col("m.token").alias("anchor")))
+    of_class = F.create_map(*[x for t in sorted(members)
+                              for x in (F.lit(t), F.array(*map(F.lit, members[t])))])
+    repeats = F.lit(False)
+    for spelled in [F.array(*map(F.lit, s)) for s in curated_tokens(curated)]:
+        repeats = repeats | F.forall("alike", lambda c: F.arrays_overlap(c, spelled))  # noqa: B023
     return materialize(pruned.join(rarest, "tokens")
-                       .select("tokens", "anchor", "confidence", "support"), "url-rules")
+                       .withColumn("alike", F.transform("tokens", lambda t: of_class[t]))
+                       .select("tokens", "alike", "anchor", "confidence", "support", "bound",
+                               repeats.alias("repeats")), "url-rules")
 
 
 def match_rules(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
@@ -143,16 +189,19 @@ def match_rules(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
 
 def url_verdicts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                  rules: Sequence[tuple[str, str, str]] = CURATED, support: float = SUPPORT,
-                 confidence: float = CONFIDENCE) -> DataFrame:
+                 confidence: float = CONFIDENCE, least: int = LEAST) -> DataFrame:
     """The id, ``host, path, rule, verdict`` of every page, and the
     ``confidence`` of the mined rule that blocked it, if one did."""
     judged = materialize(judged_urls(pages, id_col, url_col, rules), "urls")
     mined = mine_rules(judged.filter("rule is not null").select("tokens", "verdict"),
-                       support, confidence)
-    used = [r.token for r in mined.select(F.explode("tokens").alias("token")).distinct().collect()]
-    known = F.array(*[F.lit(t) for t in sorted(used)]) if used else F.array().cast("array<string>")
-    signed = judged.withColumn("sign", F.when(F.col("rule").isNull(), F.sort_array(
-        F.array_intersect("tokens", known))))
+                       support, confidence, least, rules)
+    used = mined.select(F.explode(F.arrays_zip("tokens", "alike")).alias("x")).select(
+        "x.tokens", F.explode("x.alike").alias("token")).distinct().collect()
+    # the tokens that occur in rules, each as the one mined for its class
+    named = F.create_map(*[F.lit(v) for r in sorted(used) for v in (r.token, r.tokens)]) if used \
+        else F.lit(None).cast("map<string,string>")
+    signed = judged.withColumn("sign", F.when(F.col("rule").isNull(), F.sort_array(F.array_distinct(
+        F.filter(F.transform("tokens", lambda t: named[t]), lambda t: t.isNotNull())))))
     sets = signed.filter(F.size("sign") > 0).select(F.col("sign").alias("tokens")).distinct()
     hits = match_rules(sets, mined).select(F.col("tokens").alias("sign"), "confidence")
     # many URLs share a set (and those a curated rule decides have none), so

@@ -1,4 +1,5 @@
 import itertools
+import math
 import random
 
 from saletrace.llm import url_rules
@@ -53,24 +54,59 @@ def test_mined_rules_equal_brute_force(spark):
             for _ in range(400)] + [f"http://x.net/{p}/{k}" for p in ("de", "es", "en") for k in range(9)]
     judged = url_rules.judged_urls(pages(spark, urls)).collect()
     known = [(frozenset(x.tokens), x.verdict) for x in judged if x.rule]
-    support, confidence = 0.05, 0.8
-    items = sorted({t for s, _ in known for t in s
-                    if sum(t in u for u, _ in known) >= support * len(known)})
+    support, confidence, least = 0.05, 0.8, 20
+    fewest = max(support * len(known), least)
+
+    def bound(k, n, z=1.6448536269514722):
+        p = k / n
+        return ((p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n)))
+                / (1 + z * z / n))
+
+    items = sorted({t for s, _ in known for t in s if sum(t in u for u, _ in known) >= fewest})
     found = {}
     for k in range(1, 8):
         for c in itertools.combinations(items, k):
             c = frozenset(c)
             hit = [v for s, v in known if c <= s]
             block = hit.count("block")
-            if block >= support * len(known) and block / len(hit) >= confidence:
+            if block >= fewest and bound(block, len(hit)) >= confidence:
                 found[c] = block / len(hit)
     want = {c for c in found if not any(d < c and found[d] >= found[c] for d in found)}
     labelled = url_rules.judged_urls(pages(spark, urls)).filter("rule is not null")
     mined = url_rules.mine_rules(labelled.select("tokens", "verdict"), support, confidence).collect()
-    assert {frozenset(x.tokens) for x in mined} == want and want
+    # a rule stands for every choice of one token from each of its classes
+    stated = [frozenset(c) for x in mined for c in itertools.product(*x.alike)]
+    assert len(stated) == len(set(stated)) and set(stated) == want and want
+    assert all(x.bound >= confidence and x.support * len(known) >= least - 1e-6 for x in mined)
+    spelled = [set(c) for c in url_rules.curated_tokens(url_rules.CURATED)]
+    assert {frozenset(x.tokens): x.repeats for x in mined} == {
+        frozenset(x.tokens): any(all(set(c) & s for c in x.alike) for s in spelled) for x in mined}
     out = url_rules.url_verdicts(pages(spark, urls), support=support, confidence=confidence).collect()
     tokens = sorted((x.host, x.path, x.rule is None, any(c <= set(x.tokens) for c in want))
                     for x in judged)
     got = sorted((x.host, x.path, x.rule is None, x.verdict == "block" if x.rule is None else False)
                  for x in out)
     assert [t[:3] + (t[3] and t[2],) for t in tokens] == got
+
+
+def test_tokens_that_always_meet_are_one(spark):
+    """Thirty tokens of the same URLs would be a thousand million
+    combinations; any one of them blocks, on an undecided host too."""
+    query = "&".join(f"k{i}=1" for i in range(30))
+    urls = [f"http://a.com/de/{i}?{query}" for i in range(40)]
+    urls += [f"http://a.org/x/{i}" for i in range(40)]
+    urls += ["http://z.net/y?k7=2", "http://z.net/y?q=2"]
+    out = {r.page_id: r.verdict for r in url_rules.url_verdicts(spark.createDataFrame(
+        list(enumerate(urls)), "page_id bigint, url string")).collect()}
+    assert out[80] == "block" and out[81] == "allow"
+
+
+def test_no_rule_from_few_urls(spark):
+    """Nineteen blocked URLs, all alike, are too few for a rule; so are 24,
+    whose confidence is not yet bounded by 0.9; 25 are enough."""
+    for n, verdict in ((19, "allow"), (24, "allow"), (25, "block")):
+        urls = [f"http://a.com/de/{i}?bad=1" for i in range(n)]
+        urls += [f"http://a.org/x/{i}" for i in range(60)] + ["http://z.net/y?bad=1"]
+        out = url_rules.url_verdicts(spark.createDataFrame(
+            list(enumerate(urls)), "page_id bigint, url string")).collect()
+        assert {r.verdict for r in out if r.host == "z.net"} == {verdict}, n
