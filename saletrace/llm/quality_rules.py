@@ -172,9 +172,10 @@ def fit_thresholds(measured: DataFrame, labels: DataFrame, alpha: float = 0.01,
         F.col("n") >= fewest).collect()
     best = certify({r.stratum: (r.n, [r[f"k{j}"] for j in range(RUNGS)]) for r in rows},
                    alpha, delta) if rows else {}
-    return measured.sparkSession.createDataFrame(
+    # written, so that Spark knows their size where they are joined
+    return materialize(measured.sparkSession.createDataFrame(
         [(s, rungs[j], bound, j, level) for s, (j, bound, level) in best.items()],
-        "stratum string, cutoffs array<double>, bound double, rung int, level double")
+        "stratum string, cutoffs array<double>, bound double, rung int, level double"), "cutoffs")
 
 
 def stratum(docs: DataFrame, lang_col: str | None):
