@@ -26,7 +26,9 @@ is lost either way.
 Defined results.  Null or empty text: fingerprint zero, linked like any
 other.  Null id: such a row takes part; the component's id is the smallest
 id that is not null, or null if there is none.  Repeated rows: one result row
-each.
+each.  Very long text: fingerprinted whole, in blocks.  No documents: no rows.
+Further columns, whatever their names, are not looked at; ``keep_one`` returns
+them unchanged.
 """
 
 from __future__ import annotations
@@ -200,20 +202,26 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, or
-    any one where the component has no id (or repeats the row)."""
-    rows = id_and_text(docs, id_col, text_col)
-    prints = materialize(rows.select("id", fingerprint_udf("text").alias("fp")), "fingerprints")
-    groups = group_prints(prints)
-    fp = fingerprint_udf(F.coalesce(docs[text_col], F.lit("")))
-    firsts = groups.filter("component_id is not null").select(
-        F.col("component_id").alias("id"), "fp", "root")
-    # an id may stand on several texts: the row is that of the component's own
-    kept = packed(docs, id=docs[id_col].cast("bigint"), fp=fp).join(
-        firsts, ["id", "fp"]).dropDuplicates(["root"])
-    bare = docs.filter(docs[id_col].isNull())
-    loose = packed(bare, fp=fingerprint_udf(F.coalesce(bare[text_col], F.lit("")))).join(
-        groups.filter("component_id is null").select("fp", "root"), "fp").dropDuplicates(["root"])
-    return unpacked(kept, docs).union(unpacked(loose, bare))
+    any one where the component has no id (or repeats the row).
+
+    Rows are written once with their fingerprint and a number, which stays
+    theirs from then on.  Survivors are picked by number alone, so no text is
+    fingerprinted twice.  Texts meet the survivors' numbers in one semi join,
+    always by a merge on the number, which no two rows share: its cost is that
+    of one shuffle of the texts at every size."""
+    text = F.coalesce(docs[text_col], F.lit(""))
+    rows = materialize(packed(docs, number=F.monotonically_increasing_id(),
+                              id=docs[id_col].cast("bigint"), fp=fingerprint_udf(text)), "numbered")
+    prints = rows.select("number", "id", "fp")
+    groups = group_prints(prints.select("id", "fp"))
+    # an id may stand on several texts: the row is that of the component's own;
+    # copies are reduced to one row before any join
+    own = prints.groupBy("fp").agg(
+        F.min(F.struct(F.col("id").isNull().alias("bare"), "id", "number")).alias("least"))
+    survivors = own.join(groups.select("fp", "root"), "fp").groupBy("root").agg(
+        F.min("least").alias("least"))
+    survivors = materialize(survivors.select("least.number"), "survivors")
+    return unpacked(rows.join(survivors.hint("merge"), "number", "left_semi"), docs)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
