@@ -75,7 +75,7 @@ GROUP, QUERIES = 64, 256
 #: bits of the map of ids whose sets are wanted (8 MB); more ids only make it
 #: less selective
 MAP_BITS = 26
-_SLICE_BYTES = 1 << 22
+_SLICE_BYTES = 1 << 20
 _PLACES = 1 << 31
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,14 +156,15 @@ def set_digest(tokens: np.ndarray) -> bytes:
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Tokens in two sets or more of a block, with how many."""
-    held, size, seen = [], 0, set()
+    # one buffer for all blocks: small arrays held by the thousand would leave
+    # the worker's memory in pieces, and joining them would double it
+    block, size, seen = np.empty(BLOCK_TOKENS + BLOCK_TOKENS // 16, np.uint64), 0, set()
 
     def counted() -> pa.RecordBatch:
-        block = np.concatenate(held)
-        held.clear()
-        block.sort()
+        held = block[:size]
+        held.sort()
         # all but the first of each run; only these few are copied
-        token, n = np.unique(block[1:][block[1:] == block[:-1]], return_counts=True)
+        token, n = np.unique(held[1:][held[1:] == held[:-1]], return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)),
                                            pa.array(n.astype(np.int64) + 1)], ["token", "n"])
     for batch in batches:
@@ -171,12 +172,15 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digest = set_digest(tokens)
             if len(tokens) and digest not in seen:
                 seen.add(digest)
-                held.append(tokens)
-                size += len(tokens)
+                end = size + len(tokens)
+                if end > len(block):  # a block ends after the set that fills it, however long
+                    block = np.concatenate([block[:size], np.empty(len(tokens), np.uint64)])
+                block[size:end] = tokens
+                size = end
             if size > BLOCK_TOKENS:
                 yield counted()
                 size, seen = 0, set()
-    if held:
+    if size:
         yield counted()
 
 

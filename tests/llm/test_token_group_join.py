@@ -137,3 +137,45 @@ def test_histograms_bound_the_common_tokens():
 
 def test_empty_table(make_docs):
     assert tg.linked_documents(make_docs([])).collect() == []
+
+
+def test_blocks_are_counted_in_one_buffer(monkeypatch):
+    """Blocks of many small sets: the counts are right, a set that overfills a
+    block stays whole in it, and no block is held twice."""
+    import tracemalloc
+    from collections import Counter
+
+    monkeypatch.setattr(tg, "BLOCK_TOKENS", 1 << 16)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 18, 400).astype(np.uint64)) for _ in range(2000)]
+    sets.insert(3, np.arange(1 << 17, dtype=np.uint64))  # longer than a block
+    want, block = [], []
+    for s in sets:
+        block.append(s)
+        if sum(map(len, block)) > 1 << 16:
+            want.append(block)
+            block = []
+    want = [{t: n for t, n in Counter(np.concatenate(b).tolist()).items() if n > 1}
+            for b in [*want, block] if b]
+    monkeypatch.setattr(tg, "_sets", lambda text: iter(sets))
+    batch = pa.RecordBatch.from_arrays([pa.array([""])], ["text"])
+    got = [dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+           for b in tg._repeats(iter([batch]))]
+    assert got == want
+
+    small = [rng.integers(0, 1 << 62, 400).astype(np.uint64) for _ in range(2000)]
+    monkeypatch.setattr(tg, "BLOCK_TOKENS", sum(map(len, small)) - 1)
+    monkeypatch.setattr(tg, "_sets", lambda text: (s.copy() for s in small))
+    tracemalloc.start()
+    list(tg._repeats(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * tg.BLOCK_TOKENS  # 8 bytes a token, and one to mark repeats
+
+
+def test_a_worker_holds_the_words_of_a_short_run(monkeypatch):
+    """A batch is cut to runs of 1 MB of text or less; a longer text is whole."""
+    text = pa.array(["ab " * 100_000] * 9 + ["cd " * 1_000_000, None, "ef"])
+    runs = list(tg._slices(text))
+    assert pa.concat_arrays(runs).equals(text)
+    assert all(len(r) == 1 or sum(len(t or "") for t in r.to_pylist()) <= 1 << 20 for r in runs)
