@@ -22,9 +22,10 @@ from saletrace.sources.versions import (
 
 def write_run(df: DataFrame, root: str, run: str, key: str = "oli_id", group: str = "family",
               buckets: int = BUCKETS) -> Version:
-    """Write the (key, group) rows of a run and publish them."""
+    """Write the (key, group) rows of a run and publish them.  They are dealt
+    into their buckets before the DISTINCT: one shuffle serves both."""
     spark = df.sparkSession
-    v = stage_version(df.select(key, group).distinct(), root, run, key, buckets)
+    v = stage_version(df.select(key, group).repartition(buckets, key).distinct(), root, run, key, buckets)
     rows = open_version(spark, v)
     same = grouped_sides(rows, key, group).withColumn("_gn", F.col("_go"))
     own = contributions(same.withColumn("bucket", bucket("_k", buckets)), "bucket")
