@@ -20,9 +20,11 @@ def segments(old: DataFrame, new: DataFrame, key: str = "oli_id",
     one side is counted twice in ``in_both``), a NULL key never matches and
     is labelled ``new_only`` even when it comes from the old run, and
     ``in_both`` rows take the old run's group.
+
+    Each run is dealt by its key once, for the DISTINCT and the join.
     """
-    o = old.select(F.col(key).alias("_o_key"), F.col(group).alias("_o_grp")).distinct()
-    n = new.select(F.col(key).alias("_n_key"), F.col(group).alias("_n_grp")).distinct()
+    o = old.select(F.col(key).alias("_o_key"), F.col(group).alias("_o_grp")).repartition("_o_key").distinct()
+    n = new.select(F.col(key).alias("_n_key"), F.col(group).alias("_n_grp")).repartition("_n_key").distinct()
     seg = (F.when(F.col("_o_key").isNotNull() & F.col("_n_key").isNotNull(), F.lit("in_both"))
            .when(F.col("_o_key").isNotNull(), F.lit("old_only"))
            .otherwise(F.lit("new_only")))
