@@ -159,3 +159,16 @@ def test_filters_reach_the_scan(spark, sf_small):
     text = physical_plan(entry.queries()["line_facts"](spark, sf_small))
     assert "PushedFilters: [In(p_type," in text
     assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in text
+
+
+def test_facts_shuffle_flags_and_numbers(spark, sf_small):
+    """Lines are dealt by opportunity as numbers, and the reversal lookups
+    become flags before the next shuffle."""
+    with large_inputs(spark), static_plans(spark):
+        df = FixtureRun(spark, sf_small, write=False).facts()
+        text = planned(df)
+    dealt = [x for x in text.splitlines() if "REPARTITION_BY_COL" in x]
+    assert len(dealt) == 2 and all("l_orderkey" in x for x in dealt)
+    lines = text.splitlines()
+    moved = [lines[i + 1] for i, x in enumerate(lines) if "Exchange hashpartitioning(_li_prod" in x]
+    assert moved and all("AS _reversed" in x for x in moved)
