@@ -172,3 +172,28 @@ def test_facts_shuffle_flags_and_numbers(spark, sf_small):
     lines = text.splitlines()
     moved = [lines[i + 1] for i, x in enumerate(lines) if "Exchange hashpartitioning(_li_prod" in x]
     assert moved and all("AS _reversed" in x for x in moved)
+
+
+@pytest.mark.parametrize("name, written", [
+    ("account_rollup_strings", ["match_step"]), ("account_rollup", ["match_step"])])
+def test_lines_take_their_tier_as_they_aggregate(spark, sf_small, name, written, monkeypatch):
+    """The best tier of a line is found in the aggregate by line that the query
+    needs anyway: no minimum, no written lines and no join of its own."""
+    from saletrace.plans import catalog
+
+    names, steps = [], []
+
+    def keep(df, step):
+        names.append(step)
+        steps.append(df)
+        return df
+    monkeypatch.setattr(catalog, "materialize", keep)
+    df = catalog.QUERIES[name](spark, sf_small)
+    assert names == written
+    assert "_b_id" not in physical_plan(df)
+    if name != "account_rollup_strings" and name != "account_rollup":
+        with large_inputs(spark), static_plans(spark):
+            text = planned(steps[0] if steps else df)
+        by_line = [x for x in text.splitlines() if "Exchange hashpartitioning(oli_id" in x
+                   or "Exchange hashpartitioning(_k#" in x]
+        assert len(by_line) == 1
