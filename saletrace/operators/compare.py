@@ -3,7 +3,7 @@ two runs, overall and per group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from saletrace.functions.logic import ordinal
@@ -77,10 +77,27 @@ def compare_snapshots(old: DataFrame, new: DataFrame, key: str = "oli_id",
 
 
 def compare_cuts(rows: DataFrame, in_old, in_new, key: str = "oli_id", group: str = "family",
-                 count_col: str = "unique_oli_count") -> DataFrame:
+                 count_col: str = "unique_oli_count", tier: str | None = None) -> DataFrame:
     """``compare_snapshots`` of two cuts of one table (``in_old``/``in_new``
     are boolean columns; a row may be in both), reading ``rows`` once: each
-    row is tagged with its sides by an ``explode``, no second scan."""
+    row is tagged with its sides by an ``explode``, no second scan.
+
+    ``tier``: a column of integers from 0; only the rows of a key with the
+    least of them count (``matching.row_matches``).  A key collects the
+    distinct groups with tier and sides, and keeps those of its least tier."""
+    if tier is not None:
+        sides = F.when(in_old, 1).otherwise(0) + F.when(in_new, 2).otherwise(0)
+        # the tier, and in the low two bits the sides: the least one has the least tier
+        row = F.struct((F.col(tier) * 4 + sides).alias("s"), F.when(sides > 0, F.col(group)).alias("g"))
+        per_key = (rows.groupBy(F.col(key).alias("_k")).agg(F.collect_set(row).alias("_rows"))
+                   .withColumn("_best", F.shiftright(F.array_min("_rows")["s"], 2)))
+
+        def groups(side: int) -> Column:
+            own = F.filter("_rows", lambda x: (F.shiftright(x["s"], 2) == F.col("_best"))
+                           & (x["s"].bitwiseAND(F.lit(side)) > 0))
+            return F.array_distinct(F.transform(own, lambda x: F.struct(x["g"].alias("g"))))
+        per_key = per_key.select("_k", groups(1).alias("_go"), groups(2).alias("_gn"))
+        return summed_report(counted(contributions(per_key)), group, count_col)
     g = F.struct(F.col(group).alias("g"))
     sides = F.filter(F.array(F.when(in_old, F.lit(True)), F.when(in_new, F.lit(False))),
                      lambda x: x.isNotNull())
