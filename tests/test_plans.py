@@ -176,7 +176,7 @@ def test_facts_shuffle_flags_and_numbers(spark, sf_small):
 
 @pytest.mark.parametrize("name, written", [
     ("account_rollup_strings", ["match_step"]), ("account_rollup", ["match_step"]),
-    ("ranked_segments", []), ("snapshot_compare", [])])
+    ("ranked_segments", []), ("snapshot_compare", []), ("classify_lines", ["ordered"])])
 def test_lines_take_their_tier_as_they_aggregate(spark, sf_small, name, written, monkeypatch):
     """The best tier of a line is found in the aggregate by line that the query
     needs anyway: no minimum, no written lines and no join of its own."""
